@@ -11,6 +11,7 @@ from sparge.functions import keys
 from sparge.functions.time import partition_day
 from sparge.operators.cdc import CONTROL_TS
 from sparge.operators.flat import build_review_flat
+from sparge.session import folder_bytes
 
 ENTITY_NAMES = ("brewery", "beer", "profile", "review")
 
@@ -100,6 +101,17 @@ _SUPPLIERS = {
 
 # --- raw files ------------------------------------------------------------
 
+# Default size of one input split.
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def spread(df: DataFrame, source: str) -> DataFrame:
+    """One raw file per core where `source` has fewer splits than cores; else one per split."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = folder_bytes(df.sparkSession, source) < cores * SPLIT_BYTES
+    return df.repartition(cores) if few else df
+
+
 def write_csv_gz(df: DataFrame, path: str) -> None:
     df.write.option("header", True).option("compression", "gzip").option("escape", '"').csv(path)
 

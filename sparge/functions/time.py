@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, functions as F
@@ -19,16 +20,30 @@ def review_month(epoch_seconds: Column) -> Column:
     return F.month(F.timestamp_seconds(epoch_seconds))
 
 
-def month_bounds(year: int, month: int) -> tuple[int, int]:
-    """First second of the month, and first second of the next, as epoch seconds."""
-    following = (year + 1, 1) if month == 12 else (year, month + 1)
-    return tuple(int(datetime(y, m, 1, tzinfo=timezone.utc).timestamp()) for y, m in ((year, month), following))
+def month_start(year: int, month: int) -> int:
+    """Epoch seconds at the start of a month; month 13 is the next January."""
+    year, month = (year + 1, 1) if month == 13 else (year, month)
+    return int(datetime(year, month, 1, tzinfo=timezone.utc).timestamp())
 
 
-def in_month(epoch_seconds: Column, year: int, month: int) -> Column:
-    """Month test as a plain range on the stored column, which Parquet row groups can answer."""
-    start, end = month_bounds(year, month)
-    return (epoch_seconds >= start) & (epoch_seconds < end)
+def month_ranges(months: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Half-open epoch ranges that cover the months; neighbouring months share one."""
+    ranges: list[tuple[int, int]] = []
+    for year, month in sorted(set(months)):
+        start, end = month_start(year, month), month_start(year, month + 1)
+        if ranges and ranges[-1][1] == start:
+            start = ranges.pop()[0]
+        ranges.append((start, end))
+    return ranges
+
+
+def in_months(epoch_seconds: Column, months: Iterable[tuple[int | None, int | None]]) -> Column:
+    """Month test as plain ranges on the stored column, which Parquet row groups can answer."""
+    months = list(months)
+    test = epoch_seconds.isNull() if (None, None) in months else F.lit(False)
+    for start, end in month_ranges(m for m in months if m != (None, None)):
+        test = test | ((epoch_seconds >= start) & (epoch_seconds < end))
+    return test
 
 
 def interval_day(interval: Column) -> Column:

@@ -143,7 +143,7 @@ def apply_cdc(
             for c in target.columns
         ]
     )
-    fresh = changes.join(base.select(key), key, "left_anti").withColumn("created_at", F.col("updated_at"))
+    fresh = changes.join(base.select(key).distinct(), key, "left_anti").withColumn("created_at", F.col("updated_at"))
     return updated.unionByName(fresh)
 
 

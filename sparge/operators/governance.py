@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sparge.functions.once import compute_once
 from sparge.functions.text import as_text, mask_value
 
 SAMPLE_ROWS = 10
@@ -20,46 +23,54 @@ class Rule:
     """A kind of personal data: its pattern, and how sure a match is.
 
     Repetitions are bounded, so a long run of characters without a match costs
-    time linear in its length.
+    time linear in its length. `needs` lists texts of which every match holds one;
+    where they are all absent the pattern is not tried.
     """
 
     name: str
     pattern: str
     score: float
+    needs: tuple[str, ...] = ()
 
 
 RULES = (
-    Rule("email", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}([.][A-Za-z0-9-]{1,63}){1,8}", 0.99),
-    Rule("phone", r"[+][0-9]{1,3}[ -]?[(]?[0-9]{2,4}[)]?[ -]?[0-9]{3,4}[ -][0-9]{4}", 0.9),
+    Rule("email", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}([.][A-Za-z0-9-]{1,63}){1,8}", 0.99, ("@",)),
+    Rule("phone", r"[+][0-9]{1,3}[ -]?[(]?[0-9]{2,4}[)]?[ -]?[0-9]{3,4}[ -][0-9]{4}", 0.9, ("+",)),
     Rule("card", r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}", 0.85),
     Rule("ip_address", r"[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}", 0.8),
-    Rule("secret", r"(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)", 0.95),
+    Rule(
+        "secret",
+        r"(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)",
+        0.95,
+        ("AKIA", "gh", "-----BEGIN "),
+    ),
 )
 
 
 def _matches(text: Column, rule: Rule) -> Column:
-    return F.regexp_count(text, F.lit(rule.pattern))
+    count = F.regexp_count(text, F.lit(rule.pattern))
+    if not rule.needs:
+        return count
+    return F.when(reduce(or_, [text.contains(n) for n in rule.needs]), count).when(text.isNotNull(), 0)
 
 
 def _scores(df: DataFrame, columns: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
     """One row per column: non-empty values, matches, and summed score, from a single aggregate."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    aggregates = []
-    for c in columns:
-        text = as_text(F.col(c), types[c])
+    texts = compute_once(df, **{f"_text{i}": as_text(F.col(c), types[c]) for i, c in enumerate(columns)})
+    entries = []
+    for i, c in enumerate(columns):
+        text = F.col(f"_text{i}")
         found = [F.coalesce(F.sum(_matches(text, r)), F.lit(0)).cast("bigint") for r in rules]
-        matches = sum(found[1:], found[0])
-        weighted = [n * F.lit(r.score) for n, r in zip(found, rules)]
-        score = sum(weighted[1:], weighted[0])
-        aggregates.append(
+        entries.append(
             F.struct(
                 F.lit(c).alias("field"),
                 F.count_if(F.btrim(text, F.lit(" \t\r\n")) != "").alias("non_empty"),
-                matches.alias("matches"),
-                score.alias("score"),
+                reduce(Column.__add__, found).alias("matches"),
+                reduce(Column.__add__, [n * F.lit(r.score) for n, r in zip(found, rules)]).alias("score"),
             )
         )
-    return df.agg(F.array(*aggregates).alias("fields")).select(F.inline("fields"))
+    return texts.agg(F.array(*entries).alias("fields")).select(F.inline("fields"))
 
 
 def detect_pii(
@@ -100,25 +111,24 @@ def pii_fields(df: DataFrame, **options) -> list[str]:
 
 def pii_profile(df: DataFrame, text_columns: Sequence[str], rules: Sequence[Rule] = RULES) -> DataFrame:
     """Matches of every rule over all rows: one row per column and rule, in one scan."""
-    entries = []
-    for c in text_columns:
-        for rule in rules:
-            n = _matches(F.col(c), rule)
-            entries.append(
-                F.struct(
-                    F.lit(c).alias("field"),
-                    F.lit(rule.name).alias("rule"),
-                    F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("match_count"),
-                    F.count_if(n > 0).alias("row_count"),
-                )
-            )
-    return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+    names = {(c, r): f"_n{i}_{r.name}" for i, c in enumerate(text_columns) for r in rules}
+    counted = compute_once(df, **{name: _matches(F.col(c), r) for (c, r), name in names.items()})
+    entries = [
+        F.struct(
+            F.lit(c).alias("field"),
+            F.lit(rule.name).alias("rule"),
+            F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias("match_count"),
+            F.count_if(F.col(name) > 0).alias("row_count"),
+        )
+        for (c, rule), name in names.items()
+    ]
+    return counted.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
 def with_pii_counts(df: DataFrame, text_column: str, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One count column per rule on every row."""
-    text = F.col(text_column)
-    return df.withColumns({f"{r.name}_count": F.coalesce(_matches(text, r), F.lit(0)) for r in rules})
+    counts = {f"{r.name}_count": F.coalesce(_matches(F.col(text_column), r), F.lit(0)) for r in rules}
+    return compute_once(df, **counts)
 
 
 def mask_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

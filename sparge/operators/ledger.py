@@ -63,7 +63,7 @@ def register_files(log: DataFrame, manifest: DataFrame, now: Column, layer: str
 
     `manifest` holds `object_key, record_count, file_size, checksum`.
     """
-    fresh = manifest.join(log.select("object_key"), "object_key", "left_anti").dropDuplicates(["object_key"])
+    fresh = manifest.join(log.select("object_key").distinct(), "object_key", "left_anti").dropDuplicates(["object_key"])
     key = F.col("object_key")
     return _entries(
         fresh.withColumns(
@@ -148,7 +148,7 @@ def next_layer(log: DataFrame, entries: DataFrame, now: Column) -> DataFrame:
         F.col("new_checksum" if "new_checksum" in has else "checksum").alias("checksum"),
         F.lit("emr").alias("compute_target"),
     )
-    return _entries(derived.join(log.select("object_key"), "object_key", "left_anti"), now)
+    return _entries(derived.join(log.select("object_key").distinct(), "object_key", "left_anti"), now)
 
 
 def flat_entries(entries: DataFrame, now: Column) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sparge.functions.once import compute_once
+
 
 def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
     """Parse every envelope once; adds `table_name, operation, payload, drop_reason`.
@@ -14,16 +16,16 @@ def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
     same on a batch and on a stream.
     """
     text = F.btrim(F.col(value).cast("string"), F.lit(" \t\r\n"))
-    parsed = df.withColumn("_envelope", F.when(text.endswith("}"), F.try_parse_json(text)))
-    parsed = parsed.withColumns(
-        {
-            "_table": _metadata("table-name"),
-            "_operation": _metadata("operation"),
-            "_data": F.try_variant_get(F.col("_envelope"), "$.data", "map<string,variant>"),
-        }
+    parsed = compute_once(df, _envelope=F.when(text.endswith("}"), F.try_parse_json(text)))
+    parsed = compute_once(
+        parsed,
+        _table=_metadata("table-name"),
+        _operation=_metadata("operation"),
+        _data=F.try_variant_get(F.col("_envelope"), "$.data", "map<string,variant>"),
+        _is_text=_metadata_is_text(),
     )
     reason = (
-        F.when(F.col("_envelope").isNull() | ~_metadata_is_text(), "unparsed")
+        F.when(F.col("_envelope").isNull() | ~F.col("_is_text"), "unparsed")
         .when(F.coalesce(F.col("_table"), F.lit("")) == "", "missing_table")
         .when(F.col("_data").isNull(), "data_not_object")
     )

@@ -6,11 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sparge.functions.once import compute_once
 from sparge.functions.text import blank_to_null
 from sparge.sources.files import CORRUPT
 
-_INTEGER = r"^[+-]?[0-9]+$"
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _NOT_FINITE = r"(?i)^([+-]?inf(inity)?|nan)$"
 _RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
 _REASON = "struct<column:string,reason:string>"
@@ -27,49 +26,53 @@ def parse(text: Column, dtype: T.DataType) -> Column:
     """Typed value of already trimmed text, or null where it is not one."""
     if isinstance(dtype, T.StringType):
         return text
-    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType)):
-        return F.when(text.rlike(_INTEGER), text.try_cast(dtype))
-    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        value = text.try_cast(dtype)
-        if isinstance(dtype, T.DecimalType):
-            return F.when(text.rlike(_NUMBER), value)
-        # A number too large for its type would silently become infinity.
-        finite = text.rlike(_NUMBER) & (F.abs(value) < float("inf"))
-        return F.when(finite | text.rlike(_NOT_FINITE), value)
+    value = text.try_cast(dtype)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        # The cast also takes a type suffix (`1.5d`), and turns overflow into infinity.
+        unusual = F.isnan(value) | (F.abs(value) == float("inf"))
+        suffixed = F.right(text, F.lit(1)).isin("d", "D", "f", "F")
+        return F.when(F.when(unusual, text.rlike(_NOT_FINITE)).otherwise(~suffixed), value)
     if isinstance(dtype, T.TimestampType):
         return F.when(text.rlike(_RFC3339), F.try_to_timestamp(text))
-    return text.try_cast(dtype)
+    return value
 
 
 def annotate(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Typed contract columns plus `reasons`, an array of `(column, reason)`, empty when valid.
+    """Typed contract columns, `_text_<column>` for each, and `_valid`.
 
     `raw` has text columns, and `_corrupt_record` where the reader rejected the line.
+    Each text is trimmed once and parsed once, whatever is filtered afterwards.
     """
     present = set(raw.columns)
-    text = {f.name: blank_to_null(F.col(f.name)) for f in schema.fields if f.name in present}
-    reasons: list[Column] = []
-    if CORRUPT in present:
-        malformed = F.col(CORRUPT).isNotNull()
-        reasons.append(F.when(malformed, _reason("", "malformed_row")))
-    else:
-        malformed = F.lit(False)
-    values: dict[str, Column] = {}
+    kept = [F.col(CORRUPT)] if CORRUPT in present else []
+    text = {
+        f.name: blank_to_null(F.col(f.name)) if f.name in present else F.lit(None).cast("string")
+        for f in schema.fields
+    }
+    texts = raw.select(*kept, *[t.alias(f"_text_{n}") for n, t in text.items()])
+    typed = compute_once(texts, **{f.name: parse(F.col(f"_text_{f.name}"), f.dataType) for f in schema.fields})
+    tests = [F.col(CORRUPT).isNull()] if kept else []
+    for f in schema.fields:
+        if f.name not in present:
+            tests.append(F.lit(False))
+        elif f.nullable:
+            tests.append(F.col(f"_text_{f.name}").isNull() | F.col(f.name).isNotNull())
+        else:
+            tests.append(F.col(f.name).isNotNull())
+    return typed.withColumn("_valid", reduce(Column.__and__, tests, F.lit(True)))
+
+
+def _reasons(schema: T.StructType, present: set[str], has_corrupt: bool) -> Column:
+    malformed = F.col(CORRUPT).isNotNull() if has_corrupt else F.lit(False)
+    found = []
     for f in schema.fields:
-        if f.name not in text:
-            values[f.name] = F.lit(None).cast(f.dataType)
-            reasons.append(F.when(~malformed, _reason(f.name, "missing_field")))
+        text, value = F.col(f"_text_{f.name}"), F.col(f.name)
+        if f.name not in present:
+            found.append(_reason(f.name, "missing_field"))
             continue
-        value = parse(text[f.name], f.dataType)
-        values[f.name] = value
-        bad = F.when(text[f.name].isNotNull() & value.isNull(), _reason(f.name, f"invalid_{f.dataType.typeName()}"))
-        if not f.nullable:
-            bad = F.when(text[f.name].isNull(), _reason(f.name, "missing_value")).otherwise(bad)
-        reasons.append(F.when(~malformed, bad))
-    kept = [F.col(CORRUPT)] if CORRUPT in present else []
-    return raw.select(
-        *[v.alias(n) for n, v in values.items()], *kept, F.array_compact(F.array(*reasons)).alias("reasons")
-    )
+        bad = F.when(text.isNotNull() & value.isNull(), _reason(f.name, f"invalid_{f.dataType.typeName()}"))
+        found.append(bad if f.nullable else F.when(text.isNull(), _reason(f.name, "missing_value")).otherwise(bad))
+    return F.when(malformed, F.array(_reason("", "malformed_row"))).otherwise(F.array_compact(F.array(*found)))
 
 
 def _reason(column: str, reason: str) -> Column:
@@ -79,23 +82,25 @@ def _reason(column: str, reason: str) -> Column:
 def validate(raw: DataFrame, schema: T.StructType, on_malformed: str = "reject") -> tuple[DataFrame, DataFrame]:
     """Split raw rows into typed valid rows and rejected rows with their reasons.
 
+    Rejected rows keep their texts and have `reasons`, an array of `(column, reason)`.
     `on_malformed`: `reject` keeps malformed lines among the rejected, `drop` leaves
     them out, `fail` stops the job at the first one.
     """
+    if on_malformed not in ("reject", "drop", "fail"):
+        raise ValueError(f"unknown option: {on_malformed}")
     checked = annotate(raw, schema)
-    if CORRUPT in raw.columns and on_malformed == "fail":
-        checked = checked.withColumn(
-            "reasons",
-            F.when(F.col(CORRUPT).isNull(), F.col("reasons")).otherwise(
-                F.raise_error(F.concat(F.lit("malformed row: "), F.col(CORRUPT))).cast(f"array<{_REASON}>")
-            ),
-        )
-    elif CORRUPT in raw.columns and on_malformed == "drop":
+    has_corrupt = CORRUPT in raw.columns
+    if has_corrupt and on_malformed == "fail":
+        stop = F.raise_error(F.concat(F.lit("malformed row: "), F.col(CORRUPT))).cast("boolean")
+        checked = checked.withColumn("_valid", F.when(F.col(CORRUPT).isNull(), F.col("_valid")).otherwise(stop))
+    elif has_corrupt and on_malformed == "drop":
         checked = checked.filter(F.col(CORRUPT).isNull())
-    elif on_malformed not in ("reject", "drop", "fail"):
-        raise ValueError(f"unknown option: {on_malformed}")
-    valid = checked.filter(F.size("reasons") == 0).select(*schema.names)
-    rejected = checked.filter(F.size("reasons") > 0)
+    valid = checked.filter("_valid").select(*schema.names)
+    kept = [CORRUPT] if has_corrupt else []
+    reasons = _reasons(schema, set(raw.columns), has_corrupt).alias("reasons")
+    rejected = checked.filter("NOT _valid").select(
+        *kept, *[F.col(f"_text_{n}").alias(n) for n in schema.names], reasons
+    )
     return valid, rejected
 
 

@@ -14,7 +14,7 @@ from sparge.operators.validate import conform, validate
 from sparge.plans.control import log_path, run_entries
 from sparge.session import path_exists
 from sparge.sinks.files import write_bronze
-from sparge.sources.files import read_csv_gz, read_csv_raw, read_json_raw
+from sparge.sources.files import read_csv_gz, read_csv_raw, read_csv_split, read_json_raw
 from sparge.sources.manifest import content_checksums, file_manifest
 
 
@@ -118,8 +118,13 @@ def bronze_entries(spark: SparkSession, root: str, table: str, now: Column) -> D
     return rows.withColumns({"file_format": F.lit("parquet"), "compute_target": F.lit("emr")})
 
 
-def convert_csv(spark: SparkSession, source: str | list[str], target: str, table: str = "review") -> None:
-    """Gzip CSV to snappy Parquet with typed columns, without validation."""
-    read_csv_gz(spark, source, ENTITIES[table].columns).write.mode("overwrite").option(
-        "compression", "snappy"
-    ).parquet(target)
+def convert_csv(
+    spark: SparkSession, source: str | list[str], target: str, table: str = "review", split: bool = False
+) -> None:
+    """Gzip CSV to snappy Parquet with typed columns, without validation.
+
+    `split` parses with all cores when there are fewer files than that.
+    """
+    read = read_csv_split if split else read_csv_gz
+    rows = read(spark, source, ENTITIES[table].columns)
+    rows.write.mode("overwrite").option("compression", "snappy").parquet(target)

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sparge.contracts import REVIEW_FLAT
 from sparge.functions.keys import layer_schema
-from sparge.functions.time import in_month
+from sparge.functions.time import in_months
 from sparge.operators import ledger
 from sparge.operators.flat import affected_months
 from sparge.operators.marts import MARTS, Mart, build_mart
@@ -38,9 +36,7 @@ def rebuild_months(flat: DataFrame, mart: Mart | str, months: Sequence[tuple[int
     Months are ranges on the stored `review_time`, which the Parquet scan can skip
     row groups by.
     """
-    time = F.col("review_time")
-    tests = [time.isNull() if year is None else in_month(time, year, month) for year, month in months]
-    return build_mart(flat.filter(reduce(or_, tests, F.lit(False))), mart, **options)
+    return build_mart(flat.filter(in_months(F.col("review_time"), months)), mart, **options)
 
 
 def refresh_months(

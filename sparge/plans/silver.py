@@ -12,7 +12,7 @@ from sparge.operators import ledger
 from sparge.operators.cdc import CONTROL_TS, active, fold_changes, merge_upsert
 from sparge.operators.flat import affected_months, build_review_flat
 from sparge.plans.control import log_path, run_entries
-from sparge.session import path_exists, stage
+from sparge.session import empty_frame, path_exists, stage
 from sparge.sinks.files import append_partitioned, replace_partitions
 from sparge.sources.files import read_batch, read_or_empty, read_partitions
 
@@ -39,8 +39,8 @@ def apply_changes(
     """
     changes = stage(fold_changes(batch, key, order, ts), "changes")
     if not path_exists(spark, path):
-        empty = spark.createDataFrame([], schema)
-        append_partitioned(merge_upsert(empty, changes, key), path, PARTITION)
+        created = merge_upsert(empty_frame(spark, schema), changes, key)
+        append_partitioned(created, path, PARTITION)
         return _days(changes)
     table = spark.read.schema(schema).parquet(path)
     old = _days(table.join(changes.select(key), key, "left_semi"))

@@ -16,7 +16,7 @@ from sparge.plans.bronze import load_seed
 from sparge.plans.dashboards import dashboard
 from sparge.plans.gold import mart_schema, rebuild_months
 from sparge.plans.silver import apply_changes
-from sparge.session import configure, folder_bytes, scratch_path
+from sparge.session import configure, empty_frame, folder_bytes, scratch_path, stage
 from sparge.sinks.files import append_partitioned, compact, publish_mart, write_bronze, write_parquet
 from sparge.sources import files
 from sparge.sources.manifest import file_manifest
@@ -145,7 +145,7 @@ def bronze_partition_layout(spark, folder):
 def bronze_csv_roundtrip(spark, folder):
     root = scratch_path(spark, "csv")
     schema = ENTITIES["review"].columns
-    fx.write_csv_gz(fx.review(spark, folder, schema.names), f"{root}/raw")
+    fx.write_csv_gz(fx.spread(fx.review(spark, folder, schema.names), f"{folder}/lineitem.parquet"), f"{root}/raw")
     write_parquet(files.read_csv_gz(spark, f"{root}/raw", schema), f"{root}/bronze")
     return files.read_table(spark, f"{root}/bronze", schema)
 
@@ -163,7 +163,8 @@ def bronze_json_roundtrip(spark, folder):
 def file_manifest_counts(spark, folder):
     root = scratch_path(spark, "manifest")
     fx.write_csv_gz(fx.profile(spark, folder), f"{root}/raw/profile")
-    fx.write_json_gz(fx.review(spark, folder, ENTITIES["review"].columns.names), f"{root}/raw/review")
+    reviews = fx.review(spark, folder, ENTITIES["review"].columns.names)
+    fx.write_json_gz(fx.spread(reviews, f"{folder}/lineitem.parquet"), f"{root}/raw/review")
     found = union_all(
         [
             file_manifest(spark, f"{root}/raw/profile", "csv").withColumn("file_format", F.lit("csv")),
@@ -197,7 +198,7 @@ def costs_scan(spark, folder):
 
 def _raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "raw")
-    fx.write_lines(fx.raw_review_lines(spark, folder), path)
+    fx.write_lines(fx.spread(fx.raw_review_lines(spark, folder), f"{folder}/lineitem.parquet"), path)
     return files.read_csv_raw(spark, path)
 
 
@@ -247,8 +248,7 @@ def cdc_audit_columns(spark, folder):
 
 @query
 def cdc_latest(spark, folder):
-    parts = cdc.split_operations(fx.changes(spark, folder))
-    later = union_all([parts["update"], parts["delete"]])
+    later = fx.changes(spark, folder).filter(F.col("operation").isin("update", "delete"))
     latest = cdc.latest_by_key(later, ["user_id"], [cdc.CONTROL_TS, "event_id"])
     return latest.withColumnRenamed(cdc.CONTROL_TS, "control_ts")
 
@@ -269,7 +269,7 @@ def silver_state(spark, folder):
 
 
 def _state(spark: SparkSession, batch: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    target = spark.createDataFrame([], fx.EVENT_STATE) if target is None else target
+    target = empty_frame(spark, fx.EVENT_STATE) if target is None else target
     return cdc.apply_cdc(target, batch, "user_id", ["event_id"])
 
 
@@ -287,7 +287,7 @@ def silver_active(spark, folder):
 @query
 def silver_partition_move(spark, folder):
     first, second = _two_batches(spark, folder)
-    before = _state(spark, first)
+    before = stage(_state(spark, first), "before")
     after = _state(spark, second, before)
     old = before.select("user_id", F.col("partitioned_at").alias("old_partition"))
     new = after.select("user_id", F.col("partitioned_at").alias("new_partition"))
@@ -297,7 +297,7 @@ def silver_partition_move(spark, folder):
 @query
 def silver_strict_append(spark, folder):
     """Inserts kept as rows of their own; the last update or delete reaches all rows of its key."""
-    target = spark.createDataFrame([], fx.EVENT_STATE)
+    target = empty_frame(spark, fx.EVENT_STATE)
     state = cdc.apply_cdc(target, fx.changes(spark, folder), "user_id", ["event_id"], strict_append=True)
     return state.groupBy("user_id").agg(
         F.count("*").alias("row_count"),

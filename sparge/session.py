@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # One post-shuffle partition should hold about this much input.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
@@ -44,6 +46,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form the optimizer knows to be empty, so joins with it disappear."""
+    nothing = spark.range(1).filter(F.lit(False))
+    return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+@contextmanager
+def advisory_size(spark: SparkSession, megabytes: int | None) -> Iterator[None]:
+    """Partition size that rebalancing aims at, for the writes inside the block."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    if megabytes:
+        spark.conf.set(name, f"{megabytes}m")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _local_scratch: dict[str, str] = {}
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sparge.session import path_exists, stage
+from sparge.session import advisory_size, empty_frame, path_exists, stage
 
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -76,7 +76,7 @@ def clear_partition(spark: SparkSession, path: str, schema: T.StructType, values
     folder = "/".join([path.rstrip("/"), *(f"{n}={NULL_PARTITION if v is None else v}" for n, v in values.items())])
     if path_exists(spark, folder):
         kept = T.StructType([f for f in schema.fields if f.name not in values])
-        spark.createDataFrame([], kept).coalesce(1).write.mode("overwrite").parquet(folder)
+        empty_frame(spark, kept).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def publish_mart(df: DataFrame, path: str, mode: str = "replace") -> None:
@@ -90,9 +90,14 @@ def publish_mart(df: DataFrame, path: str, mode: str = "replace") -> None:
 
 
 def compact(
-    spark: SparkSession, path: str, schema: T.StructType, column: str, values: Iterable[str] | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    column: str,
+    values: Iterable[str] | None = None,
+    target_mb: int = 128,
 ) -> None:
-    """Rewrite partitions into few files of about the advisory size.
+    """Rewrite partitions into one file each, or several of about `target_mb` where they are larger.
 
     Rows of one partition value meet in one task, unless the value is large: then
     the rebalance splits it.
@@ -100,7 +105,8 @@ def compact(
     table = spark.read.schema(schema).parquet(path)
     if values is not None:
         table = table.filter(F.col(column).isin(sorted(values)))
-    staged = stage(_balanced(table, (column,)), "compact", column)
+    with advisory_size(spark, target_mb):
+        staged = stage(_balanced(table, (column,)), "compact", column)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 

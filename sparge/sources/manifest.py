@@ -22,13 +22,15 @@ def file_manifest(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     a quoted field may span lines.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path)
+    hashed = F.xxhash64("value")  # summed as two halves, which stay within 64 bits
     per_file = lines.groupBy(
         F.col("_metadata.file_path").alias("object_path"), F.col("_metadata.file_size").alias("file_size")
     ).agg(
         F.count("*").alias("line_count"),
         F.count_if(F.btrim("value") != "").alias("record_count"),
-        F.sum(F.xxhash64("value").cast("decimal(20,0)")).cast("string").alias("fingerprint"),
-    )
+        F.sum(hashed.bitwiseAND(F.lit(0xFFFFFFFF))).alias("_low"),
+        F.sum(F.shiftrightunsigned(hashed, 32)).alias("_high"),
+    ).withColumn("fingerprint", F.concat_ws("-", F.hex("_high"), F.hex("_low"))).drop("_low", "_high")
     if fmt != "csv":
         return per_file.select("object_path", "record_count", "line_count", "file_size", "fingerprint")
     parsed = (
