@@ -26,6 +26,8 @@ def parse(text: Column, dtype: T.DataType) -> Column:
     """Typed value of already trimmed text, or null where it is not one."""
     if isinstance(dtype, T.StringType):
         return text
+    if isinstance(dtype, T.IntegralType):
+        return _integer(text, dtype)
     value = text.try_cast(dtype)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         # The cast also takes a type suffix (`1.5d`), and turns overflow into infinity.
@@ -37,6 +39,11 @@ def parse(text: Column, dtype: T.DataType) -> Column:
     return value
 
 
+def _integer(text: Column, dtype: T.DataType) -> Column:
+    # A failing cast costs an exception; the pattern keeps most of them away.
+    return F.when(text.rlike(r"^[+-]?[0-9]{1,19}$"), text.try_cast(dtype))
+
+
 def annotate(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Typed contract columns, `_text_<column>` for each, and `_valid`.
 
@@ -109,7 +116,13 @@ def conform(df: DataFrame, schema: T.StructType, lenient: bool = False) -> DataF
     missing = [n for n in schema.names if n not in df.columns]
     if missing:
         raise ValueError(f"columns missing from input: {', '.join(missing)}")
-    cast = (lambda f: F.col(f.name).try_cast(f.dataType)) if lenient else (lambda f: F.col(f.name).cast(f.dataType))
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+
+    def cast(f: T.StructField) -> Column:
+        if lenient and isinstance(f.dataType, T.IntegralType) and f.name in text:
+            return _integer(F.btrim(f.name), f.dataType)
+        return F.col(f.name).try_cast(f.dataType) if lenient else F.col(f.name).cast(f.dataType)
+
     return df.select(*[cast(f).alias(f.name) for f in schema.fields])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparge.operators import ledger
-from sparge.session import stage
+from sparge.session import staged
 
 
 def log_path(root: str) -> str:
@@ -24,14 +24,14 @@ def run_entries(
     """
     log = ledger.read_log(spark, log_path(root))
     mine = (F.col("schema_name") == schema) & (F.col("table_name") == table)
-    started = stage(ledger.start(ledger.eligible(log.filter(mine)), now), "started")
-    if started.isEmpty():
-        return False
-    ledger.append(started, log_path(root))
-    try:
-        work(started)
-    except Exception as failure:
-        ledger.append(ledger.finish(started, now, str(failure)), log_path(root))
-        raise
-    ledger.append(ledger.finish(started, now), log_path(root))
-    return True
+    with staged(ledger.start(ledger.eligible(log.filter(mine)), now), "started") as started:
+        if started.isEmpty():
+            return False
+        ledger.append(started, log_path(root))
+        try:
+            work(started)
+        except Exception as failure:
+            ledger.append(ledger.finish(started, now, str(failure)), log_path(root))
+            raise
+        ledger.append(ledger.finish(started, now), log_path(root))
+        return True

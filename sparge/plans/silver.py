@@ -12,7 +12,7 @@ from sparge.operators import ledger
 from sparge.operators.cdc import CONTROL_TS, active, fold_changes, merge_upsert
 from sparge.operators.flat import affected_months, build_review_flat
 from sparge.plans.control import log_path, run_entries
-from sparge.session import empty_frame, path_exists, stage
+from sparge.session import empty_frame, path_exists, staged
 from sparge.sinks.files import append_partitioned, replace_partitions
 from sparge.sources.files import read_batch, read_or_empty, read_partitions
 
@@ -37,18 +37,18 @@ def apply_changes(
     search for old versions reads only the key column of the table. Partition names
     are collected, one per processing day touched.
     """
-    changes = stage(fold_changes(batch, key, order, ts), "changes")
-    if not path_exists(spark, path):
-        created = merge_upsert(empty_frame(spark, schema), changes, key)
-        append_partitioned(created, path, PARTITION)
-        return _days(changes)
-    table = spark.read.schema(schema).parquet(path)
-    old = _days(table.join(changes.select(key), key, "left_semi"))
-    touched = sorted({*old, *_days(changes)})
-    rows = table.filter(F.col(PARTITION).isin(touched))
-    merged = merge_upsert(rows, changes, key, monotonic)
-    replace_partitions(spark, merged, path, [(day,) for day in touched], PARTITION)
-    return touched
+    with staged(fold_changes(batch, key, order, ts), "changes") as changes:
+        if not path_exists(spark, path):
+            created = merge_upsert(empty_frame(spark, schema), changes, key)
+            append_partitioned(created, path, PARTITION)
+            return _days(changes)
+        table = spark.read.schema(schema).parquet(path)
+        old = _days(table.join(changes.select(key), key, "left_semi"))
+        touched = sorted({*old, *_days(changes)})
+        rows = table.filter(F.col(PARTITION).isin(touched))
+        merged = merge_upsert(rows, changes, key, monotonic)
+        replace_partitions(spark, merged, path, [(day,) for day in touched], PARTITION)
+        return touched
 
 
 def _days(df: DataFrame) -> list[str]:

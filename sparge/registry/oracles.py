@@ -168,7 +168,7 @@ def all_oracles() -> dict[str, str]:
         "bronze_csv_roundtrip": f"""SELECT review_id, brewery_id, beer_id, profile_id, review_overall, review_aroma,
             review_appearance, review_palate, review_taste, review_time FROM ({_REVIEW})""",
         "bronze_json_roundtrip": _PROFILE,
-        "file_manifest_counts": """SELECT 'profile' AS table_name, 'csv' AS file_format, count(*) AS record_count,
+        "file_manifest": """SELECT 'profile' AS table_name, 'csv' AS file_format, count(*) AS record_count,
             count(*) AS data_lines FROM customer
             UNION ALL SELECT 'review', 'json', count(*), count(*) FROM lineitem""",
         "costs_scan": """SELECT strftime(l_shipdate, '%Y-%m') AS billing_period,
@@ -186,7 +186,7 @@ def all_oracles() -> dict[str, str]:
             CASE review_overall WHEN 1 THEN 'invalid_double' WHEN 4 THEN 'missing_value'
                 WHEN 6 THEN 'invalid_long' ELSE 'malformed_row' END AS reason, count(*) AS row_count
             FROM ({_REVIEW}) WHERE review_overall IN (1, 2, 3, 4, 6) GROUP BY ALL""",
-        "normalize_blanks_documents": """WITH b AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS blanks)
+        "normalize_blanks": """WITH b AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS blanks)
             SELECT doc_id, md5(nullif(trim(text, blanks), '')) AS text_md5, nullif(trim(lang, blanks), '') AS lang,
                    nullif(trim(source, blanks), '') AS source FROM documents, b""",
         "conform_types": """SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_totalprice, o_orderdate,

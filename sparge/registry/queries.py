@@ -43,7 +43,7 @@ def query(build: Query) -> Query:
         configure(spark, folder_bytes(spark, folder))
         return _zone_free(build(spark, folder))
 
-    _REGISTRY[build.__name__] = run
+    _REGISTRY[build.__name__.rstrip("_")] = run
     return run
 
 
@@ -160,7 +160,7 @@ def bronze_json_roundtrip(spark, folder):
 
 
 @query
-def file_manifest_counts(spark, folder):
+def file_manifest_(spark, folder):
     root = scratch_path(spark, "manifest")
     fx.write_csv_gz(fx.profile(spark, folder), f"{root}/raw/profile")
     reviews = fx.review(spark, folder, ENTITIES["review"].columns.names)
@@ -220,7 +220,7 @@ def validate_rejected(spark, folder):
 
 
 @query
-def normalize_blanks_documents(spark, folder):
+def normalize_blanks_(spark, folder):
     """Whole texts, with line breaks and blanks around them cut off."""
     documents = fx.table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     return normalize_blanks(documents).select("doc_id", F.md5("text").alias("text_md5"), "lang", "source")
@@ -564,7 +564,7 @@ def ledger_size_class(spark, folder):
 @query
 def ledger_run(spark, folder):
     """Eligible entries started and finished; reviews fail, the rest succeed."""
-    started = ledger.start(ledger.eligible(fx.ledger_log(spark, folder)), _now())
+    started = stage(ledger.start(ledger.eligible(fx.ledger_log(spark, folder)), _now()), "started")
     failed = ledger.finish(started.filter("table_name = 'review'"), _now(LATER), "no such file")
     passed = ledger.finish(started.filter("table_name <> 'review'"), _now(LATER))
     log = union_all([fx.ledger_log(spark, folder), started, failed, passed])

@@ -25,6 +25,8 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # The default type has no statistics that a filter on a timestamp could use.
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     if input_bytes:
         wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // TARGET_PARTITION_BYTES))
         initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -96,7 +98,28 @@ def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     overwritten from its own contents. Unlike a cache, a staged table survives
     the loss of executors.
     """
-    path = scratch_path(df.sparkSession, label)
+    return _write_staged(df, scratch_path(df.sparkSession, label), partition_by)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str, *partition_by: str) -> Iterator[DataFrame]:
+    """`stage` for the length of a block.
+
+    The staged files are removed when the block succeeds. When it fails they stay:
+    should an overwrite have been cut short, they hold the rows it was writing.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        yield _write_staged(df, path, partition_by)
+    except Exception as failure:
+        failure.add_note(f"staged rows, as far as written, are kept at {path}")
+        raise
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _write_staged(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> DataFrame:
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sparge.session import advisory_size, empty_frame, path_exists, stage
+from sparge.session import advisory_size, empty_frame, path_exists, staged
 
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -63,12 +63,12 @@ def replace_partitions(
     `df` may read from `path`: it is staged first, so the overwrite reads only
     staged files and can be repeated after a failure.
     """
-    staged = stage(df, "replace", *columns)
-    filled = {tuple(row) for row in staged.select(*columns).distinct().toLocalIterator()}
-    if filled:
-        overwrite_partitions(staged, path, *columns)
-    for values in sorted(set(touched) - filled, key=str):
-        clear_partition(spark, path, df.schema, dict(zip(columns, values)))
+    with staged(df, "replace", *columns) as rows:
+        filled = {tuple(row) for row in rows.select(*columns).distinct().toLocalIterator()}
+        if filled:
+            overwrite_partitions(rows, path, *columns)
+        for values in sorted(set(touched) - filled, key=str):
+            clear_partition(spark, path, df.schema, dict(zip(columns, values)))
 
 
 def clear_partition(spark: SparkSession, path: str, schema: T.StructType, values: dict[str, object]) -> None:
@@ -105,9 +105,8 @@ def compact(
     table = spark.read.schema(schema).parquet(path)
     if values is not None:
         table = table.filter(F.col(column).isin(sorted(values)))
-    with advisory_size(spark, target_mb):
-        staged = stage(_balanced(table, (column,)), "compact", column)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    with advisory_size(spark, target_mb), staged(_balanced(table, (column,)), "compact", column) as rows:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
 def _balanced(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -61,29 +61,34 @@ def bootstrap_then_stream(stream_of, path: str, checkpoint: str, interval: str =
 def stream_raw_to_bronze(
     spark: SparkSession, raw: str, table: str, path: str, checkpoint: str, available_now: bool = False,
     interval: str = "90 seconds", files_per_batch: int | None = None,
-) -> StreamingQuery:
-    """Validate new JSON files of one table as they arrive and append them to bronze by day.
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Validate new JSON files of one table as they arrive and append them to `<path>/bronze/<table>/` by day.
 
-    The checkpoint remembers which files were read. Rows that fail validation stay
-    out of bronze; `plans.bronze.ingest` is the path that keeps them.
+    Rows that fail go to `<path>/rejected/<table>/` with their reasons. The
+    checkpoints remember which files were read.
     """
     schema = ENTITIES[table].bronze
     text = T.StructType([T.StructField(n, T.StringType()) for n in (*schema.names, CORRUPT)])
     reader = spark.readStream.schema(text).option("columnNameOfCorruptRecord", CORRUPT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    valid, _ = validate(reader.json(raw), schema)
+    valid, rejected = validate(reader.json(raw), schema)
     now = F.current_timestamp()
-    writer = (
+    bronze = (
         valid.withColumns(
             {"year": F.date_format(now, "yyyy"), "month": F.date_format(now, "MM"), "day": F.date_format(now, "dd")}
         )
         .writeStream.format("parquet")
         .partitionBy("year", "month", "day")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
+        .option("path", f"{path}/bronze/{table}")
+        .option("checkpointLocation", f"{checkpoint}/bronze")
     )
-    return _trigger(writer, available_now, interval).start()
+    errors = (
+        rejected.writeStream.format("json")
+        .option("path", f"{path}/rejected/{table}")
+        .option("checkpointLocation", f"{checkpoint}/rejected")
+    )
+    return _trigger(bronze, available_now, interval).start(), _trigger(errors, available_now, interval).start()
 
 
 def stream_apply_cdc(

@@ -35,6 +35,17 @@ def rows(columns, data):
     return sorted((tuple(_cell(r[i]) for i in order) for r in data), key=repr)
 
 
+# Spark type -> the DuckDB type that holds the same values.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(spark, con, folder: str, query, sql: str) -> dict:
     started = time.time()
     df = query(spark, folder)
@@ -43,11 +54,13 @@ def compare(spark, con, folder: str, query, sql: str) -> dict:
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     want = rows(names, result.fetchall())
-    same = sorted(df.columns) == sorted(names) and got == want
+    types = {d[0]: str(d[1]) for d in result.description}
+    mapped = {f.name: TYPES.get(f.dataType.simpleString()) for f in df.schema.fields}
+    same = types == mapped and got == want
     detail = None
     if not same:
         detail = {
-            "columns": (sorted(df.columns), sorted(names)),
+            "columns": sorted(set(types.items()) ^ set(mapped.items())),
             "only_spark": [r for r in got if r not in want][:3] if len(got) < 5000 else [a for a, b in zip(got, want) if a != b][:3],
             "only_duck": [r for r in want if r not in got][:3] if len(want) < 5000 else [b for a, b in zip(got, want) if a != b][:3],
         }

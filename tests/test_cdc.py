@@ -60,7 +60,7 @@ CHANGES = st.lists(
     max_size=12,
     unique_by=lambda c: c[3],
 )
-SLOW = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+SLOW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 @SLOW

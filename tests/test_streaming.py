@@ -54,13 +54,19 @@ def test_raw_to_bronze(spark, tmp_path):
     raw = tmp_path / "raw"
     good = {"brewery_id": 1, "brewery_name": "A", "operation": "insert"}
     add(raw, "1.json", [json.dumps(good), json.dumps({**good, "brewery_id": None}), "broken"])
-    for _ in range(2):
-        wait(stream_raw_to_bronze(spark, str(raw), "brewery", str(tmp_path / "bronze"), str(tmp_path / "ckpt"), available_now=True))
+
+    def run():
+        wait(*stream_raw_to_bronze(spark, str(raw), "brewery", str(tmp_path), str(tmp_path / "ckpt"), available_now=True))
+
+    run()
+    run()
     add(raw, "2.json", [json.dumps({**good, "brewery_id": 2})])
-    wait(stream_raw_to_bronze(spark, str(raw), "brewery", str(tmp_path / "bronze"), str(tmp_path / "ckpt"), available_now=True))
-    rows = spark.read.parquet(str(tmp_path / "bronze"))
+    run()
+    rows = spark.read.parquet(str(tmp_path / "bronze" / "brewery"))
     assert sorted(r.brewery_id for r in rows.collect()) == [1, 2]
     assert {"year", "month", "day"} <= set(rows.columns)
+    rejected = spark.read.json(str(tmp_path / "rejected" / "brewery"))
+    assert sorted(r.reasons[0].reason for r in rejected.collect()) == ["malformed_row", "missing_value"]
 
 
 def test_silver_upsert(spark, tmp_path):
