@@ -6,6 +6,8 @@ from pyspark.sql import Column, functions as F
 
 # File suffixes removed, one after the other, to get the base name.
 FILE_SUFFIXES = (".json.gz", ".csv.gz", ".gz", ".parquet")
+
+# Prefix of layer schemas, and the name part that tells batch CSV files from streamed JSON.
 LAYER_PREFIX = "dm_"
 BATCH_MARKER = "dm-batch-process"
 

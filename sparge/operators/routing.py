@@ -15,17 +15,23 @@ def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
     else under `unknown`, or `unparsed` when they are no envelope at all. Works the
     same on a batch and on a stream.
     """
-    text = F.btrim(F.col(value).cast("string"), F.lit(" \t\r\n"))
-    parsed = compute_once(df, _envelope=F.when(text.endswith("}"), F.try_parse_json(text)))
+    # Parsed as a one-element array, because the parser ignores what follows a value.
+    wrapped = F.concat(F.lit("["), F.col(value).cast("string"), F.lit("]"))
+    parsed = compute_once(df, _envelope=F.try_parse_json(wrapped))
     parsed = compute_once(
         parsed,
+        _kind=_kind("$[0]"),
+        _single=F.try_variant_get(F.col("_envelope"), "$[1]", "variant").isNull(),
         _table=_metadata("table-name"),
         _operation=_metadata("operation"),
-        _data=F.try_variant_get(F.col("_envelope"), "$.data", "map<string,variant>"),
-        _is_text=_metadata_is_text(),
+        _data=F.try_variant_get(F.col("_envelope"), "$[0].data", "map<string,variant>"),
+        _is_text=_is("$[0].metadata", "OBJECT<")
+        & _is("$[0].metadata['table-name']", "STRING")
+        & _is("$[0].metadata['operation']", "STRING"),
     )
+    is_envelope = F.col("_single") & (F.col("_kind").startswith("OBJECT<") | (F.col("_kind") == "VOID"))
     reason = (
-        F.when(F.col("_envelope").isNull() | ~F.col("_is_text"), "unparsed")
+        F.when(~F.coalesce(is_envelope & F.col("_is_text"), F.lit(False)), "unparsed")
         .when(F.coalesce(F.col("_table"), F.lit("")) == "", "missing_table")
         .when(F.col("_data").isNull(), "data_not_object")
     )
@@ -47,19 +53,17 @@ def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _metadata(name: str) -> Column:
-    return F.try_variant_get(F.col("_envelope"), f"$.metadata['{name}']", "string")
+    return F.try_variant_get(F.col("_envelope"), f"$[0].metadata['{name}']", "string")
 
 
-def _metadata_is_text() -> Column:
-    """Metadata is an object (or absent) and the fields read from it are text (or absent)."""
-    checks = [_kind("$.metadata", "OBJECT<")]
-    checks += [_kind(f"$.metadata['{n}']", "STRING") for n in ("table-name", "operation")]
-    return checks[0] & checks[1] & checks[2]
+def _kind(path: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get(F.col("_envelope"), path, "variant"))
 
 
-def _kind(path: str, prefix: str) -> Column:
-    kind = F.schema_of_variant(F.try_variant_get(F.col("_envelope"), path, "variant"))
-    return F.coalesce(kind.startswith(prefix) | (kind == "VOID"), F.lit(True))
+def _is(path: str, kind: str) -> Column:
+    """The value at `path` is of this kind, or null, or absent."""
+    found = _kind(path)
+    return F.coalesce(found.startswith(kind) | (found == "VOID"), F.lit(True))
 
 
 def route_cdc(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:

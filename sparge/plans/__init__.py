@@ -1 +1 @@
-"""Jobs that connect sources, operators and sinks, and the dashboard queries."""
+"""Jobs that connect sources, operators and sinks, and the dashboard panels."""

@@ -1,34 +1,61 @@
-"""Dashboard queries over marts and costs, as SQL with named parameters."""
+"""Dashboard panels over the marts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-# `{mart}` is the table to read. Ties in a top ten are settled by the key columns.
-QUERIES: dict[str, str] = {
-    "years": "SELECT DISTINCT CAST(review_year AS STRING) AS review_year FROM {mart} ORDER BY review_year DESC",
-    "months": "SELECT DISTINCT lpad(CAST(review_month AS STRING), 2, '0') AS review_month FROM {mart} ORDER BY review_month",
-    "top_beers": """
-        SELECT beer_name AS `Beer`, avg_rating AS `Avg Rating` FROM {mart}
-        WHERE review_year = :review_year AND review_month = :review_month
-        ORDER BY avg_rating DESC, beer_name, beer_id LIMIT 10""",
-    "top_breweries": """
-        SELECT brewery_name AS `Brewery`, avg_rating AS `Avg Rating` FROM {mart}
-        WHERE review_year = :review_year AND review_month = :review_month
-        ORDER BY avg_rating DESC, brewery_name, brewery_id LIMIT 10""",
-    "state_volume": """
-        SELECT state AS `State`, total_reviews AS `Reviews` FROM {mart}
-        WHERE review_year = :review_year AND review_month = :review_month""",
-    "styles": """
-        SELECT beer_style AS `Style`, total_reviews AS `Reviews`, avg_rating AS `Avg Rating` FROM {mart}
-        WHERE review_year = :review_year AND review_month = :review_month""",
-    "top_drinkers": """
-        SELECT profile_name AS `Profile`, total_reviews AS `Tastings` FROM {mart}
-        WHERE review_year = :review_year AND review_month = :review_month
-        ORDER BY total_reviews DESC, profile_name, profile_id LIMIT 10""",
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from sparge.operators.marts import top_k
+
+
+@dataclass(frozen=True)
+class Panel:
+    """Shown columns by title, for one month; with `by`, only the `k` largest.
+
+    `ties` settle which rows are shown among equals.
+    """
+
+    shown: dict[str, str]
+    by: str | None = None
+    ties: tuple[str, ...] = ()
+    k: int = 10
+
+
+PANELS = {
+    "top_beers": Panel({"Beer": "beer_name", "Avg Rating": "avg_rating"}, "avg_rating", ("beer_name", "beer_id")),
+    "top_breweries": Panel(
+        {"Brewery": "brewery_name", "Avg Rating": "avg_rating"}, "avg_rating", ("brewery_name", "brewery_id")
+    ),
+    "state_volume": Panel({"State": "state", "Reviews": "total_reviews"}),
+    "styles": Panel({"Style": "beer_style", "Reviews": "total_reviews", "Avg Rating": "avg_rating"}),
+    "top_drinkers": Panel(
+        {"Profile": "profile_name", "Tastings": "total_reviews"}, "total_reviews", ("profile_name", "profile_id")
+    ),
 }
 
 
-def dashboard(spark: SparkSession, name: str, mart: DataFrame, **parameters) -> DataFrame:
-    """Run one dashboard query on a mart, e.g. `dashboard(spark, "styles", mart, review_year=1998, review_month=7)`."""
-    return spark.sql(QUERIES[name], args=parameters, mart=mart)
+def panel(mart: DataFrame, name: str, review_year: int, review_month: int) -> DataFrame:
+    """One panel of a mart, e.g. `panel(mart, "styles", 1998, 7)`.
+
+    The month is compared with the partition columns, so only its folder is read.
+    """
+    chosen = PANELS[name]
+    rows = mart.filter((F.col("review_year") == review_year) & (F.col("review_month") == review_month))
+    if chosen.by:
+        rows = top_k(rows, chosen.by, chosen.k, chosen.ties)
+    return rows.select(*[F.col(column).alias(title) for title, column in chosen.shown.items()])
+
+
+def years(mart: DataFrame) -> DataFrame:
+    """Years to pick from, latest first."""
+    return _choices(mart, "review_year", F.col("review_year").cast("string")).orderBy(F.desc("review_year"))
+
+
+def months(mart: DataFrame) -> DataFrame:
+    """Months to pick from, as two digits."""
+    return _choices(mart, "review_month", F.lpad(F.col("review_month").cast("string"), 2, "0")).orderBy("review_month")
+
+
+def _choices(mart: DataFrame, name: str, text: Column) -> DataFrame:
+    return mart.select(name).distinct().select(text.alias(name))

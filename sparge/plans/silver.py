@@ -62,8 +62,10 @@ def refresh_flat(spark: SparkSession, root: str, days: Sequence[str], active_onl
     """
     dims = {n: read_or_empty(spark, f"{root}/silver/{n}", ENTITIES[n].silver) for n in ("beer", "brewery", "profile")}
     review = read_partitions(spark, f"{root}/silver/review", days, ENTITIES["review"].silver)
-    flat = build_review_flat(active(review) if active_only else review, **dims)
-    replace_partitions(spark, flat, f"{root}/silver/review_flat", [(day,) for day in days], PARTITION)
+    review = active(review) if active_only else review
+    flat = build_review_flat(review, **dims)
+    present = [(day,) for day in _days(review)]
+    replace_partitions(spark, flat, f"{root}/silver/review_flat", [(day,) for day in days], PARTITION, filled=present)
 
 
 def run_silver(spark: SparkSession, root: str, table: str, now: Column) -> list[str]:

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from sparge import fixtures as fx
 from sparge.contracts import COSTS, ENTITIES, columns
 from sparge.operators import cdc, costs, flat, governance, ledger, routing
+from sparge.plans import dashboards
 from sparge.operators.marts import MARTS, Mart, build_mart
 from sparge.operators.validate import conform, normalize_blanks, union_all, validate
 from sparge.plans.bronze import load_seed
-from sparge.plans.dashboards import dashboard
 from sparge.plans.gold import mart_schema, rebuild_months
 from sparge.plans.silver import apply_changes
 from sparge.session import configure, empty_frame, folder_bytes, scratch_path, stage
@@ -420,16 +420,16 @@ def gold_affected_states(spark, folder):
 
 @query
 def dash_years(spark, folder):
-    return dashboard(spark, "years", _mart(spark, folder, "top_breweries_by_rating"))
+    return dashboards.years(_mart(spark, folder, "top_breweries_by_rating"))
 
 
 @query
 def dash_months(spark, folder):
-    return dashboard(spark, "months", _mart(spark, folder, "top_breweries_by_rating"))
+    return dashboards.months(_mart(spark, folder, "top_breweries_by_rating"))
 
 
 def _dash(spark: SparkSession, folder: str, name: str, mart: str, least: int | None = None) -> DataFrame:
-    return dashboard(spark, name, _mart(spark, folder, mart, least), review_year=YEAR, review_month=MONTH)
+    return dashboards.panel(_mart(spark, folder, mart, least), name, YEAR, MONTH)
 
 
 @query

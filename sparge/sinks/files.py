@@ -56,19 +56,37 @@ def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
 
 
 def replace_partitions(
-    spark: SparkSession, df: DataFrame, path: str, touched: Iterable[tuple], *columns: str
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    touched: Iterable[tuple],
+    *columns: str,
+    filled: Iterable[tuple] | None = None,
 ) -> None:
     """Replace all `touched` partitions by the rows of `df`, also those left without rows.
 
     `df` may read from `path`: it is staged first, so the overwrite reads only
-    staged files and can be repeated after a failure.
+    staged files and can be repeated after a failure. Where `df` reads other tables
+    alone and the partitions it has rows for are known, pass them as `filled`: then
+    it is written straight away.
     """
+    touched = set(touched)
+    if filled is not None:
+        filled = set(filled) & touched
+        _replace(spark, df, path, touched, filled, columns)
+        return
     with staged(df, "replace", *columns) as rows:
         filled = {tuple(row) for row in rows.select(*columns).distinct().toLocalIterator()}
-        if filled:
-            overwrite_partitions(rows, path, *columns)
-        for values in sorted(set(touched) - filled, key=str):
-            clear_partition(spark, path, df.schema, dict(zip(columns, values)))
+        _replace(spark, rows, path, touched, filled, columns)
+
+
+def _replace(
+    spark: SparkSession, df: DataFrame, path: str, touched: set[tuple], filled: set[tuple], columns: Iterable[str]
+) -> None:
+    if filled:
+        overwrite_partitions(df, path, *columns)
+    for values in sorted(touched - filled, key=str):
+        clear_partition(spark, path, df.schema, dict(zip(columns, values)))
 
 
 def clear_partition(spark: SparkSession, path: str, schema: T.StructType, values: dict[str, object]) -> None:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from sparge.session import empty_frame, path_exists
 
 CORRUPT = "_corrupt_record"
+# Names and times of this many files take about 20 MB; a longer list is joined as Spark sees fit.
+BROADCAST_FILES = 100_000
 
 
 def _csv_reader(spark: SparkSession):
@@ -49,10 +51,11 @@ def read_csv_split(spark: SparkSession, path: str | list[str], schema: T.StructT
 def read_csv_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All columns as text plus `_corrupt_record`, for `operators.validate`.
 
-    Columns are named by the header, so their order in the file is free. Column
-    pruning is off because a pruned parser does not notice short or long rows.
+    Columns are named by the header, so their order is free; the files of one call
+    must agree on it, or the read fails. Column pruning is off because a pruned
+    parser does not notice short or long rows.
     """
-    names = spark.read.option("header", True).csv(path).columns
+    names = spark.read.option("header", True).csv(path if isinstance(path, str) else path[0]).columns
     schema = T.StructType([T.StructField(n.strip(), T.StringType()) for n in (*names, CORRUPT)])
     return (
         _csv_reader(spark)
@@ -119,6 +122,8 @@ def read_batch(spark: SparkSession, root: str, entries: DataFrame, schema: T.Str
     key_of_file = F.substring_index(F.col("_metadata.file_path"), f"{local_root}/", -1)
     position = F.struct(key_of_file.alias("file"), F.col("_metadata.row_index").alias("row"))
     stamps = entries.groupBy(F.col("object_key").alias("_key")).agg(F.max("created_at").alias("_control_ts"))
+    if len(keys) <= BROADCAST_FILES:
+        stamps = F.broadcast(stamps)
     placed = files.withColumns({"_key": key_of_file, "_position": position})
     return placed.join(stamps, "_key").drop("_key")
 

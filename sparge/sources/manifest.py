@@ -9,8 +9,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# binaryFile holds one file's stored bytes in one row; Spark's own limit is 2 GiB.
-MAX_HASHED_BYTES = 1 << 30
+# Up to this size a file's stored bytes travel in one row; Spark's own limit is 2 GiB.
+MAX_ROW_BYTES = 256 << 20
 
 
 def file_manifest(spark: SparkSession, path: str, fmt: str) -> DataFrame:
@@ -48,44 +48,63 @@ def file_manifest(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     )
 
 
-def content_checksums(spark: SparkSession, path: str) -> DataFrame:
+def content_checksums(spark: SparkSession, path: str, max_row_bytes: int = MAX_ROW_BYTES) -> DataFrame:
     """SHA-256 of each file's stored bytes and of its uncompressed content.
 
-    A digest needs a file's bytes in order, so each file is one row of one task;
-    files above `MAX_HASHED_BYTES` get null digests and are covered by the
-    fingerprint of `file_manifest`.
+    A digest needs the bytes of a file in order, so each file is the work of one task.
+    Files above `max_row_bytes` are read as a stream inside the task instead of
+    as one row.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    small = files.filter(F.col("length") <= MAX_HASHED_BYTES)
-    large = files.filter(F.col("length") > MAX_HASHED_BYTES).select(
-        "path", "length", F.lit(None).cast("string").alias("stored_sha256"), F.lit(None).cast("string").alias("checksum")
-    )
-    return small.select(
-        "path", "length", F.sha2("content", 256).alias("stored_sha256"), _inflated_sha256("content").alias("checksum")
-    ).unionByName(large)
+    small = files.filter(F.col("length") <= max_row_bytes).withColumn("digest", _digests(F.col("content")))
+    large = files.filter(F.col("length") > max_row_bytes).select("path", "length")
+    # Few rows, each much work: one task per file.
+    large = large.repartition(spark.sparkContext.defaultParallelism, "path").withColumn("digest", _digests(F.col("path")))
+    both = small.select("path", "length", "digest").unionByName(large)
+    return both.select("path", "length", F.col("digest.stored").alias("stored_sha256"), F.col("digest.inflated").alias("checksum"))
 
 
-def _inflated_sha256(column: str) -> Column:
-    """Digest of gzip content, inflated chunk by chunk; other content is hashed as it is."""
+def _digests(source: Column) -> Column:
+    """Digests of file content (binary) or of the file at a path (text), chunk by chunk."""
 
     # Nested, so that executors need no copy of this package.
-    def digest(stored: bytes) -> str:
-        total = hashlib.sha256()
-        if stored[:2] != b"\x1f\x8b":
-            total.update(stored)
-            return total.hexdigest()
-        view, start, step = memoryview(stored), 0, 1 << 22
-        while start < len(view):  # a gzip file may hold several members
-            member = zlib.decompressobj(wbits=31)
-            while start < len(view) and not member.eof:
-                chunk = view[start : start + step]
-                total.update(member.decompress(chunk))
-                start += len(chunk) - len(member.unused_data)
-            total.update(member.flush())
-        return total.hexdigest()
-
-    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def chunks(value: bytes | str) -> Iterator[memoryview]:
+        step = 1 << 22
+        if isinstance(value, bytes):
+            view = memoryview(value)
+            for start in range(0, len(view), step):
+                yield view[start : start + step]
+            return
+        from pyarrow import fs
+
+        uri = value.replace("file:/", "file:///", 1) if value.startswith("file:/") and "://" not in value else value
+        system, name = fs.FileSystem.from_uri(uri)
+        with system.open_input_stream(name, compression=None) as stream:
+            while chunk := stream.read(step):
+                yield memoryview(chunk)
+
+    def digest(value: bytes | str) -> tuple[str, str]:
+        stored, inflated = hashlib.sha256(), hashlib.sha256()
+        member = None
+        is_gzip = None
+        for chunk in chunks(value):
+            stored.update(chunk)
+            if is_gzip is None:
+                is_gzip = bytes(chunk[:2]) == b"\x1f\x8b"
+            if not is_gzip:
+                inflated.update(chunk)
+                continue
+            rest = chunk
+            while len(rest):  # a gzip file may hold several members
+                if member is None or member.eof:
+                    member = zlib.decompressobj(wbits=31)
+                inflated.update(member.decompress(rest))
+                rest = memoryview(member.unused_data)
+        return stored.hexdigest(), inflated.hexdigest()
+
+    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.map(digest)
+            yield pd.DataFrame([digest(value) for value in batch], columns=["stored", "inflated"])
 
-    return F.pandas_udf(digests, T.StringType())(column)
+    pair = T.StructType([T.StructField("stored", T.StringType()), T.StructField("inflated", T.StringType())])
+    return F.pandas_udf(digests, pair)(source)

@@ -9,9 +9,9 @@ from sparge import fixtures as fx
 from sparge.contracts import COSTS, REVIEW_FLAT
 from sparge.operators import costs
 from sparge.operators.cdc import fold_changes, merge_upsert
-from sparge.operators.flat import orphans
+from sparge.operators.flat import build_review_flat, orphans
 from sparge.operators.marts import MARTS, build_mart
-from sparge.plans.dashboards import dashboard
+from sparge.plans.dashboards import panel
 from sparge.plans.gold import mart_schema, rebuild_months
 from sparge.session import scratch_path
 from sparge.sinks.files import append_partitioned, publish_mart
@@ -73,7 +73,7 @@ def test_dashboards_and_costs_prune_partitions(spark, folder):
     path = scratch_path(spark, "mart")
     publish_mart(build_mart(fx.review_flat(spark, folder, MARTS["state_by_review_volume"].columns), "state_by_review_volume"), path)
     mart = spark.read.schema(mart_schema("state_by_review_volume")).parquet(path)
-    text = plan(dashboard(spark, "state_volume", mart, review_year=1998, review_month=7))
+    text = plan(panel(mart, "state_volume", 1998, 7))
     assert "PartitionFilters: [isnotnull(review_year" in text
 
     path = scratch_path(spark, "costs")
@@ -85,6 +85,33 @@ def test_dashboards_and_costs_prune_partitions(spark, folder):
     assert "TakeOrderedAndProject" in text
 
 
+def test_hot_key_of_a_join_is_split(spark, no_broadcast):
+    """A third of the reviews name one profile; AQE reads that partition in several tasks."""
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        ids = spark.range(0, 300_000, numPartitions=8)
+        hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5_000)
+        review = ids.select(F.col("id").alias("review_id"), hot.alias("profile_id"), F.xxhash64("id").alias("review_time"))
+        profile = spark.range(5_000).select(
+            F.col("id").alias("profile_id"), F.lit("n").alias("profile_name"), F.lit("e").alias("email"), F.lit("WA").alias("state")
+        )
+        flat = build_review_flat(review, profile, profile, profile, columns=["review_id", "review_time", "profile_id", "state"])
+        rows = flat.groupBy("state").count()
+        assert [tuple(r) for r in rows.collect()] == [("WA", 300_000)]
+        assert "skew=true" in plan(rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_orphans_reduce_before_a_shuffled_join(spark, folder, no_broadcast):
     text = plan(orphans(fx.review(spark, folder, ("beer_id",)), fx.beer(spark, folder), "beer_id"))
     assert text.index("LeftAnti") < text.index("partial_count")

@@ -39,12 +39,19 @@ def test_missing_operation_is_empty(spark):
         ("not json", "unparsed", "unparsed"),
         ('{"data":{"a":1', "unparsed", "unparsed"),
         (GOOD + " trailing", "unparsed", "unparsed"),
+        (GOOD + GOOD, "unparsed", "unparsed"),
+        (GOOD + "," + GOOD, "unparsed", "unparsed"),
+        (GOOD + ",null", "unparsed", "unparsed"),
+        ("", "unparsed", "unparsed"),
+        ("7", "unparsed", "unparsed"),
+        ('"text"', "unparsed", "unparsed"),
         ("[1]", "unparsed", "unparsed"),
         (None, "unparsed", "unparsed"),
         (envelope({"a": 1}, table_name=5), "unparsed", "unparsed"),
         (envelope({"a": 1}, table_name="t", operation=5), "unparsed", "unparsed"),
         ('{"data":{"a":1},"metadata":"x"}', "unparsed", "unparsed"),
         ("{}", "unknown", "missing_table"),
+        ("null", "unknown", "missing_table"),
         ('{"data":{"a":1}}', "unknown", "missing_table"),
         (envelope({"a": 1}, operation="insert"), "unknown", "missing_table"),
         (envelope({"a": 1}, table_name=""), "unknown", "missing_table"),
@@ -74,6 +81,11 @@ def test_large_numbers_keep_their_digits(spark):
     assert json.loads(ok.first().payload)["id"] == 9007199254740993
 
 
+def test_the_last_of_two_equal_keys_counts(spark):
+    ok, _ = route_cdc(frame(spark, ' {"data":{"a":1,"a":2},"metadata":{"table-name":"t"}}\n'))
+    assert json.loads(ok.first().payload)["a"] == 2
+
+
 def test_each_envelope_is_parsed_once(spark):
     ok, _ = route_cdc(frame(spark, GOOD))
     plan = ok._jdf.queryExecution().optimizedPlan().toString()

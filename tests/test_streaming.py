@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparge.contracts import ENTITIES
 from sparge.operators.cdc import CONTROL_TS
 from sparge.sources.streams import read_cdc_stream
-from sparge.streaming.jobs import stream_apply_cdc, stream_raw_to_bronze, write_routed_stream
+from sparge.streaming.jobs import bootstrap_then_stream, stream_apply_cdc, stream_raw_to_bronze, write_routed_stream
 
 BREWERY = ENTITIES["brewery"]
 
@@ -50,6 +50,23 @@ def test_router_restarts_without_repeating(spark, tmp_path):
     assert {(r.drop_reason, r.table_name) for r in errors.collect()} == {("unparsed", "unparsed"), ("missing_table", "unknown")}
 
 
+def test_backlog_then_changes(spark, tmp_path):
+    add(tmp_path / "in", "1.txt", [envelope(i) for i in range(20)])
+    queries = bootstrap_then_stream(
+        lambda: read_cdc_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ckpt"), interval="1 second"
+    )
+    try:
+        add(tmp_path / "in", "2.txt", [envelope(99), "broken"])
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    routed = spark.read.json(str(tmp_path / "out" / "raw"))
+    assert sorted(r.brewery_id for r in routed.collect()) == [*range(20), 99]
+    assert spark.read.json(str(tmp_path / "out" / "errors")).count() == 1
+
+
 def test_raw_to_bronze(spark, tmp_path):
     raw = tmp_path / "raw"
     good = {"brewery_id": 1, "brewery_name": "A", "operation": "insert"}
