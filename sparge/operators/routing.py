@@ -17,29 +17,42 @@ def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
     """
     # Parsed as a one-element array, because the parser ignores what follows a value.
     wrapped = F.concat(F.lit("["), F.col(value).cast("string"), F.lit("]"))
-    parsed = compute_once(df, _envelope=F.try_parse_json(wrapped))
+    parsed = compute_once(df, _array=F.try_parse_json(wrapped))
     parsed = compute_once(
         parsed,
-        _kind=_kind("$[0]"),
-        _single=F.try_variant_get(F.col("_envelope"), "$[1]", "variant").isNull(),
-        _table=_metadata("table-name"),
-        _operation=_metadata("operation"),
-        _data=F.try_variant_get(F.col("_envelope"), "$[0].data", "map<string,variant>"),
-        _is_text=_is("$[0].metadata", "OBJECT<")
-        & _is("$[0].metadata['table-name']", "STRING")
-        & _is("$[0].metadata['operation']", "STRING"),
+        _envelope=_object(F.col("_array"), "$[0]"),
+        _empty=F.is_variant_null(F.try_variant_get("_array", "$[0]", "variant")),
+        _single=F.try_variant_get("_array", "$[1]", "variant").isNull(),
     )
-    is_envelope = F.col("_single") & (F.col("_kind").startswith("OBJECT<") | (F.col("_kind") == "VOID"))
+    parsed = compute_once(
+        parsed,
+        _data=_object(F.try_element_at("_envelope", F.lit("data"))),
+        _metadata=_object(F.try_element_at("_envelope", F.lit("metadata"))),
+        _has_metadata=~_absent(F.try_element_at("_envelope", F.lit("metadata"))),
+    )
+    table = F.try_element_at("_metadata", F.lit("table-name"))
+    operation = F.try_element_at("_metadata", F.lit("operation"))
+    parsed = compute_once(
+        parsed,
+        _table=F.try_variant_get(table, "$", "string"),
+        _operation=F.try_variant_get(operation, "$", "string"),
+        _is_text=_text_or_absent(table) & _text_or_absent(operation),
+    )
+    is_envelope = F.col("_single") & (F.col("_envelope").isNotNull() | F.col("_empty"))
+    is_metadata = F.col("_metadata").isNotNull() | ~F.col("_has_metadata")
     reason = (
-        F.when(~F.coalesce(is_envelope & F.col("_is_text"), F.lit(False)), "unparsed")
+        F.when(~F.coalesce(is_envelope & is_metadata & F.col("_is_text"), F.lit(False)), "unparsed")
         .when(F.coalesce(F.col("_table"), F.lit("")) == "", "missing_table")
         .when(F.col("_data").isNull(), "data_not_object")
     )
     operation = F.coalesce(F.col("_operation"), F.lit(""))
-    flat = F.map_concat(
-        F.map_filter("_data", lambda k, _: k != "operation"),
-        F.create_map(F.lit("operation"), operation.cast(T.VariantType())),
-    )
+    # The data's own `operation`, if it has one, gives way to that of the metadata.
+    data = F.when(
+        F.map_contains_key("_data", "operation"), F.map_filter("_data", lambda key, _: key != "operation")
+    ).otherwise(F.col("_data"))
+    tagged = F.concat(F.lit('{"operation":'), F.to_json(operation.cast(T.VariantType())))
+    rest = F.substring(F.to_json(data), 2, 2**31 - 1)
+    payload = F.when(F.size(data) == 0, F.concat(tagged, F.lit("}"))).otherwise(F.concat(tagged, F.lit(","), rest))
     return parsed.select(
         *df.columns,
         F.when(reason == "unparsed", "unparsed")
@@ -47,23 +60,22 @@ def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
         .otherwise(F.col("_table"))
         .alias("table_name"),
         operation.alias("operation"),
-        F.when(reason.isNull(), F.to_json(flat)).alias("payload"),
+        F.when(reason.isNull(), payload).alias("payload"),
         reason.alias("drop_reason"),
     )
 
 
-def _metadata(name: str) -> Column:
-    return F.try_variant_get(F.col("_envelope"), f"$[0].metadata['{name}']", "string")
+def _object(value: Column, path: str = "$") -> Column:
+    """Fields of a JSON object, or null for anything else."""
+    return F.try_variant_get(value, path, "map<string,variant>")
 
 
-def _kind(path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(F.col("_envelope"), path, "variant"))
+def _absent(value: Column) -> Column:
+    return value.isNull() | F.is_variant_null(value)
 
 
-def _is(path: str, kind: str) -> Column:
-    """The value at `path` is of this kind, or null, or absent."""
-    found = _kind(path)
-    return F.coalesce(found.startswith(kind) | (found == "VOID"), F.lit(True))
+def _text_or_absent(value: Column) -> Column:
+    return value.isNull() | F.schema_of_variant(value).isin("STRING", "VOID")
 
 
 def route_cdc(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:

@@ -28,6 +28,12 @@ def test_payload_carries_the_operation(spark):
     assert dropped.count() == 0
 
 
+@pytest.mark.parametrize("data", [{}, {"operation": 1}, {"a": 'x"\\\n'}])
+def test_payload_is_valid_json(spark, data):
+    ok, _ = route_cdc(frame(spark, envelope(data, table_name="t", operation='o"\\')))
+    assert json.loads(ok.first().payload) == {**data, "operation": 'o"\\'}
+
+
 def test_missing_operation_is_empty(spark):
     row = route_cdc(frame(spark, envelope({"a": 1}, table_name="t")))[0].first()
     assert json.loads(row.payload) == {"a": 1, "operation": ""}
