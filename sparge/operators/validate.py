@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from sparge.functions.once import compute_once
 from sparge.functions.text import blank_to_null
@@ -86,12 +86,15 @@ def _reason(column: str, reason: str) -> Column:
     return F.struct(F.lit(column).alias("column"), F.lit(reason).alias("reason")).cast(_REASON)
 
 
-def validate(raw: DataFrame, schema: T.StructType, on_malformed: str = "reject") -> tuple[DataFrame, DataFrame]:
+def validate(
+    raw: DataFrame, schema: T.StructType, on_malformed: str = "reject", counts: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Split raw rows into typed valid rows and rejected rows with their reasons.
 
     Rejected rows keep their texts and have `reasons`, an array of `(column, reason)`.
     `on_malformed`: `reject` keeps malformed lines among the rejected, `drop` leaves
-    them out, `fail` stops the job at the first one.
+    them out, `fail` stops the job at the first one. `counts` receives `valid` and
+    `rejected` from the first action on the valid rows, without a pass of its own.
     """
     if on_malformed not in ("reject", "drop", "fail"):
         raise ValueError(f"unknown option: {on_malformed}")
@@ -102,7 +105,11 @@ def validate(raw: DataFrame, schema: T.StructType, on_malformed: str = "reject")
         checked = checked.withColumn("_valid", F.when(F.col(CORRUPT).isNull(), F.col("_valid")).otherwise(stop))
     elif has_corrupt and on_malformed == "drop":
         checked = checked.filter(F.col(CORRUPT).isNull())
-    valid = checked.filter("_valid").select(*schema.names)
+    counted = checked
+    if counts is not None:
+        tallies = F.count_if("_valid").alias("valid"), F.count_if(~F.col("_valid")).alias("rejected")
+        counted = checked.observe(counts, *tallies)
+    valid = counted.filter("_valid").select(*schema.names)
     kept = [CORRUPT] if has_corrupt else []
     reasons = _reasons(schema, set(raw.columns), has_corrupt).alias("reasons")
     rejected = checked.filter("NOT _valid").select(

@@ -45,15 +45,21 @@ def _relative(column: str, layer: str, table: str) -> Column:
 
 
 def bronze_rows(
-    spark: SparkSession, paths: Sequence[str], table: str, fmt: str, mask: str | Sequence[str] | None = "auto"
+    spark: SparkSession,
+    paths: Sequence[str],
+    table: str,
+    fmt: str,
+    mask: str | Sequence[str] | None = "auto",
+    counts: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Valid bronze rows (masked, tagged, in contract order) and rejected rows."""
     schema = ENTITIES[table].bronze
     raw = read_csv_raw(spark, list(paths)) if fmt == "csv" else read_json_raw(spark, list(paths), schema)
     if "operation" not in raw.columns:  # batch files hold plain inserts
         raw = raw.withColumn("operation", F.lit("insert"))
-    valid, rejected = validate(raw, schema)
-    masked = columns_to_mask(valid.drop("operation"), mask)
+    # Detection looks at the first rows with an action of its own, which must not be the one counted.
+    masked = columns_to_mask(validate(raw, schema)[0].drop("operation"), mask)
+    valid, rejected = validate(raw, schema, counts=counts)
     return tag_pii(conform(mask_columns(valid, masked), schema), masked), rejected
 
 
@@ -68,28 +74,28 @@ def run_bronze(
 ) -> dict[str, int]:
     """Process all eligible raw files of one table: bronze rows, rejected rows, ledger states.
 
-    Data is written before the success rows, so a failure leads to a retry. Rejected
-    rows cost a second pass, taken only when there are any. The bronze files written
-    are registered as pending for silver.
+    Data is written before the success rows, so a failure leads to a retry. The pass
+    that writes the valid rows counts the rejected ones; only if there are any, a
+    second pass writes them. The bronze files written are registered as pending for
+    silver.
     """
     root = root.rstrip("/")
     log = ledger.read_log(spark, log_path(root))
     ledger.append(ledger.register_files(log, raw_manifest(spark, root, table, fmt), now), log_path(root))
-    counts = {"files": 0, "valid": 0, "rejected": 0}
+    done = {"files": 0, "valid": 0, "rejected": 0}
 
     def work(started: DataFrame) -> None:
         paths = [f"{root}/{row.object_key}" for row in started.select("object_key").toLocalIterator()]
-        valid, rejected = bronze_rows(spark, paths, table, fmt, mask)
-        good, bad = Observation(), Observation()
-        write_bronze(valid.observe(good, F.count("*").alias("n")), f"{root}/bronze/{table}", now)
-        counts.update(files=len(paths), valid=good.get["n"])
-        if not rejected.isEmpty():
-            rejected.observe(bad, F.count("*").alias("n")).write.mode("append").json(f"{root}/rejected/{table}")
-            counts["rejected"] = bad.get["n"]
+        counts = Observation()
+        valid, rejected = bronze_rows(spark, paths, table, fmt, mask, counts)
+        write_bronze(valid, f"{root}/bronze/{table}", now)
+        done.update(files=len(paths), **counts.get)
+        if done["rejected"]:
+            rejected.write.mode("append").json(f"{root}/rejected/{table}")
         ledger.append(bronze_entries(spark, root, table, now), log_path(root))
 
     run_entries(spark, root, layer_schema("bronze"), table, now, work)
-    return counts
+    return done
 
 
 def bronze_entries(spark: SparkSession, root: str, table: str, now: Column) -> DataFrame:
