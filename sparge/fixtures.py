@@ -10,7 +10,7 @@ from sparge.contracts import AUDIT, REVIEW, REVIEW_FLAT, columns as schema
 from sparge.functions import keys
 from sparge.functions.time import partition_day
 from sparge.operators.cdc import CONTROL_TS
-from sparge.operators.flat import build_review_flat
+from sparge.operators.flat import DIMENSION_COLUMNS, build_review_flat
 from sparge.session import folder_bytes
 
 ENTITY_NAMES = ("brewery", "beer", "profile", "review")
@@ -87,18 +87,11 @@ def review_flat(spark: SparkSession, folder: str, columns: Sequence[str] | None
     """The flat view; with `columns`, only the joins these need."""
     wanted = list(columns or REVIEW_FLAT.names)
     dims = {"beer": beer(spark, folder), "brewery": brewery(spark, folder), "profile": profile(spark, folder)}
-    supplied = {c: k for k, cs in _SUPPLIERS.items() for c in cs}
-    needed = dict.fromkeys([c for c in wanted if c not in supplied] + [supplied[c] for c in wanted if c in supplied])
+    key_of = {c: key for key, supplied in DIMENSION_COLUMNS.values() for c in supplied}
+    needed = dict.fromkeys([key_of.get(c, c) for c in wanted])
     return build_review_flat(review(spark, folder, list(needed)), **dims, columns=wanted)
 
 
-_SUPPLIERS = {
-    "beer_id": ("beer_name", "beer_style", "beer_abv"),
-    "brewery_id": ("brewery_name",),
-    "profile_id": ("profile_name", "email", "state"),
-}
-
-
 # --- raw files ------------------------------------------------------------
 
 # Default size of one input split.
