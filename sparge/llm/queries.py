@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparge.llm.common import settings
 from sparge.llm.exact_dedup import exact_dedup
+from sparge.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,3 +34,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).drop("row_hash")
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
