@@ -117,10 +117,6 @@ def _local_offsets(weight: int, group: int | None) -> Callable[[Iterator[pa.Reco
     return run
 
 
-def batch_of(**columns: tuple[list, pa.DataType]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], list(columns))
-
-
 # ASCII letters in lower case and digits stay, other ASCII characters become a space, bytes of other characters stay.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparge.llm.common import settings
+from sparge.llm.decontaminate import contaminations
 from sparge.llm.exact_dedup import exact_dedup
+from sparge.llm.langid import identify
+from sparge.llm.packing import pack, piece_digests
 from sparge.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +42,26 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(pack(documents(spark, sf_dir)))
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: the items they hold (comma-joined), how many, the best score, and whether there are any."""
+    found = contaminations(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        F.array_join(F.expr("transform(hits, h -> cast(h.item_id as string))"), ",").alias("item_ids"),
+        F.size("hits").cast("long").alias("n_items"),
+        F.coalesce(F.array_max(F.expr("transform(hits, h -> h.score)")), F.lit(0.0)).alias("score"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
