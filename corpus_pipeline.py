@@ -2,16 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparge.llm.exact_dedup import drop_exact_copies
+from sparge.llm import decontaminate, exact_dedup, langid, packing, simhash
+from sparge.llm.common import write_stage
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_exact_copies(docs)
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: null texts and texts without a letter."""
+    prototypes = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
+    return langid.keep_known(docs, prototypes)
 
 
-STAGES = [("exact dedup", exact_dedup)]
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, white space aside, the longest stays."""
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near-duplicates, the document with the smallest doc_id stays."""
+    return simhash.drop_near_copies(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2048 tokens, by checksum."""
+    return packing.piece_digests(packing.pack(docs))
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("exact dedup", drop_exact_copies),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", decontaminated),
+    ("packing", packed),
+]
 
 # Fingerprints, learned prototypes and packing along a curve are beyond SQL; tests/llm holds the brute-force versions.
 ORACLE_SQL = None
@@ -19,6 +48,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = write_stage(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
