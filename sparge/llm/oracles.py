@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sparge.llm.licenses import scan_sql
+
 OP3 = r"""
 WITH n AS (SELECT doc_id, coalesce(text, '') AS text,
                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
@@ -12,4 +14,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3}
+    return {"op1_license_scan": scan_sql(), "op3_exact_dedup": OP3}

@@ -10,6 +10,7 @@ from sparge.llm.common import settings
 from sparge.llm.decontaminate import contaminations
 from sparge.llm.exact_dedup import exact_dedup
 from sparge.llm.langid import identify
+from sparge.llm.licenses import scan
 from sparge.llm.packing import pack, piece_digests
 from sparge.llm.simhash import near_duplicates
 
@@ -34,6 +35,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir))
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).drop("row_hash")
