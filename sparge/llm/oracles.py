@@ -12,6 +12,22 @@ g AS (SELECT *, count(*) OVER (PARTITION BY norm) AS group_size,
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
+OP4 = r"""
+WITH u AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+           FROM pages),
+p AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                                      ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (SELECT page_id, r.host || r.path AS rule, r.verdict,
+                row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC, r.host || r.path) AS n
+         FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)),
+listed AS (SELECT DISTINCT host || path AS key FROM p WHERE regexp_matches(url, '^[^#]*[?&]utm_'))
+SELECT p.page_id, p.host, p.path, f.rule,
+       coalesce(f.verdict, CASE WHEN p.host || p.path IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN fits f ON p.page_id = f.page_id AND f.n = 1
+"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_license_scan": scan_sql(), "op3_exact_dedup": OP3}
+    return {"op1_license_scan": scan_sql(), "op3_exact_dedup": OP3, "op4_url_filter": OP4}

@@ -13,6 +13,7 @@ from sparge.llm.langid import identify
 from sparge.llm.licenses import scan
 from sparge.llm.packing import pack, piece_digests
 from sparge.llm.simhash import near_duplicates
+from sparge.llm.url_filter import judge, tracked_keys
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +51,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return judge(pages, tracked_keys(pages)).drop("listed")
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(pack(documents(spark, sf_dir)))
