@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparge.llm.common import settings
@@ -13,7 +14,9 @@ from sparge.llm.langid import identify
 from sparge.llm.licenses import scan
 from sparge.llm.packing import pack, piece_digests
 from sparge.llm.simhash import near_duplicates
+from sparge.llm.token_counts import count_tokens
 from sparge.llm.url_filter import judge, tracked_keys
+from sparge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +44,13 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
 
 
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache, so every distinct text is encoded."""
+    cache = scratch_path(spark, "llm-token-cache")
+    return count_tokens(documents(spark, sf_dir), cache, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).drop("row_hash")
