@@ -13,9 +13,11 @@ from sparge.llm.exact_dedup import exact_dedup
 from sparge.llm.langid import identify
 from sparge.llm.licenses import scan
 from sparge.llm.packing import pack, piece_digests
+from sparge.llm.sharding import shard
 from sparge.llm.simhash import near_duplicates
 from sparge.llm.token_counts import count_tokens
 from sparge.llm.url_filter import judge, tracked_keys
+from sparge.llm.warc import read_archives, shared_uri, write_archives
 from sparge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +90,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.expr("transform(hits, h -> h.score)")), F.lit(0.0)).alias("score"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return shard(documents(spark, sf_dir)).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_uri(spark, "warc")
+    archives = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return read_archives(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
