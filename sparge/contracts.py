@@ -91,6 +91,9 @@ REVIEW_FLAT = columns(
     " created_at timestamp, updated_at timestamp, deleted_at timestamp, partitioned_at string"
 )
 
+# Where a bronze row comes from: its raw file and its place there. In this order they say which change is newer.
+RAW_ORDER = columns("_raw_time timestamp, _raw_key string, _raw_block bigint, _raw_row bigint")
+
 LEDGER = columns(
     "control_id string, object_key string, schema_name string, table_name string,"
     " record_count bigint, file_format string, file_size bigint, checksum string,"

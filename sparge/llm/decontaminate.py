@@ -25,7 +25,7 @@ THRESHOLD = 0.6
 SHINGLE = 5
 OVERLAP = 0.8
 # Items per block of the index; more when there would be over MAX_BLOCKS of them, as a word has a bound per block.
-BLOCK_ITEMS = 8
+BLOCK_ITEMS = 4
 MAX_BLOCKS = 64
 # An index is sent to every task, so it holds items of at most this much text; more items are searched in further rounds.
 INDEX_BYTES = 4 << 20
@@ -94,6 +94,12 @@ class Index:
         self.block_max = np.zeros((len(postings) + 1, self.blocks), np.float32)  # the last row is for unknown words
         for t, (at, impact) in enumerate(zip(self.items, self.impacts, strict=True)):
             np.maximum.at(self.block_max[t], at // self.width, impact.astype(np.float32))
+        # Per block the postings of its words: items, impacts, and the largest impact.
+        self.postings: list[dict[int, tuple[list[int], list[float], float]]] = [{} for _ in range(self.blocks)]
+        for t, (at, impact) in enumerate(zip(self.items, self.impacts, strict=True)):
+            for block in np.unique(at // self.width).tolist():
+                mine = at // self.width == block
+                self.postings[block][t] = (at[mine].tolist(), impact[mine].tolist(), float(impact[mine].max()))
 
     def search(self, terms: list[int], block: int, threshold: float) -> list[tuple[int, float]]:
         """WAND within one block of items: (item number, score) of all that reach the threshold.
@@ -101,13 +107,9 @@ class Index:
         Cursors stand on each term's postings, ordered by item. The pivot is the first item that the maxima of the
         terms up to it could lift to the threshold; items before it are skipped.
         """
-        low, high = block * self.width, (block + 1) * self.width
-        cursors = []
-        for t in terms:
-            s, e = np.searchsorted(self.items[t], (low, high))
-            if s < e:
-                cursors.append([self.items[t][s:e].tolist(), self.impacts[t][s:e].tolist(), 0, float(self.block_max[t, block])])
-        out, slack = [], threshold - 1e-6  # maxima are rounded to 32 bits
+        there = self.postings[block]
+        cursors = [[*there[t][:2], 0, there[t][2]] for t in terms if t in there]
+        out, slack = [], threshold - 1e-9  # sums differ in their last digits by the order of terms
         while cursors:
             cursors.sort(key=lambda c: c[0][c[2]])
             reach, pivot = 0.0, None
@@ -130,6 +132,16 @@ class Index:
         return out
 
 
+def _within(index: Index, strip_of, term_of, strips_at, blocks_at, threshold: float) -> Iterator[tuple[int, int]]:
+    """The passages and blocks whose bound still reaches the threshold when words of both strips count once."""
+    for s in np.unique(strips_at).tolist():
+        a, b = np.searchsorted(strip_of, (s, s + 2))
+        blocks = blocks_at[strips_at == s]
+        bounds = index.block_max[np.unique(term_of[a:b])[:, None], blocks].sum(axis=0)
+        for block in blocks[bounds >= threshold - 1e-4].tolist():
+            yield s, block
+
+
 def find(index: Index, texts: list[str | None], threshold: float, overlap: float) -> list[list[tuple[int, float, int]]]:
     """Per text the verified hits: (item id, score of its best passage, that passage's first word).
 
@@ -159,9 +171,10 @@ def find(index: Index, texts: list[str | None], threshold: float, overlap: float
             bounds = np.zeros((count + 1, index.blocks), np.float32)
             bounds[strip_of[starts]] = np.add.reduceat(index.block_max[term_of], starts, axis=0)
             reach = bounds[:-1] + bounds[1:]
-            for s, block in zip(*np.nonzero(reach >= threshold - 1e-4), strict=True):
+            strips_at, blocks_at = np.nonzero(reach >= threshold - 1e-4)
+            for s, block in _within(index, strip_of, term_of, strips_at, blocks_at, threshold):
                 a, b = np.searchsorted(strip_of, (s, s + 2))
-                for item, score in index.search(np.unique(term_of[a:b]).tolist(), int(block), threshold):
+                for item, score in index.search(np.unique(term_of[a:b]).tolist(), block, threshold):
                     passage = part[s * strip : (s + 2) * strip]
                     question, answer = index.needs[item]
                     if _holds(question, passage) >= overlap and _holds(answer, passage) >= overlap:

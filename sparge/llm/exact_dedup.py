@@ -163,7 +163,8 @@ def exact_dedup(docs: DataFrame, fields: tuple = FIELDS, text: str = "text") ->
         "part", F.when(F.col("conflict"), F.col("text_sha256")).otherwise("")
     )
     best = F.max(F.struct("n_points", (-F.col("doc_id")).alias("least"), (-F.col("row_no")).alias("first"), "doc_id"))
-    groups = keyed.groupBy(*KEY, "part").agg(F.count("*").alias("group_size"), best.alias("best"))
+    # Written out, so that the join below can split the rows of a group with very many copies.
+    groups = write_stage(keyed.groupBy(*KEY, "part").agg(F.count("*").alias("group_size"), best.alias("best")), "groups")
     return keyed.join(groups, [*KEY, "part"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),

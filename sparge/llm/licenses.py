@@ -4,7 +4,8 @@ A text's words are cut into blocks that overlap by half, so that any run of up t
 A template matches a block that holds at least a given share of the template's distinct words (containment). The join
 orders words by their frequency in all documents, rarest first, and finds every match by three filters:
 - length: a block must hold at least as many template words as the least demanding template needs,
-- prefix: of a template that needs o of its m words, one of the rarest m-o+1 must be in the block's own prefix,
+- prefix: of a template that needs o of its m words, one of the rarest m-o+1 must be in the block's own prefix
+  (so texts without any such word are not cut into blocks at all),
 - position: after the first common word at positions i and j, at most the shorter rest can still agree.
 What passes is verified. Only DataFrame functions are used.
 """
@@ -124,9 +125,12 @@ def scan(
     )
 
     found = [(_starts(p, F.col("line")), label) for p, label in phrases.items()]
+    # A block that matches has a word of some template's prefix, so has its text; other texts are not cut into blocks.
+    starters = sorted({order[r] for r, *_ in index})
+    possible_text = F.col("line").rlike(" (?:" + "|".join(starters) + ") ")
     base = F.array_compact(F.array(*[F.when(s["count"] > 0, F.lit(label)) for s, label in found]))
     ranked = F.transform(
-        _blocks(split, allowed, min(t.need for t in known)),
+        F.when(possible_text, _blocks(split, allowed, min(t.need for t in known))),
         lambda b: F.array_sort(F.transform(b, lambda w: F.element_at(_literal_map(rank), w))),
     )
     rows = lines.select(

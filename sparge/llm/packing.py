@@ -25,8 +25,12 @@ BUCKETS = 256
 DIMENSIONS = 4
 BITS = 12  # of the curve per dimension
 SEED = 7
-# Token ids of this many words are kept by a worker.
-KEPT_WORDS = 300_000
+# Token ids of this many words are kept by a worker, twice (see Encoder).
+KEPT_WORDS = 600_000
+# Words encoded at once, how the vocabulary writes a blank, and signs that are neither letter, digit, blank nor the apostrophe of a contraction.
+LINE_WORDS = 500
+BLANK = "\u0120"
+SIGNS = ".,;:!?*$%&#()[]\"-"
 
 # Before a blank that a non-blank follows, a byte-level pre-tokenizer always cuts, whatever stands around it.
 _CUT = re.compile(r" (?=\S)")
@@ -37,7 +41,8 @@ class Encoder:
 
     Words (with the blank before them) are encoded separately; that equals encoding the whole text as long as the
     tokenizer is byte-level BPE that pre-tokenizes by the usual pattern and the text has none of its special strings.
-    Any other text or tokenizer is encoded whole.
+    Any other text or tokenizer is encoded whole. The memory has two generations: when the young one is full it becomes
+    the old one, and what is still used moves back.
     """
 
     def __init__(self, path: str, kept_words: int = KEPT_WORDS):
@@ -50,25 +55,65 @@ class Encoder:
             and self.tokenizer.normalizer is None
         )
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kept_words, self.memory = kept_words, {}
+        self.kept_words, self.young, self.old = kept_words, {}, {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.begins[[i for t, i in vocabulary.items() if t[0] == BLANK]] = True
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words without a blank in them as one text: a token that begins with a blank begins the next word."""
+        lines = [words[at : at + LINE_WORDS] for at in range(0, len(words), LINE_WORDS)]
+        found = self.tokenizer.encode_batch_fast([" " + " ".join(x) for x in lines], add_special_tokens=False)
+        for line, encoding in zip(lines, found, strict=True):
+            ids = np.array(encoding.ids, "<u4")
+            starts = np.flatnonzero(self.begins[ids]).tolist()
+            data = ids.tobytes()
+            for w, i, j in zip(line, starts, [*starts[1:], len(ids)], strict=True):
+                self.young[w] = data[4 * i : 4 * j]
+
+    def _remember(self, new: set[str]) -> None:
+        """Fill the memory for words that the young generation does not have."""
+        young, old, unknown, ended = self.young, self.old, set(), []
+        for w in new:
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+            elif (bare := w.rstrip(SIGNS)) != w and bare[-1:].isalpha():
+                # Letters and the signs after them are always pre-tokenized apart, so their ids stand side by side.
+                ended.append((w, bare, w[len(bare) :]))
+                if bare not in young:
+                    unknown.add(bare)
+            else:
+                unknown.add(w)
+        if unknown := [w for w in unknown if (ids := old.get(w)) is None or young.setdefault(w, ids) is None]:
+            self._learn(unknown)
+        for w, bare, signs in ended:
+            tail = young.get((signs,))
+            if tail is None:
+                tail = young[(signs,)] = self._whole(signs).tobytes()
+            young[w] = young[bare] + tail
 
     def encode(self, text: str) -> np.ndarray:
         if not self.by_word or any(s in text for s in self.specials):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        words, known = text.split(" "), self.memory
-        new = {w for w in words[1:] if w not in known}
-        if any(not w or w[0].isspace() for w in new):  # blanks in a row: the slower, general cut
-            words = _CUT.split(text)
-            new = {w for w in words[1:] if w not in known}
-        if new:
-            if len(known) + len(new) > self.kept_words:
-                known.clear()
-                new = set(words[1:])
-            new = list(new)
-            for w, e in zip(new, self.tokenizer.encode_batch_fast([" " + w for w in new], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        head = np.array(self.tokenizer.encode(words[0], add_special_tokens=False).ids, "<u4").tobytes()
-        return np.frombuffer(head + b"".join([known[w] for w in words[1:]]), "<u4")
+            return self._whole(text)
+        head, *words = text.split(" ")
+        if len(self.young) > self.kept_words:
+            self.old, self.young = self.young, {}
+        found = list(map(self.young.get, words))
+        if None in found:
+            gaps = [i for i, ids in enumerate(found) if ids is None]
+            new = {words[i] for i in gaps}
+            if any(not w or w[0].isspace() for w in new):  # blanks in a row: the library cuts them itself
+                return self._pieces(text)
+            self._remember(new)
+            for i in gaps:
+                found[i] = self.young[words[i]]
+        return np.frombuffer(self._whole(head).tobytes() + b"".join(found), "<u4")
+
+    def _pieces(self, text: str) -> np.ndarray:
+        return np.concatenate([self._whole(p if i == 0 else " " + p) for i, p in enumerate(_CUT.split(text))])
 
 
 _encoders: dict[str, Encoder] = {}

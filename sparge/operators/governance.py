@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from sparge.functions.once import compute_once
 from sparge.functions.text import as_text, mask_value
 
-SAMPLE_ROWS = 10
 MIN_RATIO = 0.5
 MIN_SCORE = 0.7
 TAG_KEY, TAG_VALUE = "classification", "PII"
@@ -22,8 +21,8 @@ TAG_KEY, TAG_VALUE = "classification", "PII"
 class Rule:
     """A kind of personal data: its pattern, and how sure a match is.
 
-    Repetitions are bounded, so a long run of characters without a match costs
-    time linear in its length. `needs` lists texts of which every match holds one;
+    Repetitions are bounded or follow a fixed text, so a long run of characters
+    without a match costs time linear in its length. `needs` lists texts of which every match holds one;
     where they are all absent the pattern is not tried.
     """
 
@@ -40,7 +39,7 @@ RULES = (
     Rule("ip_address", r"[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}", 0.8),
     Rule(
         "secret",
-        r"(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)",
+        r"(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----)",
         0.95,
         ("AKIA", "gh", "-----BEGIN "),
     ),
@@ -75,13 +74,13 @@ def _scores(df: DataFrame, columns: Sequence[str], rules: Sequence[Rule]) -> Dat
 
 def detect_pii(
     df: DataFrame,
-    n: int | None = SAMPLE_ROWS,
+    n: int | None = None,
     min_ratio: float = MIN_RATIO,
     min_score: float = MIN_SCORE,
     rules: Sequence[Rule] = RULES,
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Per column: does it hold personal data, judged on the first `n` rows (all rows with None).
+    """Per column: does it hold personal data, judged on all rows, or with `n` on the first `n`.
 
     A column counts as personal data when its matches reach `min_ratio` of its
     non-empty values and their mean score reaches `min_score`. `order_by` makes the

@@ -17,11 +17,11 @@ from sparge.operators.marts import MARTS
 
 MAX_ATTEMPTS = 3
 SMALL_FILE_RECORDS = 100_000
-MAX_ERROR_TEXT = 1000
 
 
 def size_class(record_count: Column) -> Column:
-    return F.when(record_count <= SMALL_FILE_RECORDS, "small").otherwise("bulk")
+    """Null while the count is unknown."""
+    return F.when(record_count <= SMALL_FILE_RECORDS, "small").when(record_count.isNotNull(), "bulk")
 
 
 def _complete(df: DataFrame) -> DataFrame:
@@ -50,10 +50,14 @@ def _entries(df: DataFrame, now: Column) -> DataFrame:
 
 
 def ledger_current(log: DataFrame) -> DataFrame:
-    """Last row of every entry, by time and then by how far its status is."""
+    """Last row of every entry: of its newest registration, by time and then by how far its status is.
+
+    An entry may be registered again while it is running. That row is newer work, even
+    if the running one finishes later: the finish belongs to the registration it started from.
+    """
     rank = F.array_position(F.array(*map(F.lit, STATUSES)), F.col("status"))
     rest = [c for c in log.columns if c != "control_id"]
-    order = F.struct("updated_at", F.coalesce("attempt_count", F.lit(0)).alias("attempts"), rank.alias("rank"))
+    order = F.struct("created_at", "updated_at", F.coalesce("attempt_count", F.lit(0)).alias("attempts"), rank.alias("rank"))
     last = F.max_by(F.struct(*rest), order)
     return log.groupBy("control_id").agg(last.alias("_last")).select("control_id", "_last.*").select(*log.columns)
 
@@ -116,14 +120,14 @@ def start(entries: DataFrame, now: Column) -> DataFrame:
 
 
 def finish(entries: DataFrame, now: Column, error: str | None = None) -> DataFrame:
-    """Rows that end running entries as `success`, or as `error` with a shortened text."""
+    """Rows that end running entries as `success`, or as `error` with its text."""
     return _complete(
         entries.withColumns(
             {
                 "status": F.lit("error" if error is not None else "success"),
                 "finished_at": now,
                 "duration": duration_ms(F.col("started_at"), now),
-                "error_message": F.left(F.lit(error).cast("string"), F.lit(MAX_ERROR_TEXT)),
+                "error_message": F.lit(error).cast("string"),
                 "updated_at": now,
             }
         )

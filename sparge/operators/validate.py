@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
+from sparge.contracts import OPERATIONS
 from sparge.functions.once import compute_once
 from sparge.functions.text import blank_to_null
 from sparge.sources.files import CORRUPT
@@ -40,25 +42,25 @@ def parse(text: Column, dtype: T.DataType) -> Column:
 
 
 def _integer(text: Column, dtype: T.DataType) -> Column:
-    # A failing cast costs an exception; the pattern keeps most of them away.
-    return F.when(text.rlike(r"^[+-]?[0-9]{1,19}$"), text.try_cast(dtype))
+    # A failing cast costs an exception; the pattern keeps most of them away. Zeros in front may be any number.
+    return F.when(text.rlike(r"^[+-]?0*[0-9]{1,19}$"), text.try_cast(dtype))
 
 
-def annotate(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Typed contract columns, `_text_<column>` for each, and `_valid`.
+def annotate(raw: DataFrame, schema: T.StructType, carry: Sequence[str] = ()) -> DataFrame:
+    """Typed contract columns, `_text_<column>` for each, `_valid`, and the columns to `carry` as they are.
 
     `raw` has text columns, and `_corrupt_record` where the reader rejected the line.
     Each text is trimmed once and parsed once, whatever is filtered afterwards.
     """
     present = set(raw.columns)
-    kept = [F.col(CORRUPT)] if CORRUPT in present else []
+    kept = [*([F.col(CORRUPT)] if CORRUPT in present else []), *map(F.col, carry)]
     text = {
         f.name: blank_to_null(F.col(f.name)) if f.name in present else F.lit(None).cast("string")
         for f in schema.fields
     }
     texts = raw.select(*kept, *[t.alias(f"_text_{n}") for n, t in text.items()])
     typed = compute_once(texts, **{f.name: parse(F.col(f"_text_{f.name}"), f.dataType) for f in schema.fields})
-    tests = [F.col(CORRUPT).isNull()] if kept else []
+    tests = [F.col(CORRUPT).isNull()] if CORRUPT in present else []
     for f in schema.fields:
         if f.name not in present:
             tests.append(F.lit(False))
@@ -66,9 +68,15 @@ def annotate(raw: DataFrame, schema: T.StructType) -> DataFrame:
             tests.append(F.col(f"_text_{f.name}").isNull() | F.col(f.name).isNotNull())
         else:
             tests.append(F.col(f.name).isNotNull())
+        if f.name == "operation" and f.name in present:
+            tests.append(_known(F.col(f.name)))
     return typed.withColumn("_valid", reduce(Column.__and__, tests, F.lit(True)))
 
 
+def _known(operation: Column) -> Column:
+    return operation.isNull() | operation.isin(*OPERATIONS)
+
+
 def _reasons(schema: T.StructType, present: set[str], has_corrupt: bool) -> Column:
     malformed = F.col(CORRUPT).isNotNull() if has_corrupt else F.lit(False)
     found = []
@@ -79,6 +87,8 @@ def _reasons(schema: T.StructType, present: set[str], has_corrupt: bool) -> Colu
             continue
         bad = F.when(text.isNotNull() & value.isNull(), _reason(f.name, f"invalid_{f.dataType.typeName()}"))
         found.append(bad if f.nullable else F.when(text.isNull(), _reason(f.name, "missing_value")).otherwise(bad))
+        if f.name == "operation":
+            found.append(F.when(~_known(value), _reason(f.name, "unknown_operation")))
     return F.when(malformed, F.array(_reason("", "malformed_row"))).otherwise(F.array_compact(F.array(*found)))
 
 
@@ -87,18 +97,21 @@ def _reason(column: str, reason: str) -> Column:
 
 
 def validate(
-    raw: DataFrame, schema: T.StructType, on_malformed: str = "reject", counts: Observation | None = None
+    raw: DataFrame, schema: T.StructType, on_malformed: str = "reject", counts: Observation | None = None,
+    carry: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Split raw rows into typed valid rows and rejected rows with their reasons.
 
-    Rejected rows keep their texts and have `reasons`, an array of `(column, reason)`.
+    Rejected rows keep their texts and have `reasons`, an array of `(column, reason)`. Where the contract has an
+    `operation`, any other than insert, update and delete is a reason: such a change could not be applied. Both parts
+    have the columns named by `carry`.
     `on_malformed`: `reject` keeps malformed lines among the rejected, `drop` leaves
     them out, `fail` stops the job at the first one. `counts` receives `valid` and
     `rejected` from the first action on the valid rows, without a pass of its own.
     """
     if on_malformed not in ("reject", "drop", "fail"):
         raise ValueError(f"unknown option: {on_malformed}")
-    checked = annotate(raw, schema)
+    checked = annotate(raw, schema, carry)
     has_corrupt = CORRUPT in raw.columns
     if has_corrupt and on_malformed == "fail":
         stop = F.raise_error(F.concat(F.lit("malformed row: "), F.col(CORRUPT))).cast("boolean")
@@ -109,8 +122,8 @@ def validate(
     if counts is not None:
         tallies = F.count_if("_valid").alias("valid"), F.count_if(~F.col("_valid")).alias("rejected")
         counted = checked.observe(counts, *tallies)
-    valid = counted.filter("_valid").select(*schema.names)
-    kept = [CORRUPT] if has_corrupt else []
+    valid = counted.filter("_valid").select(*schema.names, *carry)
+    kept = [*([CORRUPT] if has_corrupt else []), *carry]
     reasons = _reasons(schema, set(raw.columns), has_corrupt).alias("reasons")
     rejected = checked.filter("NOT _valid").select(
         *kept, *[F.col(f"_text_{n}").alias(n) for n in schema.names], reasons

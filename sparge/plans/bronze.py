@@ -4,25 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from sparge.contracts import ENTITIES
-from sparge.functions.keys import layer_schema
+from sparge.contracts import ENTITIES, RAW_ORDER, columns
+from sparge.functions.keys import base_name, layer_schema
 from sparge.operators import ledger
 from sparge.operators.governance import columns_to_mask, mask_columns, tag_pii
 from sparge.operators.validate import conform, validate
 from sparge.plans.control import log_path, run_entries
 from sparge.session import path_exists
 from sparge.sinks.files import write_bronze
-from sparge.sources.files import read_csv_gz, read_csv_raw, read_csv_split, read_json_raw
+from sparge.sources.files import list_files, read_csv_gz, read_csv_raw, read_csv_split, read_json_raw, with_raw_order
 from sparge.sources.manifest import content_checksums, file_manifest
 
 
+# Files of one round; their names are arguments of one scan. Further files are taken in further rounds.
+ROUND_FILES = 2_000
+
+
 def raw_manifest(spark: SparkSession, root: str, table: str, fmt: str, checksums: bool = False) -> DataFrame:
-    """Manifest of `<root>/raw/<table>/` with keys relative to `root`.
+    """Manifest of `<root>/raw/<table>/` from the files' content, with keys relative to `root`.
 
     The checksum is the order-insensitive fingerprint; with `checksums` it is the
-    SHA-256 of the uncompressed content.
+    SHA-256 of the uncompressed content. The jobs do not need it: they register
+    files from the listing and count records as they parse.
     """
     path = f"{root.rstrip('/')}/raw/{table}"
     files = file_manifest(spark, path, fmt).withColumn("checksum", F.col("fingerprint"))
@@ -39,6 +44,19 @@ def raw_manifest(spark: SparkSession, root: str, table: str, fmt: str, checksums
     )
 
 
+def raw_listing(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Files of `<root>/raw/<table>/` as the file system lists them; no file is opened."""
+    path = f"{root.rstrip('/')}/raw/{table}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "object_key string, record_count bigint, file_size bigint, checksum string")
+    return list_files(spark, path).select(
+        _relative("object_path", "raw", table).alias("object_key"),
+        F.lit(None).cast("bigint").alias("record_count"),
+        "file_size",
+        F.lit(None).cast("string").alias("checksum"),
+    )
+
+
 def _relative(column: str, layer: str, table: str) -> Column:
     prefix = f"{layer}/{table}/"
     return F.concat(F.lit(prefix), F.substring_index(column, f"/{prefix}", -1))
@@ -46,82 +64,141 @@ def _relative(column: str, layer: str, table: str) -> Column:
 
 def bronze_rows(
     spark: SparkSession,
-    paths: Sequence[str],
+    root: str,
+    keys: Sequence[str],
     table: str,
     fmt: str,
     mask: str | Sequence[str] | None = "auto",
     counts: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Valid bronze rows (masked, tagged, in contract order) and rejected rows."""
+    """Valid bronze rows (masked, tagged, in contract order) and rejected rows, each with its raw file and place."""
+    paths = [f"{root}/{key}" for key in keys]
     schema = ENTITIES[table].bronze
-    raw = read_csv_raw(spark, list(paths)) if fmt == "csv" else read_json_raw(spark, list(paths), schema)
+    raw = read_csv_raw(spark, paths) if fmt == "csv" else read_json_raw(spark, paths, schema)
+    return checked_rows(with_raw_order(raw, root), table, mask, counts)
+
+
+def checked_rows(
+    raw: DataFrame, table: str, mask: str | Sequence[str] | None = "auto", counts: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Validation and masking of raw rows (from `with_raw_order`), the same for batch files and streams."""
+    schema, place = ENTITIES[table].bronze, RAW_ORDER.names
     if "operation" not in raw.columns:  # batch files hold plain inserts
         raw = raw.withColumn("operation", F.lit("insert"))
-    # Detection looks at the first rows with an action of its own, which must not be the one counted.
+    # Detection looks at all rows with an action of its own, which must not be the one counted.
     masked = columns_to_mask(validate(raw, schema)[0].drop("operation"), mask)
-    valid, rejected = validate(raw, schema, counts=counts)
-    return tag_pii(conform(mask_columns(valid, masked), schema), masked), rejected
+    valid, rejected = validate(raw, schema, counts=counts, carry=place)
+    rows = T.StructType([*schema.fields, *RAW_ORDER.fields])
+    return tag_pii(conform(mask_columns(valid, masked), rows), masked), rejected
 
 
-def load_seed(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Seed rows of one entity from gzip CSV, validated against its contract."""
-    valid, _ = validate(read_csv_raw(spark, path), ENTITIES[name.strip().lower()].columns)
-    return valid
+def load_seed(spark: SparkSession, name: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """Seed rows of one entity from gzip CSV, validated against its contract, and the rejected ones."""
+    return validate(read_csv_raw(spark, path), ENTITIES[name.strip().lower()].columns)
 
 
 def run_bronze(
-    spark: SparkSession, root: str, table: str, fmt: str, now: Column, mask: str | Sequence[str] | None = "auto"
+    spark: SparkSession, root: str, table: str, now: Column, mask: str | Sequence[str] | None = "auto",
+    round_files: int = ROUND_FILES,
 ) -> dict[str, int]:
     """Process all eligible raw files of one table: bronze rows, rejected rows, ledger states.
 
-    Data is written before the success rows, so a failure leads to a retry. The pass
-    that writes the valid rows counts the rejected ones; only if there are any, a
-    second pass writes them. The bronze files written are registered as pending for
-    silver.
+    New files are registered from the listing; only files that have to be processed are
+    read, each in the format its entry names. A file that cannot be read becomes an
+    error by itself. Rows of a raw file have a bronze folder of their own, so a retry
+    replaces what an earlier attempt wrote. Every processed file is pending for silver
+    afterwards, with the number of its rows.
     """
     root = root.rstrip("/")
     log = ledger.read_log(spark, log_path(root))
-    ledger.append(ledger.register_files(log, raw_manifest(spark, root, table, fmt), now), log_path(root))
+    fresh = ledger.register_files(log, raw_listing(spark, root, table), now)
+    ledger.append(fresh.withColumn("compute_target", F.lit(None).cast("string")), log_path(root))
     done = {"files": 0, "valid": 0, "rejected": 0}
 
-    def work(started: DataFrame) -> None:
-        paths = [f"{root}/{row.object_key}" for row in started.select("object_key").toLocalIterator()]
-        counts = Observation()
-        valid, rejected = bronze_rows(spark, paths, table, fmt, mask, counts)
-        write_bronze(valid, f"{root}/bronze/{table}", now)
-        done.update(files=len(paths), **counts.get)
-        if done["rejected"]:
-            rejected.write.mode("append").json(f"{root}/rejected/{table}")
-        ledger.append(bronze_entries(spark, root, table, now), log_path(root))
-
-    run_entries(spark, root, layer_schema("bronze"), table, now, work)
+    def work(started: DataFrame) -> DataFrame:
+        entries = started.select("object_key", "file_format", "created_at").collect()  # at most `round_files`
+        tally = {"files": len(entries), "valid": 0, "rejected": 0}
+        for fmt in sorted({e.file_format for e in entries}):
+            counts = Observation()
+            paths = sorted(e.object_key for e in entries if e.file_format == fmt)
+            valid, rejected = bronze_rows(spark, root, paths, table, fmt, mask, counts)
+            store_rows(valid, started, f"{root}/bronze/{table}")
+            found = counts.get
+            if found["rejected"]:
+                store_rejected(rejected, f"{root}/rejected/{table}")
+            tally["valid"] += found["valid"]
+            tally["rejected"] += found["rejected"]
+        pending, counted = bronze_entries(spark, root, table, started, now)
+        ledger.append(pending, log_path(root))
+        for name, n in tally.items():
+            done[name] += n
+        return counted
+
+    while run_entries(spark, root, layer_schema("bronze"), table, now, work, apart=True, most=round_files):
+        pass
     return done
 
 
-def bronze_entries(spark: SparkSession, root: str, table: str, now: Column) -> DataFrame:
-    """Pending silver entries for the bronze files the ledger has not seen.
+def store_rows(valid: DataFrame, entries: DataFrame, path: str) -> None:
+    """Write bronze rows below the day on which their raw file was registered, a folder for each raw file."""
+    days = entries.select(F.col("object_key").alias("_raw_key"), F.col("created_at").alias("_registered"))
+    dated = valid.join(days, "_raw_key")
+    at, file = F.col("_registered"), file_folder(F.col("_raw_key"))
+    write_bronze(dated.select(*valid.columns, "_registered"), path, at, file=file, drop=["_registered"])
 
-    Counting rows per file needs no column, so only Parquet footers are read.
+
+def store_rejected(rejected: DataFrame, path: str) -> None:
+    """Write rejected rows, in place of what an earlier attempt wrote for the same raw files."""
+    (
+        rejected.withColumn("file", file_folder(F.col("_raw_key")))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("file")
+        .json(path)
+    )
+
+
+def file_folder(raw_key: Column) -> Column:
+    """Name of a raw file's folder in bronze: its base name, made distinct by a digest of the whole key."""
+    return F.concat(base_name(F.element_at(F.split(raw_key, "/"), -1)), F.lit("-"), F.left(F.sha2(raw_key, 256), F.lit(12)))
+
+
+def bronze_entries(
+    spark: SparkSession, root: str, table: str, started: DataFrame, now: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Pending silver entries for the raw files just processed, and their record counts by raw key.
+
+    Counting rows per file reads Parquet footers only, of the days of these entries. A
+    file without valid rows has nothing to hand on.
     """
     path = f"{root}/bronze/{table}"
-    log = ledger.read_log(spark, log_path(root))
-    if not path_exists(spark, path):
-        return log.limit(0)
-    files = (
-        spark.read.schema(ENTITIES[table].bronze)
-        .option("recursiveFileLookup", True)
-        .parquet(path)
-        .groupBy(F.col("_metadata.file_path").alias("object_path"), F.col("_metadata.file_size").alias("file_size"))
-        .agg(F.count("*").alias("record_count"))
-        .select(
-            _relative("object_path", "bronze", table).alias("object_key"),
-            "record_count",
-            "file_size",
-            F.lit(None).cast("string").alias("checksum"),
-        )
+    own = started.select(
+        F.col("object_key").alias("raw_key"),
+        "created_at",
+        F.concat(
+            F.lit(f"bronze/{table}/"), F.date_format("created_at", "'year='yyyy/'month='MM/'day='dd"), F.lit("/file="),
+            file_folder(F.col("object_key")),
+        ).alias("bronze_key"),
+    )
+    counted = own.withColumn("record_count", F.lit(0).cast("bigint"))
+    if path_exists(spark, path):
+        days = [r[0] for r in own.select(F.date_format("created_at", "yyyy-MM-dd")).distinct().collect()]
+        layout = columns("year string, month string, day string, file string")
+        schema = T.StructType([*ENTITIES[table].bronze.fields, *layout.fields])
+        stored = spark.read.schema(schema).parquet(path)
+        on_day = F.concat_ws("-", "year", "month", "day").isin(days)
+        files = stored.filter(on_day).groupBy("year", "month", "day", "file").agg(F.count("*").alias("n"))
+        key = F.format_string(f"bronze/{table}/year=%s/month=%s/day=%s/file=%s", "year", "month", "day", "file")
+        counted = own.join(files.select(key.alias("bronze_key"), "n"), "bronze_key", "left")
+        counted = counted.withColumn("record_count", F.coalesce("n", F.lit(0)))
+    rows = counted.filter("record_count > 0").select(
+        F.col("bronze_key").alias("object_key"), "record_count", F.lit(None).cast("bigint").alias("file_size"),
+        F.lit(None).cast("string").alias("checksum"),
     )
-    rows = ledger.register_files(log, files, now, layer="silver")
-    return rows.withColumns({"file_format": F.lit("parquet"), "compute_target": F.lit("emr")})
+    log = ledger.read_log(spark, log_path(root))
+    pending = ledger.register_files(log, rows, now, layer="silver")
+    pending = pending.withColumns({"file_format": F.lit("parquet"), "compute_target": F.lit("emr")})
+    return pending, counted.select(F.col("raw_key").alias("object_key"), "record_count")
 
 
 def convert_csv(

@@ -15,23 +15,60 @@ def log_path(root: str) -> str:
 
 
 def run_entries(
-    spark: SparkSession, root: str, schema: str, table: str, now: Column, work: Callable[[DataFrame], None]
+    spark: SparkSession, root: str, schema: str, table: str, now: Column, work: Callable[[DataFrame], DataFrame | None],
+    apart: bool = False, most: int | None = None,
 ) -> bool:
     """Start the eligible entries of a table, run `work` on them, and finish them.
 
     The started rows are staged, so that exactly these are worked on and finished
-    whatever is registered meanwhile. False when there was nothing to do.
+    whatever is registered meanwhile. `work` may return `(object_key, record_count)`,
+    which the success rows then carry. `most` bounds the entries of one call, oldest
+    first; call again, with the same `now`, until it returns False.
+
+    With `apart`, entries do not share their fate: when a batch fails, its halves are
+    tried, and so on, until the entry that fails stands alone. Only that one becomes an
+    error. `work` must therefore be one that can be repeated. Without, the batch fails
+    as a whole and the failure is raised.
     """
     log = ledger.read_log(spark, log_path(root))
     mine = (F.col("schema_name") == schema) & (F.col("table_name") == table)
-    with staged(ledger.start(ledger.eligible(log.filter(mine)), now), "started") as started:
+    todo = ledger.eligible(log.filter(mine))
+    if most:
+        # What failed in this run is left for the next one.
+        todo = todo.filter((F.col("status") != "error") | (F.col("updated_at") < now))
+        todo = todo.orderBy("attempt_count", "created_at", "object_key").limit(most)
+    with staged(ledger.start(todo, now), "started") as started:
         if started.isEmpty():
             return False
         ledger.append(started, log_path(root))
-        try:
-            work(started)
-        except Exception as failure:
-            ledger.append(ledger.finish(started, now, str(failure)), log_path(root))
-            raise
-        ledger.append(ledger.finish(started, now), log_path(root))
+        _run(started, now, log_path(root), work, apart)
         return True
+
+
+def _run(started: DataFrame, now: Column, log: str, work: Callable[[DataFrame], DataFrame | None], apart: bool) -> None:
+    try:
+        counts = work(started)
+    except Exception as failure:
+        if not apart:
+            ledger.append(ledger.finish(started, now, str(failure)), log)
+            raise
+        middle = started.select(F.percentile_approx(F.xxhash64("control_id"), 0.5)).first()[0]
+        halves = [started.filter(F.xxhash64("control_id") <= middle), started.filter(F.xxhash64("control_id") > middle)]
+        if halves[1].isEmpty():  # one entry, or several of one id
+            ledger.append(ledger.finish(started, now, str(failure)), log)
+            return
+        for half in halves:
+            _run(half, now, log, work, apart)
+        return
+    ledger.append(ledger.finish(with_counts(started, counts), now), log)
+
+
+def with_counts(started: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """Entries with the record counts that were found while working on them."""
+    if counts is None:
+        return started
+    found = counts.select("object_key", F.col("record_count").alias("_found"))
+    joined = started.join(found, "object_key", "left")
+    count = F.coalesce("_found", "record_count")
+    sized = {"record_count": count, "compute_target": F.coalesce("compute_target", ledger.size_class(count))}
+    return joined.withColumns(sized).drop("_found")

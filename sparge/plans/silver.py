@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sparge.contracts import ENTITIES, REVIEW_FLAT, columns
+from sparge.contracts import ENTITIES, RAW_ORDER, REVIEW_FLAT, columns
 from sparge.functions.keys import layer_schema
 from sparge.operators import ledger
 from sparge.operators.cdc import CONTROL_TS, active, fold_changes, merge_upsert
@@ -14,7 +14,7 @@ from sparge.operators.flat import affected_months, build_review_flat
 from sparge.plans.control import log_path, run_entries
 from sparge.session import empty_frame, path_exists, staged
 from sparge.sinks.files import append_partitioned, replace_partitions
-from sparge.sources.files import read_batch, read_or_empty, read_partitions
+from sparge.sources.files import read_batch, read_partitions, read_table
 
 PARTITION = "partitioned_at"
 MONTHS = columns("day string, review_year int, review_month int")
@@ -51,6 +51,15 @@ def apply_changes(
         return touched
 
 
+def day_counts(spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str]) -> DataFrame:
+    """(day, record_count) of the given partitions, also those without rows; only footers are read."""
+    named = spark.createDataFrame([(d,) for d in days], "day string")
+    rows = read_partitions(spark, path, days, schema).groupBy(F.col(PARTITION).alias("day")).agg(
+        F.count("*").alias("record_count")
+    )
+    return named.join(rows, "day", "left").select("day", F.coalesce("record_count", F.lit(0)).alias("record_count"))
+
+
 def _days(df: DataFrame) -> list[str]:
     return sorted(row[PARTITION] for row in df.select(PARTITION).distinct().collect())
 
@@ -58,9 +67,10 @@ def _days(df: DataFrame) -> list[str]:
 def refresh_flat(spark: SparkSession, root: str, days: Sequence[str], active_only: bool = False) -> None:
     """Rebuild the given days of the flat table; other days stay as they are.
 
-    A day that lost all its rows, because they moved to a later one, is emptied.
+    A day that lost all its rows, because they moved to a later one, is emptied. A
+    dimension table that does not exist is an error, not an empty one.
     """
-    dims = {n: read_or_empty(spark, f"{root}/silver/{n}", ENTITIES[n].silver) for n in ("beer", "brewery", "profile")}
+    dims = {n: read_table(spark, f"{root}/silver/{n}", ENTITIES[n].silver) for n in ("beer", "brewery", "profile")}
     review = read_partitions(spark, f"{root}/silver/review", days, ENTITIES["review"].silver)
     review = active(review) if active_only else review
     flat = build_review_flat(review, **dims)
@@ -71,18 +81,20 @@ def refresh_flat(spark: SparkSession, root: str, days: Sequence[str], active_onl
 def run_silver(spark: SparkSession, root: str, table: str, now: Column) -> list[str]:
     """Apply the pending bronze files of one entity; returns the silver days rewritten.
 
+    Changes of one batch are ordered by the time of their raw file, its key, and their
+    place in it; sizes of files do not matter.
+
     For reviews, these days become pending for the flat table.
     """
     contract = ENTITIES[table]
     touched: list[str] = []
 
     def work(started: DataFrame) -> None:
-        batch = read_batch(spark, root, started, contract.bronze)
+        batch = read_batch(spark, root, started, T.StructType([*contract.bronze.fields, *RAW_ORDER.fields]))
         path = f"{root}/silver/{table}"
-        touched.extend(apply_changes(spark, path, contract.silver, batch, contract.key, ["_position"]))
+        touched.extend(apply_changes(spark, path, contract.silver, batch, contract.key, RAW_ORDER.names))
         if table == "review":
-            days = spark.createDataFrame([(d, 0) for d in touched], "day string, record_count bigint")
-            ledger.append(ledger.day_entries(days, now), log_path(root))
+            ledger.append(ledger.day_entries(day_counts(spark, path, contract.silver, touched), now), log_path(root))
 
     run_entries(spark, root, layer_schema("silver"), table, now, work)
     return touched

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from sparge.operators.governance import RULES
 from sparge.registry.queries import BILLING_PERIOD, DAYS, LATER, MIN_REVIEWS, MONTH, NOW, ORDER_DAYS, YEAR
 
+# (name, pattern, score), written down apart from the operators they check.
+_PII = (
+    ("email", "[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}([.][A-Za-z0-9-]{1,63}){1,8}", 0.99),
+    ("phone", "[+][0-9]{1,3}[ -]?[(]?[0-9]{2,4}[)]?[ -]?[0-9]{3,4}[ -][0-9]{4}", 0.9),
+    ("card", "[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}", 0.85),
+    ("ip_address", "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}", 0.8),
+    ("secret", "(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----)", 0.95),
+)
+
 _REVIEW = """
     SELECT l_orderkey * 10 + l_linenumber AS review_id, l_suppkey AS brewery_id, l_partkey AS beer_id,
            o_custkey AS profile_id, l_quantity AS review_overall, l_discount AS review_aroma,
@@ -86,8 +94,8 @@ def _count(column: str, pattern: str) -> str:
 
 def _pii_sample(field: str) -> str:
     text = f"CAST({field} AS VARCHAR)"
-    matches = " + ".join(f"sum({_count(text, r.pattern)})" for r in RULES)
-    score = " + ".join(f"sum({_count(text, r.pattern)}) * CAST({r.score} AS DOUBLE)" for r in RULES)
+    matches = " + ".join(f"sum({_count(text, pattern)})" for name, pattern, score in _PII)
+    score = " + ".join(f"sum({_count(text, pattern)}) * CAST({score} AS DOUBLE)" for name, pattern, score in _PII)
     return f"""SELECT '{field}' AS field, count(*) FILTER (trim(coalesce({text}, '')) <> '') AS non_empty,
         coalesce({matches}, 0) AS matches, coalesce({score}, 0) AS score FROM sample"""
 
@@ -127,7 +135,7 @@ _LOG = f"""
 
 _CURRENT = f"""log AS ({_LOG}), current AS (
     SELECT * EXCLUDE (rn) FROM (
-        SELECT *, row_number() OVER (PARTITION BY control_id ORDER BY updated_at DESC, attempt_count DESC,
+        SELECT *, row_number() OVER (PARTITION BY control_id ORDER BY created_at DESC, updated_at DESC, attempt_count DESC,
                list_position(['pending', 'running', 'success', 'error'], status) DESC) AS rn FROM log) WHERE rn = 1)"""
 
 _ELIGIBLE = "status = 'pending' OR (status = 'error' AND attempt_count < 3)"
@@ -186,7 +194,8 @@ def all_oracles() -> dict[str, str]:
             CASE review_overall WHEN 1 THEN 'invalid_double' WHEN 4 THEN 'missing_value'
                 WHEN 6 THEN 'invalid_long' ELSE 'malformed_row' END AS reason, count(*) AS row_count
             FROM ({_REVIEW}) WHERE review_overall IN (1, 2, 3, 4, 6) GROUP BY ALL""",
-        "normalize_blanks": """WITH b AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS blanks)
+        "normalize_blanks": """WITH b AS (SELECT string_agg(chr(c), '') AS blanks FROM (SELECT unnest([9, 10, 11, 12, 13, 32, 133, 160,
+                5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288]) AS c))
             SELECT doc_id, md5(nullif(trim(text, blanks), '')) AS text_md5, nullif(trim(lang, blanks), '') AS lang,
                    nullif(trim(source, blanks), '') AS source FROM documents, b""",
         "conform_types": """SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_totalprice, o_orderdate,
@@ -274,7 +283,7 @@ def all_oracles() -> dict[str, str]:
         "costs_cumulative": f"""{_PERIOD_COSTS} SELECT date_trunc('day', shipped)::TIMESTAMP AS "Time",
             CAST(sum(sum(cost)) OVER (ORDER BY date_trunc('day', shipped)) AS DOUBLE) AS "Cumulative Cost"
             FROM costs GROUP BY date_trunc('day', shipped)""",
-        "pii_fields": f"""WITH sample AS (SELECT * FROM ({_PROFILE}) ORDER BY profile_id LIMIT 10), found AS (
+        "pii_fields": f"""WITH sample AS ({_PROFILE}), found AS (
             {" UNION ALL ".join(_pii_sample(c) for c in ("profile_id", "profile_name", "email", "state"))})
             SELECT field, non_empty, CAST(matches AS BIGINT) AS matches,
                 coalesce(matches / nullif(non_empty, 0) >= 0.5 AND score / nullif(matches, 0) >= 0.7, false) AS is_pii
@@ -282,14 +291,14 @@ def all_oracles() -> dict[str, str]:
         "mask_profile": f"""SELECT profile_id, {_mask("profile_name")}, {_mask("email")}, {_mask("state")}
             FROM ({_PROFILE})""",
         "pii_document_counts": " UNION ALL ".join(
-            f"""SELECT 'text' AS field, '{r.name}' AS rule,
-                CAST(coalesce(sum({_count("text", r.pattern)}), 0) AS BIGINT) AS match_count,
-                count(*) FILTER ({_count("text", r.pattern)} > 0) AS row_count FROM documents"""
-            for r in RULES
+            f"""SELECT 'text' AS field, '{name}' AS rule,
+                CAST(coalesce(sum({_count("text", pattern)}), 0) AS BIGINT) AS match_count,
+                count(*) FILTER ({_count("text", pattern)} > 0) AS row_count FROM documents"""
+            for name, pattern, score in _PII
         ),
         "pii_documents": f"""SELECT doc_id,
-            {", ".join(f'CAST({_count("text", r.pattern)} AS INTEGER) AS {r.name}_count' for r in RULES)}
-            FROM documents WHERE {" + ".join(_count("text", r.pattern) for r in RULES)} > 0""",
+            {", ".join(f'CAST({_count("text", pattern)} AS INTEGER) AS {name}_count' for name, pattern, score in _PII)}
+            FROM documents WHERE {" + ".join(_count("text", pattern) for name, pattern, score in _PII)} > 0""",
         "router_accepted": f"""SELECT table_name, event_id, user_id, value, operation FROM ({_ENVELOPE})
             WHERE drop_reason IS NULL""",
         "router_dropped": f"""SELECT event_id, table_name, operation, drop_reason FROM ({_ENVELOPE})

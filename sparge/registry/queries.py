@@ -94,7 +94,7 @@ def scan_dims(spark, folder):
     parts = []
     for name, dim in dims.items():
         fx.write_csv_gz(dim, f"{root}/{name}")
-        loaded = load_seed(spark, name, f"{root}/{name}")
+        loaded, _ = load_seed(spark, name, f"{root}/{name}")
         parts.append(
             loaded.select(F.lit(name).alias("entity"), F.col(f"{name}_id").alias("id"), F.col(f"{name}_name").alias("name"))
         )
@@ -488,7 +488,7 @@ def costs_cumulative(spark, folder):
 
 @query
 def pii_fields(spark, folder):
-    return governance.detect_pii(fx.profile(spark, folder), order_by=["profile_id"])
+    return governance.detect_pii(fx.profile(spark, folder))
 
 
 @query

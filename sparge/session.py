@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Input per post-shuffle partition; pruning and map-side reduction make the shuffled part far smaller.
-# The bound keeps the number of shuffle blocks (map tasks x partitions) manageable at 100 TB.
 TARGET_PARTITION_BYTES = 512 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -31,7 +30,7 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     # The default type has no statistics that a filter on a timestamp could use.
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     if input_bytes:
-        wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // TARGET_PARTITION_BYTES))
+        wanted = -(-input_bytes // TARGET_PARTITION_BYTES)
         initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
         current = spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions")
         if wanted > int(current):
@@ -51,6 +50,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, in a form the optimizer knows to be empty, so joins with it disappear."""
     nothing = spark.range(1).filter(F.lit(False))
@@ -70,24 +75,29 @@ def advisory_size(spark: SparkSession, megabytes: int | None) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-_local_scratch: dict[str, str] = {}
+_cleaned: set[str] = set()
+
+
+def _clean(spark: SparkSession, app: str) -> None:
+    """At the end of the process, remove what the session staged, if the session is still there."""
+    context = SparkContext._active_spark_context
+    if context is not None and context.applicationId == app:
+        with suppress(Exception):
+            remove(spark, scratch_dir(spark))
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: a subfolder of `spark.checkpoint.dir`.
+    """Folder for staged tables, which all executors reach.
 
-    The executors must all see it, so a machine-local folder is used only when
-    the setting is absent and the master is local.
+    A subfolder of `spark.checkpoint.dir`; without that setting, of the warehouse, which
+    is a shared location on any cluster. Never a folder of one machine's own choosing.
     """
     app = spark.sparkContext.applicationId
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/sparge-{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="sparge-")
-    return _local_scratch[app]
+    if app not in _cleaned:
+        _cleaned.add(app)
+        atexit.register(_clean, spark, app)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return f"{shared.rstrip('/')}/sparge-{app}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -118,8 +128,7 @@ def staged(df: DataFrame, label: str, *partition_by: str) -> Iterator[DataFrame]
     except Exception as failure:
         failure.add_note(f"staged rows, as far as written, are kept at {path}")
         raise
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, path)
 
 
 def _write_staged(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> DataFrame:

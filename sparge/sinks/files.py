@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from sparge.session import advisory_size, empty_frame, path_exists, staged
+from sparge.session import advisory_size, empty_frame, path_exists, remove, staged
 
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -17,27 +17,40 @@ class EmptyInputError(ValueError):
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Snappy Parquet; an input without rows is an error."""
-    if df.isEmpty():
+    """Snappy Parquet; an input without rows is an error.
+
+    Rows are counted as they are written, so the input runs once. Nothing stays behind
+    where a new folder was to be made; in other modes the write has happened.
+    """
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", "snappy").parquet(path)
+    if not rows.get["n"]:
+        if mode == "errorifexists":
+            remove(df.sparkSession, path)
         raise EmptyInputError(f"nothing to write to {path}")
-    df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
-def write_bronze(df: DataFrame, path: str, created_at: Column, mode: str = "append") -> None:
-    """Bronze layout `year=YYYY/month=MM/day=DD` by the ledger's `created_at`."""
-    (
-        df.withColumns(
-            {
-                "year": F.date_format(created_at, "yyyy"),
-                "month": F.date_format(created_at, "MM"),
-                "day": F.date_format(created_at, "dd"),
-            }
-        )
-        .write.mode(mode)
-        .partitionBy("year", "month", "day")
-        .option("compression", "snappy")
-        .parquet(path)
-    )
+def write_bronze(
+    df: DataFrame, path: str, created_at: Column, mode: str = "append", file: Column | None = None,
+    drop: Iterable[str] = (),
+) -> None:
+    """Bronze layout `year=YYYY/month=MM/day=DD` by the ledger's `created_at`.
+
+    With `file`, the base name of each row's raw file, that is a folder of its own below
+    the day, and what an earlier attempt wrote for the same file is replaced. Columns of
+    `drop` serve those two and are not written.
+    """
+    parts = {
+        "year": F.date_format(created_at, "yyyy"),
+        "month": F.date_format(created_at, "MM"),
+        "day": F.date_format(created_at, "dd"),
+    }
+    if file is not None:
+        parts["file"] = file
+    writer = df.withColumns(parts).drop(*drop).write
+    if file is not None:
+        mode, writer = "overwrite", writer.option("partitionOverwriteMode", "dynamic")
+    writer.mode(mode).partitionBy(*parts).option("compression", "snappy").parquet(path)
 
 
 def append_partitioned(df: DataFrame, path: str, *columns: str) -> None:

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sparge.session import empty_frame, path_exists
 
 CORRUPT = "_corrupt_record"
-# Names and times of this many files take about 20 MB; a longer list is joined as Spark sees fit.
-BROADCAST_FILES = 100_000
 
 
 def _csv_reader(spark: SparkSession):
@@ -38,13 +36,22 @@ def read_csv_split(spark: SparkSession, path: str | list[str], schema: T.StructT
     One task can only inflate a gzip file; its lines are then spread over the
     cluster and parsed there. That costs a shuffle of the text, which pays while
     there are fewer files than cores. Lines are the unit, so columns must be ones
-    that cannot hold a line break; a line equal to the header is taken for one.
+    that cannot hold a line break. Each file's first line is its header; lines are
+    dealt out in turn, so one that occurs often does not gather anywhere.
     """
     if any(isinstance(f.dataType, T.StringType) for f in schema.fields):
         raise ValueError("text columns may hold line breaks; use read_csv_gz")
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    lines = spark.read.text(path).filter((F.col("value") != ",".join(schema.names)) & (F.col("value") != ""))
-    spread = lines.repartition(spark.sparkContext.defaultParallelism, "value")
+    # One column that no separator or quote divides: the reader takes off the header and leaves the lines whole.
+    lines = (
+        spark.read.option("header", True)
+        .option("enforceSchema", True)
+        .option("sep", "\x01")
+        .option("quote", "")
+        .schema("value string")
+        .csv(path)
+    )
+    spread = lines.repartition(spark.sparkContext.defaultParallelism)
     return spread.select(F.from_csv("value", ddl, {"mode": "FAILFAST"}).alias("row")).select("row.*")
 
 
@@ -105,27 +112,59 @@ def read_partitions(
     return read_table(spark, source, schema).filter(F.col(column).isin(sorted(days)))
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """`(object_path, file_size, modified_at)` of all files below a folder; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(
+        F.col("path").alias("object_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at")
+    )
+
+
+def with_raw_order(raw: DataFrame, root: str) -> DataFrame:
+    """Adds each raw row's file time, key, block and place, in which order it is newer than others.
+
+    `raw` must be a file scan. Rows of one block are numbered as they are read.
+    """
+    return raw.withColumns(
+        {
+            "_raw_time": F.col("_metadata.file_modification_time"),
+            "_raw_key": key_of_path(F.col("_metadata.file_path"), root),
+            "_raw_block": F.col("_metadata.file_block_start"),
+            "_raw_row": F.monotonically_increasing_id(),
+        }
+    )
+
+
+def key_of_path(path: Column, root: str) -> Column:
+    """Key of a file relative to the lake root, whatever scheme its path is written with."""
+    local_root = root.rstrip("/").split("://", 1)[-1].removeprefix("file:")
+    return F.substring_index(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), f"{local_root}/", -1)
+
+
 def read_batch(spark: SparkSession, root: str, entries: DataFrame, schema: T.StructType) -> DataFrame:
     """All bronze files of a ledger batch in one scan.
 
-    `entries` holds `object_key` (relative to `root`) and `created_at`. Each row gets
-    its file's time as `_control_ts`, and its place in the batch as `_position`,
-    which orders changes that share a file. The list of file names goes through the
-    driver, as any Spark file listing does; the rows do not.
+    `entries` holds `object_key` (relative to `root`, all of one table) and `created_at`.
+    Each row gets its file's time as `_control_ts`, and its place in the batch as
+    `_position`. The scan is narrowed to the days of the batch, whose number is small;
+    the files are then selected by a join on their keys, so no list of keys is
+    collected.
     """
     root = root.rstrip("/")
-    keys = [row.object_key for row in entries.select("object_key").distinct().toLocalIterator()]
-    if not keys:
+    day = F.regexp_extract("object_key", r"^(.*/year=[0-9]+/month=[0-9]+/day=[0-9]+)/", 1)
+    days = [row.day for row in entries.select(day.alias("day")).distinct().collect()]
+    if not days:
         raise ValueError("the batch has no files")
-    files = spark.read.schema(schema).parquet(*[f"{root}/{key}" for key in keys])
-    local_root = root.split("://", 1)[-1].removeprefix("file:")
-    key_of_file = F.substring_index(F.col("_metadata.file_path"), f"{local_root}/", -1)
+    folders = [f"{root}/{d}" for d in sorted(days)]
+    files = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
+    key_of_file = key_of_path(F.col("_metadata.file_path"), root)
     position = F.struct(key_of_file.alias("file"), F.col("_metadata.row_index").alias("row"))
     stamps = entries.groupBy(F.col("object_key").alias("_key")).agg(F.max("created_at").alias("_control_ts"))
-    if len(keys) <= BROADCAST_FILES:
-        stamps = F.broadcast(stamps)
-    placed = files.withColumns({"_key": key_of_file, "_position": position})
-    return placed.join(stamps, "_key").drop("_key")
+    # An entry names a file, or the folder that holds the rows of one raw file.
+    placed = files.withColumns({"_file": key_of_file, "_position": position})
+    folder = F.regexp_replace("_file", "/[^/]*$", "")
+    placed = placed.withColumn("_key", F.when(folder.contains("/file="), folder).otherwise(F.col("_file")))
+    return placed.join(stamps, "_key").drop("_key", "_file")
 
 
 def read_costs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -71,8 +71,8 @@ def lake(spark, tmp_path_factory):
     write(root, "profile", "s-1.json.gz", [{"profile_id": p, "profile_name": f"Person {p}", "email": f"p{p}@example.com", "state": "WA" if p < 3 else "OR", "operation": "insert"} for p in range(1, 6)])
     write(root, "review", "s-1.json.gz", [review(i, month=i % 3, rating=float(i % 5), beer=i % 4 + 1) for i in range(40)])
     counts = {}
-    for table, fmt in (("brewery", "csv"), ("beer", "json"), ("profile", "json"), ("review", "json")):
-        counts[table] = run_bronze(spark, str(root), table, fmt, now(1))
+    for table in ("brewery", "beer", "profile", "review"):
+        counts[table] = run_bronze(spark, str(root), table, now(1))
     return root, counts, run_all(spark, root, 1)
 
 
@@ -97,7 +97,7 @@ def test_first_day(spark, lake):
 def test_nothing_to_do_changes_nothing(spark, lake):
     root, _, _ = lake
     before = ledger.read_log(spark, f"{root}/control").count()
-    assert run_bronze(spark, str(root), "review", "json", now(1, 9))["files"] == 0
+    assert run_bronze(spark, str(root), "review", now(1, 9))["files"] == 0
     assert run_silver(spark, str(root), "review", now(1, 9)) == []
     assert run_flat(spark, str(root), now(1, 9)) == []
     assert run_mart(spark, str(root), "top_drinkers", now(1, 9)) == []
@@ -111,7 +111,7 @@ def test_second_and_third_day(spark, lake):
     deleted = [review(i, "delete", month=i % 3) for i in range(1, 40, 9)]
     fresh = [review(i, month=1) for i in range(100, 110)]
     write(root, "review", "s-2.json.gz", changed + deleted + fresh + [review(100, "update", month=2, rating=5.0)])
-    assert run_bronze(spark, str(root), "review", "json", now(2))["valid"] == len(changed) + len(deleted) + 11
+    assert run_bronze(spark, str(root), "review", now(2))["valid"] == len(changed) + len(deleted) + 11
     run_all(spark, root, 2)
     check_marts(spark, root)
     silver = spark.read.schema(ENTITIES["review"].silver).parquet(f"{root}/silver/review")
@@ -123,7 +123,7 @@ def test_second_and_third_day(spark, lake):
 
     # Everything left of day one moves on: its partitions and months must not keep stale rows.
     write(root, "review", "s-3.json.gz", [review(i, "update", month=7) for i in range(40)])
-    run_bronze(spark, str(root), "review", "json", now(3))
+    run_bronze(spark, str(root), "review", now(3))
     months = run_all(spark, root, 3)
     check_marts(spark, root)
     silver = spark.read.schema(ENTITIES["review"].silver).parquet(f"{root}/silver/review")
@@ -134,16 +134,115 @@ def test_second_and_third_day(spark, lake):
 
 def test_failure_is_recorded_and_retried(spark, tmp_path):
     write(tmp_path, "brewery", "s-1.json.gz", [{"brewery_id": 1, "brewery_name": "A", "operation": "insert"}])
-    with pytest.raises(Exception):
-        run_bronze(spark, str(tmp_path), "brewery", "json", now(1), mask=["no_such_column"])
+    assert run_bronze(spark, str(tmp_path), "brewery", now(1), mask=["no_such_column"])["files"] == 0
     log = ledger.read_log(spark, f"{tmp_path}/control")
     current = ledger.ledger_current(log).first()
     assert (current.status, current.attempt_count) == ("error", 1) and current.error_message
-    assert run_bronze(spark, str(tmp_path), "brewery", "json", now(1, 5), mask=None)["valid"] == 1
+    assert run_bronze(spark, str(tmp_path), "brewery", now(1, 5), mask=None)["valid"] == 1
     done = ledger.by_object_key(ledger.read_log(spark, f"{tmp_path}/control"), "raw/brewery/s-1.json.gz").first()
     assert (done.status, done.attempt_count, done.error_message) == ("success", 2, None)
 
 
+def silver_rows(spark, root, table):
+    run_silver(spark, str(root), table, now(1, 8))
+    return spark.read.schema(ENTITIES[table].silver).parquet(f"{root}/silver/{table}")
+
+
+def bronze_folder(root, table="brewery"):
+    return f"{root}/bronze/{table}"
+
+
+def brewery(i, name, operation="insert"):
+    return {"brewery_id": i, "brewery_name": name, "operation": operation}
+
+
+def test_each_file_is_read_in_its_format(spark, tmp_path):
+    write(tmp_path, "brewery", "dm-batch-process-1.csv.gz", [{"brewery_id": i, "brewery_name": f"c{i}"} for i in range(5)])
+    write(tmp_path, "brewery", "s-1.json.gz", [brewery(i, f"j{i}") for i in range(5, 9)])
+    assert run_bronze(spark, str(tmp_path), "brewery", now(1)) == {"files": 2, "valid": 9, "rejected": 0}
+    assert {r.brewery_name for r in silver_rows(spark, tmp_path, "brewery").collect()} == {*(f"c{i}" for i in range(5)), *(f"j{i}" for i in range(5, 9))}
+    counts = {r.object_key: r.record_count for r in ledger.ledger_current(ledger.read_log(spark, f"{tmp_path}/control")).filter("schema_name = 'dm_bronze'").collect()}
+    assert counts == {"raw/brewery/dm-batch-process-1.csv.gz": 5, "raw/brewery/s-1.json.gz": 4}
+
+
+@pytest.mark.parametrize("larger", ["older", "newer"])
+def test_the_newer_file_wins_whatever_its_size(spark, tmp_path, larger):
+    import os
+
+    filler = [brewery(i, f"filler {i}") for i in range(100, 3000)]
+    older, newer = [brewery(1, "first"), brewery(1, "old", "update")], [brewery(1, "mid", "update"), brewery(1, "new", "update")]
+    for name, rows, at in (("s-b.json.gz", older, 1_700_000_000), ("s-a.json.gz", newer, 1_700_000_300)):
+        write(tmp_path, "brewery", name, rows + (filler if (larger == "older") == (rows is older) else []))
+        os.utime(tmp_path / "raw" / "brewery" / name, (at, at))
+    run_bronze(spark, str(tmp_path), "brewery", now(1))
+    assert silver_rows(spark, tmp_path, "brewery").filter("brewery_id = 1").first().brewery_name == "new"
+
+
+def test_one_bad_file_does_not_hold_up_the_others(spark, tmp_path):
+    for i in range(4):
+        write(tmp_path, "brewery", f"s-{i}.json.gz", [brewery(i, f"n{i}")])
+    (tmp_path / "raw" / "brewery" / "s-2.json.gz").write_bytes(b"\x1f\x8b broken")
+    for attempt in range(4):
+        run_bronze(spark, str(tmp_path), "brewery", now(1, attempt))
+    state = {r.object_key: (r.status, r.attempt_count) for r in ledger.ledger_current(ledger.read_log(spark, f"{tmp_path}/control")).filter("schema_name = 'dm_bronze'").collect()}
+    assert state.pop("raw/brewery/s-2.json.gz") == ("error", 3)
+    assert set(state.values()) == {("success", 1)} and len(state) == 3
+    assert silver_rows(spark, tmp_path, "brewery").count() == 3
+
+
+def test_a_retry_replaces_what_an_attempt_wrote(spark, tmp_path, monkeypatch):
+    from sparge.plans import bronze
+
+    write(tmp_path, "brewery", "s-1.json.gz", [brewery(1, "A"), brewery("x", "B")])
+    with monkeypatch.context() as crash:
+        crash.setattr(bronze, "bronze_entries", lambda *a: 1 / 0)
+        assert run_bronze(spark, str(tmp_path), "brewery", now(1))["files"] == 0
+    assert run_bronze(spark, str(tmp_path), "brewery", now(2)) == {"files": 1, "valid": 1, "rejected": 1}
+    assert spark.read.parquet(bronze_folder(tmp_path)).count() == 1
+    assert spark.read.json(f"{tmp_path}/rejected/brewery").count() == 1
+
+
+def test_only_new_files_are_read(spark, tmp_path):
+    for i in range(6):
+        write(tmp_path, "brewery", f"s-{i}.json.gz", [brewery(i, f"n{i}")])
+    run_bronze(spark, str(tmp_path), "brewery", now(1))
+    for f in (tmp_path / "raw" / "brewery").iterdir():
+        f.write_bytes(b"\x1f\x8b broken since")  # would fail any read
+    write(tmp_path, "brewery", "s-new.json.gz", [brewery(99, "new")])
+    assert run_bronze(spark, str(tmp_path), "brewery", now(2)) == {"files": 1, "valid": 1, "rejected": 0}
+    entries = ledger.ledger_current(ledger.read_log(spark, f"{tmp_path}/control"))
+    assert entries.filter("status = 'error'").count() == 0 and entries.filter("schema_name = 'dm_silver'").count() == 7
+
+
+def test_files_beyond_one_round(spark, tmp_path):
+    for i in range(3):
+        write(tmp_path, "brewery", f"s-{i}.json.gz", [brewery(i, f"n{i}")])
+    assert run_bronze(spark, str(tmp_path), "brewery", now(1), round_files=2)["files"] == 3
+
+
+def test_unknown_operations_are_rejected_and_counted(spark, tmp_path):
+    write(tmp_path, "brewery", "s-1.json.gz", [brewery(1, "A"), brewery(2, "B", "load"), brewery(3, "C", "")])
+    assert run_bronze(spark, str(tmp_path), "brewery", now(1)) == {"files": 1, "valid": 1, "rejected": 2}
+    reasons = {r.brewery_id: [x.reason for x in r.reasons] for r in spark.read.json(f"{tmp_path}/rejected/brewery").collect()}
+    assert reasons == {"2": ["unknown_operation"], "3": ["missing_value"]}
+
+
+def test_personal_data_in_the_last_row_only_does_not_hide(spark, tmp_path):
+    people = [{"profile_id": i, "profile_name": f"P {i}", "email": "unknown" if i < 10 else f"p{i}@example.com", "state": "WA", "operation": "insert"} for i in range(500)]
+    write(tmp_path, "profile", "s-1.json.gz", people)
+    run_bronze(spark, str(tmp_path), "profile", now(1))
+    assert spark.read.parquet(bronze_folder(tmp_path, "profile")).filter("email LIKE '%@%'").count() == 0
+
+
+def test_work_registered_while_a_day_runs_is_not_hidden(spark):
+    day = spark.createDataFrame([("20240201", 3)], "day string, record_count bigint")
+    first = ledger.day_entries(day, now(1))
+    running = ledger.start(first, now(1, 1))
+    again = ledger.day_entries(day, now(1, 2))
+    log = first.unionByName(running).unionByName(again).unionByName(ledger.finish(running, now(1, 3)))
+    assert [r.status for r in ledger.eligible(log).collect()] == ["pending"]
+
+
 def test_append_mode_has_partial_rows(spark, lake, tmp_path):
     root, _, _ = lake
     flat_path = f"{root}/silver/review_flat"
@@ -180,7 +279,7 @@ def test_manifest(spark, tmp_path):
 
 def test_seed(spark, tmp_path):
     write(tmp_path, "brewery", "seed.csv.gz", [{"brewery_id": 1, "brewery_name": " A "}, {"brewery_id": "", "brewery_name": "B"}])
-    assert [tuple(r) for r in load_seed(spark, " Brewery ", str(tmp_path / "raw" / "brewery")).collect()] == [(1, "A")]
+    assert [tuple(r) for r in load_seed(spark, " Brewery ", str(tmp_path / "raw" / "brewery"))[0].collect()] == [(1, "A")]
 
 
 def test_scratch_is_in_the_shared_folder(spark):
