@@ -58,7 +58,7 @@ def test_states_and_retries(spark):
         finished = ledger.finish(started, at(attempt) + F.expr("INTERVAL 90 SECONDS"), "x" * 1500)
         log = log.unionByName(finished)
         current = ledger.ledger_current(log).first()
-        assert (current.status, current.duration, len(current.error_message)) == ("error", 90_000, 1000)
+        assert (current.status, current.duration, len(current.error_message)) == ("error", 90_000, 1500)
     assert ledger.eligible(log).count() == 0
     assert ledger.eligible(log, max_attempts=4).count() == 1
 
