@@ -20,7 +20,10 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates, the document with the smallest doc_id stays."""
+    """Of each component of near-duplicates, the document with the smallest doc_id stays.
+
+    Linked are fingerprints that differ in at most 3 bits, and texts of 5-word-shingle similarity 0.8 or more.
+    """
     return simhash.drop_near_copies(docs)
 
 

@@ -12,13 +12,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from sparge.llm.common import content_key, drop_rows, settings, write_stage
 from sparge.llm.components import components
+from sparge.llm.shingle_join import shingle_hashes, similar_edges
 
-SEED = 42
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 3
 HALF_BITS = 32
@@ -30,18 +29,9 @@ HASH_BLOCK = 1 << 16
 
 def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
     """Fingerprint of a whole text; 0 for a text without words."""
-    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not tokens:
+    hashes = shingle_hashes(text, words)
+    if not hashes:
         return 0
-    digest = xxhash.xxh64_intdigest
-    if len(tokens) < words:
-        hashes = [digest(b" ".join(tokens), SEED)]
-    else:
-        line = b" ".join(tokens)
-        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1
-        ends = np.cumsum(sizes) - 1
-        starts = (ends - sizes + 1)[: len(tokens) - words + 1].tolist()
-        hashes = [digest(line[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)]
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), HASH_BLOCK):
         block = np.array(hashes[at : at + HASH_BLOCK], np.uint64)
@@ -207,17 +197,28 @@ def near_edges(prints: DataFrame, max_distance: int = MAX_DISTANCE, tile: int =
     return edges.unionByName(pairs)
 
 
-def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, max_distance: int = MAX_DISTANCE, text: str = "text", similar: bool = False
+) -> DataFrame:
     """One row per document: doc_id, root, fingerprint (hex), component_id, row_hash.
 
     Null and empty texts and texts without words have the fingerprint 0 and are linked to each other. `component_id`
     is the smallest doc_id reachable over links of at most `max_distance` bits; null only if no member has an id.
+    With `similar`, texts whose 5-word shingles have a similarity of 0.8 or more are linked too.
     Copies share a fingerprint and are one node, however many there are. Further columns only take part in `row_hash`;
     an empty table gives an empty result.
     """
     rows = write_stage(simhashes(docs, text), "simhash")
     nodes = write_stage(rows.groupBy("print").agg(F.min("doc_id").alias("least_id")), "prints")
-    roots = components(near_edges(nodes.select("print"), max_distance))
+    edges = near_edges(nodes.select("print"), max_distance)
+    if similar:
+        prints = rows.groupBy("row_hash").agg(F.min("print").alias("print"))
+        pairs = write_stage(similar_edges(docs, text).distinct(), "similar")
+        for end in ("a", "b"):
+            named = prints.select(F.col("row_hash").alias(end), F.col("print").alias(f"{end}_print"))
+            pairs = pairs.join(named, end)
+        edges = edges.unionByName(pairs.select(F.col("a_print").alias("a"), F.col("b_print").alias("b")))
+    roots = components(edges)
     named = nodes.join(roots.select(F.col("node").alias("print"), "root"), "print", "left")
     named = named.withColumn("root", F.coalesce("root", "print"))
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -228,8 +229,11 @@ def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, text: str
 
 
 def drop_near_copies(docs: DataFrame, max_distance: int = MAX_DISTANCE, text: str = "text") -> DataFrame:
-    """`docs` with one document of each component: the one with the smallest doc_id (null ids last)."""
-    found = near_duplicates(docs, max_distance, text).withColumn("row_no", F.monotonically_increasing_id())
+    """`docs` with one document of each component: the one with the smallest doc_id (null ids last).
+
+    Links are fingerprints of at most `max_distance` differing bits, and shingle similarities of 0.8 or more.
+    """
+    found = near_duplicates(docs, max_distance, text, similar=True).withColumn("row_no", F.monotonically_increasing_id())
     found = write_stage(found, "near")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_no")).alias("first")
     best = found.groupBy("root").agg(first).select(F.col("first.row_no").alias("row_no"), F.lit(True).alias("stays"))
