@@ -9,7 +9,7 @@ from sparge.llm.common import write_stage
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts and texts without a letter."""
+    """Null texts and texts without a letter go. The predicted language rejects nothing, nor do missing labels."""
     prototypes = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
     return langid.keep_known(docs, prototypes)
 

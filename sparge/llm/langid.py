@@ -25,6 +25,7 @@ KEPT_NGRAMS = 20_000
 
 UNKNOWN = "und"
 _NO_LETTERS = re.compile(r"[\W\d_]+")
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 class Profiles:
@@ -209,9 +210,24 @@ def identify(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
+def _with_letters(column: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [bool(_LETTER.search(t or "")) for t in batch.column(column).to_pylist()]
+            yield batch.filter(pa.array(found, pa.bool_()))
+
+    return run
+
+
 def keep_known(docs: DataFrame, prototypes: dict, text: str = "text") -> DataFrame:
-    """`docs` without those that have no language (`und`)."""
+    """`docs` without those whose text has no letter, which are `und` whatever was learned.
+
+    Which language is predicted rejects nothing. If nothing was learned, every text is `und`; the letters decide then.
+    """
     names = docs.columns
+    if not prototypes:
+        settings(docs.sparkSession)
+        return docs.mapInArrow(_with_letters(names.index(text)), docs.schema)
     inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     found = predict(inner, prototypes, f"c{names.index(text)}").filter(F.col("lang_pred") != UNKNOWN)
     return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

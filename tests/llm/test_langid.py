@@ -52,3 +52,17 @@ def test_edges(spark):
     assert left.columns == docs.columns and left.count() == 5
     assert langid.identify(docs.limit(0)).count() == 0
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", docs.lang.substr(9, 1)).filter("doc_id is null")).collect()} == {"und"}
+
+
+def test_tables_without_labels_are_kept(spark):
+    """Nothing learned: texts with a letter stay, the same ones as with labels."""
+    texts = ["the cat and the hat", "日本語", "é", None, "", "12 34", "_ !?", "7a"]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert langid.train(docs) == {}
+    left = langid.keep_known(docs, {})
+    assert left.columns == docs.columns
+    kept = sorted(r.doc_id for r in left.collect())
+    assert kept == [0, 1, 2, 7]
+    learned = langid.train(docs.withColumn("lang", docs.text.substr(1, 1)))
+    assert kept == sorted(r.doc_id for r in langid.keep_known(docs, learned).collect())
+    assert langid.keep_known(docs.limit(0), {}).count() == 0
