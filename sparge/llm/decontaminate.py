@@ -13,12 +13,13 @@ import re
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sparge.llm.common import content_key, settings, words_of
+from sparge.llm.common import content_key, settings, words_of, write_stage
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -61,26 +62,42 @@ def _holds(need: set[tuple[bytes, ...]], words: list[bytes]) -> float:
     return len(need & there) / len(need)
 
 
+class Statistics(NamedTuple):
+    """Of all items that have words: their number, words in all of them, words of the longest, and items by word."""
+
+    items: int
+    words: int
+    longest: int
+    holding: dict[bytes, int]
+
+
 class Index:
-    """Postings with block maxima; items are ordered by length, so that a block's items have like scores."""
+    """Postings with block maxima; items are ordered by length, so that a block's items have like scores.
+
+    `whole` are the statistics of all items if `items` are a group of them, so that scores and passages are those of
+    one index of all items.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], whole: Statistics | None = None):
         split = [(i, *split_item(t or "")) for i, t in items]
         split = sorted((x for x in split if x[1] or x[2]), key=lambda x: (len(x[1]) + len(x[2]), str(x[0])))
         self.ids = [i for i, _, _ in split]
         self.needs = [(shingles(q), shingles(a)) for _, q, a in split]
         words = [q + a for _, q, a in split]
-        self.longest = max(map(len, words), default=1)
         counts: dict[bytes, dict[int, int]] = defaultdict(lambda: defaultdict(int))
         for n, item in enumerate(words):
             for w in item:
                 counts[w][n] += 1
-        mean = sum(map(len, words)) / max(1, len(words))
+        if whole is None:
+            longest = max(map(len, words), default=1)
+            whole = Statistics(len(words), sum(map(len, words)), longest, {w: len(found) for w, found in counts.items()})
+        self.longest = whole.longest
+        mean = whole.words / max(1, whole.items)
         self.vocabulary = {w: t for t, w in enumerate(sorted(counts))}
         postings, own = [], np.zeros(len(words))
         for w in sorted(counts):
             found = counts[w]
-            idf = math.log(1 + (len(words) - len(found) + 0.5) / (len(found) + 0.5))
+            idf = math.log(1 + (whole.items - whole.holding[w] + 0.5) / (whole.holding[w] + 0.5))
             at = np.array(sorted(found), np.int32)
             tf = np.array([found[n] for n in at.tolist()], float)
             size = np.array([len(words[n]) for n in at.tolist()], float)
@@ -188,11 +205,11 @@ _indexes: dict[str, Index] = {}
 
 
 def _index(key: str, sent) -> Index:
-    """The index of broadcast items, built once per worker."""
+    """The index of broadcast items and statistics, built once per worker."""
     if key not in _indexes:
         if len(_indexes) >= 2:
             _indexes.clear()
-        _indexes[key] = Index(sent.value)
+        _indexes[key] = Index(*sent.value)
     return _indexes[key]
 
 
@@ -227,14 +244,46 @@ def _without_hits(column: int, key: str, sent, threshold: float, overlap: float)
     return run
 
 
-def item_blocks(items: DataFrame, index_bytes: int = INDEX_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The items in groups whose texts have at most `index_bytes` each, fetched group by group."""
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per item that has words, a row per distinct one, the first of which has the number of all its words."""
+    for batch in batches:
+        groups, words, lengths = [], [], []
+        for group, text in zip(batch.column("item_group").to_pylist(), batch.column("item_text").to_pylist(), strict=True):
+            question, answer = split_item(text or "")
+            distinct = sorted({*question, *answer})
+            groups += [group] * len(distinct)
+            words += distinct
+            lengths += [len(question) + len(answer), *[None] * (len(distinct) - 1)] if distinct else []
+        columns = [pa.array(groups, pa.int64()), pa.array(words, pa.binary()), pa.array(lengths, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["item_group", "word", "n_words"])
+
+
+def item_blocks(
+    items: DataFrame, index_bytes: int = INDEX_BYTES
+) -> Iterator[tuple[list[tuple[int, str]], Statistics | None]]:
+    """The items in groups whose texts have about `index_bytes` each, fetched group by group, with the statistics of all.
+
+    Of the statistics a group gets those of its own words, so what is fetched is bound by its text. A single group
+    has none, as they are those of its items.
+    """
     rows = items.select("item_id", F.col("text").alias("item_text"))
     total = rows.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0
     groups = -(-total // index_bytes) or 1
-    by_hash = rows.withColumn("item_group", F.pmod(F.xxhash64("item_id", "item_text"), F.lit(groups)))
+    if groups > 1:
+        rows = rows.withColumn("item_group", F.pmod(F.xxhash64("item_id", "item_text"), F.lit(groups)))
+        found = rows.select("item_group", "item_text").mapInArrow(_item_words, "item_group long, word binary, n_words long")
+        words = write_stage(found, "item-words")
+        count, length, longest = words.agg(F.count("n_words"), F.sum("n_words"), F.max("n_words")).first()
+        holding = write_stage(words.groupBy("word").agg(F.count("*").alias("holding")), "item-holding")
     for g in range(groups):
-        yield [(r["item_id"], r["item_text"] or "") for r in by_hash.filter(F.col("item_group") == g).collect()]
+        mine = rows.filter(F.col("item_group") == g) if groups > 1 else rows
+        block = [(r["item_id"], r["item_text"] or "") for r in mine.collect()]
+        if groups == 1:
+            yield block, None
+            continue
+        own = words.filter(F.col("item_group") == g).select("word").distinct().join(holding, "word")
+        by_word = {bytes(r["word"]): r["holding"] for r in own.collect()}
+        yield block, Statistics(count, length or 0, longest or 1, by_word)
 
 
 def contaminations(
@@ -244,8 +293,9 @@ def contaminations(
     """One row per document: doc_id, row_hash, hits (item_id, score, first_word of the passage), by item_id.
 
     Null and empty texts, and items without words, have no hits; equal items all hit. Items of more than `index_bytes`
-    are searched in several rounds of the documents, each with its own corpus statistics for its items. Further
-    columns only take part in `row_hash`; an empty table gives an empty result.
+    are searched in several rounds of the documents, with the statistics of all items in each, so that hits and scores
+    do not depend on the number of rounds. Further columns only take part in `row_hash`; an empty table gives an empty
+    result.
     """
     spark = settings(docs.sparkSession)
     rows = docs.select(

@@ -84,3 +84,19 @@ def test_edges_and_rounds(spark):
         assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 6]
     assert dc.contaminations(docs.limit(0), items).count() == 0
     assert all(r.hits == [] for r in dc.contaminations(docs, items.limit(0)).collect())
+
+
+def test_rounds_change_no_score(spark, folder):
+    """Items in many groups: the same hits, scores and passages as with one index."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    odd = spark.createDataFrame([(-1, None), (-2, "!"), (-3, "a\u00a0b? " + "longest " * 300)], "item_id long, text string")
+    items = items.select("item_id", "text").unionByName(odd)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").unionByName(
+        items.selectExpr("item_id + 1000000 AS doc_id", "concat('some words ', text) AS text"), allowMissingColumns=True
+    )
+    found = [
+        sorted((r.doc_id, [tuple(h) for h in r.hits]) for r in dc.contaminations(docs, items, index_bytes=size).collect())
+        for size in (dc.INDEX_BYTES, 1500)
+    ]
+    assert len(list(dc.item_blocks(items, 1500))) > 2
+    assert found[0] == found[1] and any(hits for _, hits in found[0])
