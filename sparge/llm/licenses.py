@@ -1,6 +1,7 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-A text's words are cut into blocks that overlap by half, so that any run of up to BLOCK_STEP words lies in one block.
+A text's words are cut into blocks that overlap by half, so that any run of up to a step of words lies in one block. The
+step is BLOCK_STEP; for longer templates it is doubled until it holds them, and such templates have blocks of their own.
 A template matches a block that holds at least a given share of the template's distinct words (containment). The join
 orders words by their frequency in all documents, rarest first, and finds every match by three filters:
 - length: a block must hold at least as many template words as the least demanding template needs,
@@ -48,10 +49,13 @@ BLOCK_STEP = 24
 
 
 class Template:
-    """A template's label, distinct words and the number of them that a match needs."""
+    """A template's label, distinct words, the number of them that a match needs, and the step of its blocks."""
 
     def __init__(self, label: str, text: str, containment: float):
         self.label, self.words = label, sorted(set(text.split()))
+        self.step = BLOCK_STEP
+        while self.step < len(text.split()):
+            self.step *= 2
         self.need = max(1, math.ceil(containment * len(self.words) - 1e-9))
 
 
@@ -78,11 +82,11 @@ def _words(line: Column) -> Column:
     return F.floor((F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))) / 2).cast("long")
 
 
-def _blocks(words: Column, vocabulary: Column, least: int) -> Column:
+def _blocks(words: Column, vocabulary: Column, least: int, step: int) -> Column:
     """Per block its distinct template words, if there are at least `least` of them."""
-    count = F.greatest(F.lit(1), F.ceil(F.size(words) / F.lit(BLOCK_STEP)).cast("int") - 1)
+    count = F.greatest(F.lit(1), F.ceil(F.size(words) / F.lit(step)).cast("int") - 1)
     starts = F.sequence(F.lit(0), count - 1)
-    cut = F.transform(starts, lambda i: F.array_intersect(F.slice(words, i * BLOCK_STEP + 1, 2 * BLOCK_STEP), vocabulary))
+    cut = F.transform(starts, lambda i: F.array_intersect(F.slice(words, i * step + 1, 2 * step), vocabulary))
     return F.filter(cut, lambda b: F.size(b) >= least)
 
 
@@ -119,9 +123,9 @@ def scan(
     for number, t in enumerate(known):
         ranks = sorted(rank[w] for w in t.words)
         for position, r in enumerate(ranks[: len(ranks) - t.need + 1]):
-            index.append((r, number, t.label, position, ranks, t.need))
+            index.append((r, t.step, number, t.label, position, ranks, t.need))
     prefixes = spark.createDataFrame(
-        index, "word_rank int, template int, label string, template_at int, ranks array<int>, need int"
+        index, "word_rank int, step int, template int, label string, template_at int, ranks array<int>, need int"
     )
 
     found = [(_starts(p, F.col("line")), label) for p, label in phrases.items()]
@@ -129,10 +133,15 @@ def scan(
     starters = sorted({order[r] for r, *_ in index})
     possible_text = F.col("line").rlike(" (?:" + "|".join(starters) + ") ")
     base = F.array_compact(F.array(*[F.when(s["count"] > 0, F.lit(label)) for s, label in found]))
-    ranked = F.transform(
-        F.when(possible_text, _blocks(split, allowed, min(t.need for t in known))),
-        lambda b: F.array_sort(F.transform(b, lambda w: F.element_at(_literal_map(rank), w))),
-    )
+    least = {step: min(t.need for t in known if t.step == step) for step in sorted({t.step for t in known})}
+
+    def by_step(step: int) -> Column:
+        ranks = lambda b: F.array_sort(F.transform(b, lambda w: F.element_at(_literal_map(rank), w)))
+        prefix = lambda b: F.slice(b, 1, F.size(b) - (least[step] - 1))
+        ranked = F.transform(_blocks(split, allowed, least[step], step), ranks)
+        return F.transform(ranked, lambda b: F.struct(F.lit(step).alias("step"), b.alias("ranks"), prefix(b).alias("prefix")))
+
+    ranked = F.when(possible_text, F.concat(*[by_step(step) for step in least]))
     rows = lines.select(
         F.monotonically_increasing_id().alias("row_no"),
         "doc_id",
@@ -143,12 +152,13 @@ def scan(
         base.alias("base"),
         ranked.alias("blocks"),
     )
-    least = min(t.need for t in known)
     own = ["row_no", "doc_id", "n_words", "n_base", "first_word", "last_word", "base"]
     blocks = rows.select(*own, F.posexplode_outer("blocks").alias("block_no", "block"))
-    prefix = F.expr(f"slice(block, 1, size(block) - {least - 1})")
-    words = blocks.select(*own, "block", F.posexplode_outer(prefix).alias("block_at", "word_rank"))
-    joined = words.join(F.broadcast(prefixes), "word_rank", "left")
+    words = blocks.select(
+        *own, F.col("block.step").alias("step"), F.col("block.ranks").alias("block"),
+        F.posexplode_outer("block.prefix").alias("block_at", "word_rank"),
+    )
+    joined = words.join(F.broadcast(prefixes), ["word_rank", "step"], "left")
     possible = F.least(F.size("block") - F.col("block_at"), F.size("ranks") - F.col("template_at"))
     share = F.when(
         possible >= F.col("need"), F.size(F.array_intersect("block", "ranks"))
@@ -169,7 +179,9 @@ def scan(
 
 
 def scan_sql() -> str:
-    """The scan by brute force in DuckDB SQL: every block against every template."""
+    """The scan by brute force in DuckDB SQL: every block against every template. Its blocks have one step."""
+    if any(Template(k, t, CONTAINMENT).step != BLOCK_STEP for k, v in TEMPLATES.items() for t in v):
+        raise ValueError(f"the SQL has blocks for templates of at most {BLOCK_STEP} words")
     phrases = ", ".join(f"('{p}', '{label}')" for p, label in PHRASES.items())
     templates = ", ".join(
         f"('{k}', {Template(k, t, CONTAINMENT).words!r}, {Template(k, t, CONTAINMENT).need})"

@@ -57,3 +57,24 @@ def test_repeated_rows_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "mit license")] * 3 + [(None, "mit license")], "doc_id long, text string")
     assert licenses.scan(docs).count() == 4
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_long_templates(spark):
+    """Templates of any length match wherever they stand, and leave what short ones match as it is."""
+    dice = random.Random(9)
+    long = {n: [f"l{n}x{i}" for i in range(n)] for n in (24, 25, 40, 130, 700)}
+    templates = {f"t{n}": (" ".join(w),) for n, w in long.items()} | {"short": ("s1 s2 s3 s4 s5",)}
+    rows, want = [], []
+    for n, words in long.items():
+        for before in (0, 1, 23, 24, 37, 300):
+            some = [w for i, w in enumerate(words) if i % 6]
+            held = dice.choice([words, some])
+            rows.append(" ".join([*["x"] * before, *held, *["y"] * 50]))
+            want.append((f"t{n}", len(held) / n))
+        rows.append(" ".join(["x", *words[: n // 2]]))
+        want.append(("", 0.0))
+    rows += ["s1 s2 s3 " + "x " * 60 + "s4 s5", "s1 s2 s3 " + "x " * 30 + "s4"]
+    want += [("", 0.0), ("short", 0.8)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs, {"no such phrase": "p"}, templates).collect()}
+    assert got == dict(enumerate(want))
