@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sparge.llm.collocations import COLLOCATIONS_SQL
+from sparge.llm.filter_audit import AUDIT_SQL
 from sparge.llm.licenses import scan_sql
 
 OP3 = r"""
@@ -30,4 +32,7 @@ FROM p LEFT JOIN fits f ON p.page_id = f.page_id AND f.n = 1
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_license_scan": scan_sql(), "op3_exact_dedup": OP3, "op4_url_filter": OP4}
+    return {
+        "op1_license_scan": scan_sql(), "op3_exact_dedup": OP3, "op4_url_filter": OP4, "op11_filter_audit": AUDIT_SQL,
+        "op13_collocations": COLLOCATIONS_SQL,
+    }

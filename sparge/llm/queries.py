@@ -7,11 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparge.llm.collocations import collocations
 from sparge.llm.common import settings
 from sparge.llm.decontaminate import contaminations
 from sparge.llm.exact_dedup import exact_dedup
+from sparge.llm.filter_audit import audit
 from sparge.llm.langid import identify
 from sparge.llm.licenses import scan
+from sparge.llm.mixing import mix
 from sparge.llm.packing import pack, piece_digests
 from sparge.llm.sharding import shard
 from sparge.llm.simhash import near_duplicates
@@ -103,3 +106,18 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_uri(spark, "warc")
     archives = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     return read_archives(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
