@@ -6,8 +6,9 @@ extends all phrases by all words that follow them, and the rows' neighbours tell
 before, or after, every occurrence. Shards give counts of their phrases, Spark sums them.
 
 Lengths are mined one after the other. A phrase can only be frequent if its words and the phrases within it are, so
-after each length a Bloom filter of the frequent ones, of bounded size, goes to all tasks. What passes by chance costs
-time and is dropped by its count: results do not depend on the filter.
+after each length a Bloom filter of the frequent ones, of bounded size, goes to all tasks. Phrases of the next length
+are first counted by hash alone; only those whose hash is frequent are then written out and counted exactly. What
+passes by chance costs time and is dropped by its count: results do not depend on the filter.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
 # Words of one shard, and distinct words that a task counts before it hands them on.
-SHARD_WORDS = 1 << 21
-COUNTED_WORDS = 1 << 19
+SHARD_WORDS = 1 << 19
+COUNTED_WORDS = 1 << 18
 # Bits of a filter: 16 per frequent phrase, at most 16 MB. Two bits are set per phrase.
 FILTER_BITS = 1 << 27
 FILTER_BITS_EACH = 16
@@ -181,18 +182,21 @@ def _encode(frequent: Callable[[], Filter], shard_words: int) -> Callable[[Itera
 def suffix_order(sequence: np.ndarray, depth: int) -> np.ndarray:
     """Starts of suffixes, sorted by their first `depth` numbers; equal ones by place."""
     n = len(sequence)
-    ranks, done = sequence.astype(np.int64), 1
-    order = np.argsort(ranks, kind="stable")
+    width = max(1, int(sequence.max(initial=0)).bit_length())
+    # As many numbers as fit make the first key; ranks of what is sorted so far make the following ones.
+    done = min(depth, 62 // width)
+    key = np.zeros(n, np.int64)
+    for at in range(done):
+        key <<= width
+        key[: n - at] |= sequence[at:]
+    order = np.argsort(key, kind="stable")
     while done < depth:
         more = min(done, depth - done)
-        shifted = np.zeros(n, np.int64)
-        shifted[: n - more] = ranks[more:]
-        # Overlapping halves: the first `done` numbers, and `done` more from `more` on.
-        key = ranks * (n + int(sequence.max(initial=0)) + 2) + shifted
-        order = np.argsort(key, kind="stable")
-        fresh = np.append(True, key[order][1:] != key[order][:-1])
         ranks = np.empty(n, np.int64)
-        ranks[order] = np.cumsum(fresh)
+        ranks[order] = np.cumsum(np.append(True, key[order][1:] != key[order][:-1]))
+        key = ranks * (n + 1)
+        key[: n - more] += ranks[more:]  # the first numbers, and as many from `more` on
+        order = np.argsort(key, kind="stable")
         done += more
     return order
 
@@ -203,8 +207,9 @@ class Direction:
     def __init__(self, sequence: np.ndarray, depth: int):
         order = suffix_order(sequence, depth)
         self.before = sequence[order - 1]  # of the first suffix: the last number, which is 0
-        self.to_row = np.empty(len(order), np.int64)  # the row of the suffix that begins one place earlier
-        self.to_row[np.argsort(self.before, kind="stable")] = np.arange(len(order))
+        row_of = np.empty(len(order), np.int64)
+        row_of[order] = np.arange(len(order))
+        self.to_row = row_of[order - 1]  # the row of the suffix that begins one place earlier
         self.changes = np.cumsum(np.append(False, self.before[1:] != self.before[:-1]))
 
     def only(self, low: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -212,35 +217,51 @@ class Direction:
         return np.where(self.changes[low] == self.changes[low + size - 1], self.before[low], 0)
 
 
+@dataclass
+class Phrases:
+    """Phrases of one length in a shard: numbers, how often, and their intervals in the forward and the reverse index."""
+
+    grams: np.ndarray
+    size: np.ndarray
+    low: np.ndarray
+    back: np.ndarray
+
+    def where(self, keep: np.ndarray) -> Phrases:
+        return Phrases(self.grams[keep], self.size[keep], self.low[keep], self.back[keep])
+
+
+def _reversed(sequence: np.ndarray) -> np.ndarray:
+    """The zero that ends the sequence would come first; moved to its end it closes the last run again."""
+    return np.append(sequence[-2::-1], sequence[-1])
+
+
 def phrases(
-    sequence: np.ndarray, hashes: np.ndarray, length: int, filters: list[Filter], chunk_rows: int = 1 << 22
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Phrases of `length` numbers in a shard: rows of numbers, counts, the only number before, the only one after.
+    sequence: np.ndarray, hashes: np.ndarray, length: int, filters: list[Filter], backward: Direction, chunk_rows: int = 1 << 20
+) -> tuple[Phrases, np.ndarray, np.ndarray]:
+    """Phrases of `length` numbers that `filters` pass; and, of those one longer, hashes and counts.
 
-    `filters` hold the frequent phrases of lengths 2, 3 and so on below `length`: others are not extended.
+    `filters` are those of lengths 2 to `length`. A phrase one longer counts if both phrases within it pass.
     """
-    # Reversed, the zero that ends the sequence comes first; moved to its end it closes the last run again.
-    forward, backward = Direction(sequence, length), Direction(np.append(sequence[-2::-1], sequence[-1]), length)
     totals = np.bincount(sequence, minlength=len(hashes) + 1)
     starts = np.cumsum(totals) - totals
-    grams = np.flatnonzero(totals[1:]).astype(np.int32)[:, None] + 1
-    size = totals[grams[:, 0]]
-    low, back = starts[grams[:, 0]], starts[grams[:, 0]].copy()
+    words = np.flatnonzero(totals[1:]).astype(np.int32) + 1
+    found = Phrases(words[:, None], totals[words], starts[words], starts[words].copy())
+    passes = lambda kind, grams: filters[kind - 2].has(phrase_hashes(hashes[grams - 1]))
     for reached in range(2, length + 1):
-        found = [_extended(backward, grams[s], size[s], low[s], back[s]) for s in _blocks(size, chunk_rows)]
-        if not found:
-            break
-        grams, size, low, back = (np.concatenate(c) for c in zip(*found, strict=True))
-        if reached > 2:  # all words of a shard have passed already; what precedes the new word's phrase is frequent
-            keep = filters[reached - 3].has(phrase_hashes(hashes[grams[:, 1:] - 1]))
-            grams, size, low, back = grams[keep], size[keep], low[keep], back[keep]
-        if reached < length:
-            keep = filters[reached - 2].has(phrase_hashes(hashes[grams - 1]))
-            grams, size, low, back = grams[keep], size[keep], low[keep], back[keep]
-    if grams.shape[1] < length:
-        grams, size = np.zeros((0, length), np.int32), size[:0]
-        low = back = size
-    return grams, size, forward.only(low, size), backward.only(back, size)
+        parts = [_extended(backward, found.where(s)) for s in _blocks(found.size, chunk_rows)]
+        found = Phrases(*map(np.concatenate, zip(*[(f.grams, f.size, f.low, f.back) for f in parts], strict=True))) if parts else found
+        if found.grams.shape[1] == reached:
+            found = found.where(passes(reached, found.grams))
+    if found.grams.shape[1] < length:
+        found = Phrases(np.zeros((0, length), np.int32), *[found.size[:0]] * 3)
+    more, counts = [np.zeros(0, np.uint64)], [found.size[:0]]
+    for block in _blocks(found.size, chunk_rows):
+        longer = _extended(backward, found.where(block))
+        if length > 1:
+            longer = longer.where(passes(length, longer.grams[:, 1:]))
+        more.append(phrase_hashes(hashes[longer.grams - 1]))
+        counts.append(longer.size)
+    return found, np.concatenate(more), np.concatenate(counts)
 
 
 def _blocks(size: np.ndarray, rows: int) -> list[slice]:
@@ -252,52 +273,63 @@ def _blocks(size: np.ndarray, rows: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(size)], strict=True)]
 
 
-def _extended(
-    backward: Direction, grams: np.ndarray, size: np.ndarray, low: np.ndarray, back: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _extended(backward: Direction, found: Phrases) -> Phrases:
     """All phrases with each number that follows them: rows of the reverse index give the numbers and their counts.
 
     The extended phrase's rows in the forward index lie within those of the phrase, after those that go on with a
-    smaller number; in the reverse index they are where the step to the earlier suffix leads.
+    smaller number; in the reverse index they are where the steps to the earlier suffixes lead.
     """
+    size, ends = found.size, np.cumsum(found.size)
     owner = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-    rows = np.repeat(back, size) + place
-    after = backward.before[rows].astype(np.int64)
-    order = np.argsort(owner * (int(after.max(initial=0)) + 1) + after, kind="stable")
-    owner, after, rows = owner[order], after[order], rows[order]
-    first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (after[1:] != after[:-1]))) if len(owner) else owner
-    counts = np.diff(np.append(first, len(owner)))
-    owner_of, next_of = owner[first], after[first]
-    begin = low[owner_of] + first - (np.cumsum(size) - size)[owner_of]
-    back_of = backward.to_row[rows[first]]
-    word = next_of > 0
-    longer = np.concatenate([grams[owner_of[word]], next_of[word].astype(np.int32)[:, None]], axis=1)
-    return longer, counts[word], begin[word], back_of[word]
+    rows = np.arange(len(owner)) + np.repeat(found.back - (ends - size), size)
+    key = owner * (int(backward.before.max(initial=0)) + 1) + backward.before[rows]
+    order = np.argsort(key, kind="stable")
+    key, rows = key[order], rows[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else owner
+    counts = np.diff(np.append(first, len(key)))
+    owner_of, next_of = owner[order[first]], backward.before[rows[first]]
+    begin = found.low[owner_of] + first - (ends - size)[owner_of]
+    back_of = np.minimum.reduceat(backward.to_row[rows], first) if len(first) else first
+    longer = np.concatenate([found.grams[owner_of], next_of.astype(np.int32)[:, None]], axis=1)
+    return Phrases(longer, counts, begin, back_of).where(next_of > 0)
 
 
-SHARD_PHRASES = "lang string, phrase string, f long, phrase_hash long, only_before string, only_after string"
+SHARD_PHRASES = "phrase_hash long, lang string, phrase string, f long, only_before long, only_after long"
 
 
-def _mine(length: int, filters: Callable[[], list[Filter]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _mine(length: int, more: bool, filters: Callable[[], list[Filter]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per shard: phrases of `length` words (none of one word), and with `more` the hashes of those one word longer."""
+
+    def rows(digest: np.ndarray, lang: list, phrase: list, f: np.ndarray, before: list, after: list) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        columns = (digest.view(np.int64), lang, phrase, f, before, after)
+        names = ["phrase_hash", "lang", "phrase", "f", "only_before", "only_after"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = filters()
         for batch in batches:
             for row in range(batch.num_rows):
                 sequence = np.frombuffer(batch.column("shard")[row].as_py(), "<i4")
                 hashes = batch.column("hashes")[row].values.to_numpy().view(np.uint64)
-                words, langs = batch.column("words")[row].as_py(), batch.column("langs")[row].as_py()
-                grams, size, before, after = phrases(sequence, hashes, length, known)
-                for at in range(0, len(size), 1 << 16):
+                backward = Direction(_reversed(sequence), length + more)
+                found, longer, counts = phrases(sequence, hashes, length, known, backward)
+                if length > 1 and len(found.size):
+                    words, langs = batch.column("words")[row].as_py(), batch.column("langs")[row].as_py()
+                    forward = Direction(sequence, length + more)
+                    signed = hashes.view(np.int64).tolist()
+                    for at in range(0, len(found.size), 1 << 14):
+                        part = found.where(slice(at, at + (1 << 14)))
+                        sides = (forward.only(part.low, part.size), backward.only(part.back, part.size))
+                        yield rows(
+                            phrase_hashes(hashes[part.grams - 1]), [langs[i - 1] for i in part.grams[:, 0].tolist()],
+                            [" ".join([words[i - 1] for i in g]) for g in part.grams.tolist()], part.size,
+                            *[[signed[i - 1] if i else None for i in side.tolist()] for side in sides],
+                        )
+                for at in range(0, len(longer) if more else 0, 1 << 16):
                     part = slice(at, at + (1 << 16))
-                    texts = [" ".join([words[i - 1] for i in g]) for g in grams[part].tolist()]
-                    sides = [[words[i - 1] if i else None for i in side[part].tolist()] for side in (before, after)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([langs[i - 1] for i in grams[part, 0].tolist()], pa.string()), pa.array(texts, pa.string()),
-                         pa.array(size[part], pa.int64()), pa.array(phrase_hashes(hashes[grams[part] - 1]).view(np.int64)),
-                         *[pa.array(s, pa.string()) for s in sides]],
-                        ["lang", "phrase", "f", "phrase_hash", "only_before", "only_after"],
-                    )
+                    nothing = [None] * len(longer[part])
+                    yield rows(longer[part], nothing, nothing, counts[part], nothing, nothing)
 
     return run
 
@@ -326,21 +358,21 @@ def frequent_phrases(
     words = spark.sparkContext.broadcast(sent(found[0]))
     shape = "shard binary, langs array<string>, words array<string>, hashes array<long>"
     shards = write_stage(rows.mapInArrow(_encode(lambda: words.value, shard_words), shape), "shards")
-    for length in range(2, longest + 1):
+    one = lambda side: (F.count(side) == F.count(F.lit(1))) & F.min(side).eqNullSafe(F.max(side))
+    for length in range(1, longest + 1):
         sides = spark.sparkContext.broadcast(filters)
-        local = shards.mapInArrow(_mine(length, lambda sides=sides: sides.value), SHARD_PHRASES)
-        one = lambda side: (
-            (F.count(side) == F.count(F.lit(1))) & F.min(side).eqNullSafe(F.max(side))
-        )
-        summed = local.groupBy("lang", "phrase").agg(
-            F.sum("f").alias("f"), F.first("phrase_hash").alias("phrase_hash"), (one("only_before") | one("only_after")).alias("extended")
+        local = shards.mapInArrow(_mine(length, length < longest, lambda sides=sides: sides.value), SHARD_PHRASES)
+        summed = local.groupBy("phrase_hash", "lang", "phrase").agg(
+            F.sum("f").alias("f"), (one("only_before") | one("only_after")).alias("extended")
         )
         level = write_stage(summed.filter(F.col("f") >= min_count), "phrases")
-        found.append(level)
-        count = level.count()
+        if length > 1:
+            found.append(level.filter("phrase IS NOT NULL"))
+        longer = level.filter("phrase IS NULL")
+        count = longer.count()
         if not count:
             break
-        filters = [*filters, build_filter(level.select("phrase_hash"), count, filter_bits)]
+        filters = [*filters, build_filter(longer.select("phrase_hash"), count, filter_bits)]
     tagged = [f.select("lang", "phrase", F.lit(i).alias("words"), "f", "extended") for i, f in enumerate(found, 1)]
     whole = tagged[0]
     for part in tagged[1:]:

@@ -89,10 +89,13 @@ def test_index_counts_phrases(depth):
                 after.setdefault(gram, set()).add(line[i + depth])
     everything = cl.Filter(64, np.full(1, ~np.uint64(0)))
     hashes = dice.integers(0, 1 << 63, 5).astype(np.uint64)
-    grams, size, left, right = cl.phrases(sequence, hashes, depth, [everything] * 3, chunk_rows=50)
+    forward, backward = cl.Direction(sequence, depth + 1), cl.Direction(cl._reversed(sequence), depth + 1)
+    got, longer, counts = cl.phrases(sequence, hashes, depth, [everything] * 4, backward, chunk_rows=50)
     only = lambda seen: next(iter(seen)) if len(seen) == 1 else 0
-    found = {tuple(g): row for g, *row in zip(grams.tolist(), size.tolist(), left.tolist(), right.tolist(), strict=True)}
+    sides = forward.only(got.low, got.size).tolist(), backward.only(got.back, got.size).tolist()
+    found = {tuple(g): row for g, *row in zip(got.grams.tolist(), got.size.tolist(), *sides, strict=True)}
     assert found == {g: [n, only(before[g]), only(after[g])] for g, n in want.items()}
+    assert counts.sum() == sum(max(0, len(r) - depth) for r in runs) and len(longer) == len(set(longer.tolist())) == len(counts)
 
 
 def test_empty(spark):
