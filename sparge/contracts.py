@@ -91,8 +91,13 @@ REVIEW_FLAT = columns(
     " created_at timestamp, updated_at timestamp, deleted_at timestamp, partitioned_at string"
 )
 
-# Where a bronze row comes from: its raw file and its place there. In this order they say which change is newer.
-RAW_ORDER = columns("_raw_time timestamp, _raw_key string, _raw_block bigint, _raw_row bigint")
+# When a bronze row's change was made, and where the row comes from: its raw file and its place there. In this order
+# they say which change is newer. The time is the envelope's where it has one, else that of the file.
+RAW_ORDER = columns(
+    "_event_time timestamp, _raw_time timestamp, _raw_key string, _raw_block bigint, _raw_row bigint"
+)
+# Name of the envelope's time in raw JSON.
+EVENT_TIME = "_event_time"
 
 LEDGER = columns(
     "control_id string, object_key string, schema_name string, table_name string,"

@@ -271,6 +271,11 @@ def costs(spark: SparkSession, folder: str) -> DataFrame:
             F.col("p_type").alias("line_item_product_code"),
             F.col("l_extendedprice").alias("line_item_unblended_cost"),
             F.col("l_linestatus").alias("line_item_usage_type"),
+            # Lines without a discount have no tags, cheap ones a single one.
+            F.when(F.col("l_discount") == 0, None)
+            .when(F.col("l_quantity") > 25, F.create_map(F.lit("status"), "l_linestatus", F.lit("flag"), "l_returnflag"))
+            .otherwise(F.create_map(F.lit("status"), "l_linestatus"))
+            .alias("resource_tags"),
             F.date_format(day, "yyyy-MM").alias("billing_period"),
         )
     )

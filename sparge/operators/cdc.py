@@ -54,24 +54,30 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*").select(*df.columns)
 
 
-def fold_changes(batch: DataFrame, key: str, order: Sequence[str], ts: str = CONTROL_TS) -> DataFrame:
+def fold_changes(
+    batch: DataFrame, key: str, order: Sequence[str], ts: str = CONTROL_TS, by_ts: bool = True, versions: bool = False
+) -> DataFrame:
     """Reduce a batch to one change per key.
 
     Besides the payload and audit columns of the last change, `_inserted_at` holds
     the time of the last insert and `_first_at` that of the first change; both feed
     `created_at` in `merge_upsert`. Columns starting with `_` serve as `order` only.
+    Changes are ordered by `ts`, then by `order`; without `by_ts` by `order` alone, for
+    batches whose `ts` tells when a change was registered and not when it was made.
+    With `versions`, `_version` holds the last change's place in that order.
     """
     known = batch.filter(_known())
     helpers = {"operation", ts, key}
     payload = [c for c in batch.columns if c not in helpers and not c.startswith("_")]
     at = F.col(ts).cast("timestamp")
-    total = F.struct(at.alias("_at"), *order)
+    total = F.struct(*([at.alias("_at")] if by_ts else []), *order)
     folded = known.groupBy(key).agg(
         F.max_by(F.struct("operation", at.alias("updated_at"), *payload), total).alias("_last"),
+        F.max(total).alias("_version"),
         F.max(F.when(F.col("operation") == "insert", at)).alias("_inserted_at"),
         F.min(at).alias("_first_at"),
     )
-    return folded.select(key, "_last.*", "_inserted_at", "_first_at").select(
+    return folded.select(key, "_last.*", "_inserted_at", "_first_at", "_version").select(
         key,
         *payload,
         "updated_at",
@@ -79,6 +85,7 @@ def fold_changes(batch: DataFrame, key: str, order: Sequence[str], ts: str = CON
         partition_day(F.col("updated_at")).alias("partitioned_at"),
         "_inserted_at",
         "_first_at",
+        *(["_version"] if versions else []),
     )
 
 
@@ -104,10 +111,17 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, monotonic: bool
         incoming = incoming.filter(
             F.col("_known_updated").isNull() | (F.col("updated_at") >= F.col("_known_updated"))
         )
-    created = F.coalesce(F.col("_inserted_at"), F.col("_known_created"), F.col("_first_at"))
-    incoming = incoming.withColumn("created_at", created).select(*target.columns)
-    untouched = target.join(incoming.select(key), key, "left_anti")
-    return untouched.unionByName(incoming)
+    return put_rows(target, with_created(incoming).select(*target.columns), key)
+
+
+def with_created(incoming: DataFrame) -> DataFrame:
+    """Adds `created_at`: of the last insert, else as known (`_known_created`), else of the first change."""
+    return incoming.withColumn("created_at", F.coalesce("_inserted_at", "_known_created", "_first_at"))
+
+
+def put_rows(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """Target with the rows of `incoming` in place of its own ones of the same keys."""
+    return target.join(incoming.select(key), key, "left_anti").unionByName(incoming)
 
 
 def apply_cdc(

@@ -102,6 +102,12 @@ def eligible(log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     return ledger_current(log).filter((F.col("status") == "pending") | retry)
 
 
+def unfinished(log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """Entries to process and those that are running, whoever runs them."""
+    spent = (F.col("status") == "error") & (F.col("attempt_count") >= max_attempts)
+    return ledger_current(log).filter((F.col("status") != "success") & ~spent)
+
+
 def start(entries: DataFrame, now: Column) -> DataFrame:
     """Rows that move entries to `running`."""
     return _complete(
@@ -137,11 +143,12 @@ def finish(entries: DataFrame, now: Column, error: str | None = None) -> DataFra
 def next_layer(log: DataFrame, entries: DataFrame, now: Column) -> DataFrame:
     """Pending silver entries for bronze files just written; known keys are left out.
 
-    `file_size` and `checksum` of the new files replace those of the raw ones when
-    `entries` carries `new_file_size` and `new_checksum`.
+    Key, `file_size` and `checksum` of the new files replace those derived from the raw ones
+    when `entries` carries `new_object_key`, `new_file_size` and `new_checksum`.
     """
     has = set(entries.columns)
     key = keys.destination_key(F.col("object_key"), "bronze", F.col("created_at"))
+    key = F.col("new_object_key") if "new_object_key" in has else key
     derived = entries.select(
         key.alias("object_key"),
         F.lit(keys.layer_schema("silver")).alias("schema_name"),

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sparge.contracts import EVENT_TIME
 from sparge.functions.once import compute_once
 
 
 def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
-    """Parse every envelope once; adds `table_name, operation, payload, drop_reason`.
+    """Parse every envelope once; adds `table_name, operation, event_time, payload, drop_reason`.
 
-    `payload` is the flat JSON of `data` with `operation` set from the metadata, or
-    null for dropped records. Dropped records are listed under the table they name,
+    `payload` is the flat JSON of `data` with `operation` set from the metadata, or null for
+    dropped records. `event_time` is the metadata's `timestamp` as it stands, if it is a text. Dropped records are listed under the table they name,
     else under `unknown`, or `unparsed` when they are no envelope at all. Works the
     same on a batch and on a stream.
     """
@@ -32,10 +33,12 @@ def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
     )
     table = F.try_element_at("_metadata", F.lit("table-name"))
     operation = F.try_element_at("_metadata", F.lit("operation"))
+    made = F.try_element_at("_metadata", F.lit("timestamp"))
     parsed = compute_once(
         parsed,
         _table=F.try_variant_get(table, "$", "string"),
         _operation=F.try_variant_get(operation, "$", "string"),
+        _made=F.when(F.schema_of_variant(made) == "STRING", F.try_variant_get(made, "$", "string")),
         _is_text=_text_or_absent(table) & _text_or_absent(operation),
     )
     is_envelope = F.col("_single") & (F.col("_envelope").isNotNull() | F.col("_empty"))
@@ -60,11 +63,22 @@ def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
         .otherwise(F.col("_table"))
         .alias("table_name"),
         operation.alias("operation"),
+        F.col("_made").alias("event_time"),
         F.when(reason.isNull(), payload).alias("payload"),
         reason.alias("drop_reason"),
     )
 
 
+def delivered(payload: Column, event_time: Column) -> Column:
+    """The raw line of an accepted record: its payload, led by the event's time where the envelope has one.
+
+    A field of that name in the data comes later in the line and would count, so it is taken for the envelope's.
+    """
+    time = F.to_json(event_time.cast(T.VariantType()))
+    timed = F.concat(F.lit("{"), F.lit(f'"{EVENT_TIME}":'), time, F.lit(","), F.substring(payload, 2, 2**31 - 1))
+    return F.when(event_time.isNull(), payload).otherwise(timed)
+
+
 def _object(value: Column, path: str = "$") -> Column:
     """Fields of a JSON object, or null for anything else."""
     return F.try_variant_get(value, path, "map<string,variant>")

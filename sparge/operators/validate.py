@@ -96,6 +96,30 @@ def _reason(column: str, reason: str) -> Column:
     return F.struct(F.lit(column).alias("column"), F.lit(reason).alias("reason")).cast(_REASON)
 
 
+def checked(raw: DataFrame, schema: T.StructType, carry: Sequence[str] = ()) -> DataFrame:
+    """Every raw row, parsed once: typed columns, those of `carry`, `_valid`, and `_rejected` for rows that are not.
+
+    Made to be staged: `accepted`, `rejected` and any count can then be taken from it without reading or parsing the raw
+    rows again. `_rejected` holds the texts and the reasons.
+    """
+    rows = annotate(raw, schema, carry)
+    has_corrupt = CORRUPT in raw.columns
+    texts = [*([F.col(CORRUPT)] if has_corrupt else []), *[F.col(f"_text_{n}").alias(n) for n in schema.names]]
+    reasons = _reasons(schema, set(raw.columns), has_corrupt).alias("reasons")
+    why = F.when(~F.col("_valid"), F.struct(*texts, reasons)).alias("_rejected")
+    return rows.select(*schema.names, *carry, "_valid", why)
+
+
+def accepted(rows: DataFrame, schema: T.StructType, carry: Sequence[str] = ()) -> DataFrame:
+    """Valid rows of `checked`."""
+    return rows.filter("_valid").select(*schema.names, *carry)
+
+
+def rejected(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Rejected rows of `checked`: their texts, what was carried, and `reasons`."""
+    return rows.filter("NOT _valid").select(*carry, "_rejected.*")
+
+
 def validate(
     raw: DataFrame, schema: T.StructType, on_malformed: str = "reject", counts: Observation | None = None,
     carry: Sequence[str] = (),

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sparge.contracts import ENTITIES, RAW_ORDER, columns
+from sparge.contracts import ENTITIES, RAW_ORDER
 from sparge.functions.keys import base_name, layer_schema
 from sparge.operators import ledger
 from sparge.operators.governance import columns_to_mask, mask_columns, tag_pii
-from sparge.operators.validate import conform, validate
+from sparge.operators.validate import accepted, checked, conform, rejected, validate
 from sparge.plans.control import log_path, run_entries
-from sparge.session import path_exists
+from sparge.session import path_exists, read_note, staged, write_note
 from sparge.sinks.files import write_bronze
-from sparge.sources.files import list_files, read_csv_gz, read_csv_raw, read_csv_split, read_json_raw, with_raw_order
+from sparge.sources.files import key_of_path, list_files, read_csv_gz, read_csv_raw, read_csv_split, read_json_raw, with_raw_order
 from sparge.sources.manifest import content_checksums, file_manifest
 
 
@@ -49,7 +49,12 @@ def raw_listing(spark: SparkSession, root: str, table: str) -> DataFrame:
     path = f"{root.rstrip('/')}/raw/{table}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], "object_key string, record_count bigint, file_size bigint, checksum string")
-    return list_files(spark, path).select(
+    return listed(list_files(spark, path), table)
+
+
+def listed(files: DataFrame, table: str) -> DataFrame:
+    """Raw files (`object_path, file_size`) as a manifest whose counts are not known yet."""
+    return files.select(
         _relative("object_path", "raw", table).alias("object_key"),
         F.lit(None).cast("bigint").alias("record_count"),
         "file_size",
@@ -62,34 +67,33 @@ def _relative(column: str, layer: str, table: str) -> Column:
     return F.concat(F.lit(prefix), F.substring_index(column, f"/{prefix}", -1))
 
 
-def bronze_rows(
-    spark: SparkSession,
-    root: str,
-    keys: Sequence[str],
-    table: str,
-    fmt: str,
-    mask: str | Sequence[str] | None = "auto",
-    counts: Observation | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Valid bronze rows (masked, tagged, in contract order) and rejected rows, each with its raw file and place."""
+def raw_rows(spark: SparkSession, root: str, keys: Sequence[str], table: str, fmt: str) -> DataFrame:
+    """Raw rows of some files as text, each with its time, file and place."""
     paths = [f"{root}/{key}" for key in keys]
-    schema = ENTITIES[table].bronze
-    raw = read_csv_raw(spark, paths) if fmt == "csv" else read_json_raw(spark, paths, schema)
-    return checked_rows(with_raw_order(raw, root), table, mask, counts)
+    raw = read_csv_raw(spark, paths) if fmt == "csv" else read_json_raw(spark, paths, ENTITIES[table].bronze)
+    raw = with_raw_order(raw, root)
+    # Batch files hold plain inserts.
+    return raw if "operation" in raw.columns else raw.withColumn("operation", F.lit("insert"))
 
 
-def checked_rows(
-    raw: DataFrame, table: str, mask: str | Sequence[str] | None = "auto", counts: Observation | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Validation and masking of raw rows (from `with_raw_order`), the same for batch files and streams."""
-    schema, place = ENTITIES[table].bronze, RAW_ORDER.names
-    if "operation" not in raw.columns:  # batch files hold plain inserts
-        raw = raw.withColumn("operation", F.lit("insert"))
-    # Detection looks at all rows with an action of its own, which must not be the one counted.
-    masked = columns_to_mask(validate(raw, schema)[0].drop("operation"), mask)
-    valid, rejected = validate(raw, schema, counts=counts, carry=place)
-    rows = T.StructType([*schema.fields, *RAW_ORDER.fields])
-    return tag_pii(conform(mask_columns(valid, masked), rows), masked), rejected
+def masked_rows(
+    spark: SparkSession, root: str, rows: DataFrame, table: str, mask: str | Sequence[str] | None = "auto"
+) -> DataFrame:
+    """Valid rows of staged `checked` ones, masked, tagged and in contract order.
+
+    Detection looks at all rows. What it once found in a column holds for the table from then on, so a
+    later batch in which few values match does not go unmasked; findings are kept below `<root>/control_pii`.
+    """
+    schema = ENTITIES[table].bronze
+    names = columns_to_mask(accepted(rows, schema).drop("operation"), mask)
+    if mask == "auto":
+        noted = f"{root}/control_pii/{table}"
+        before = set((read_note(spark, noted) or "").split())
+        if set(names) - before:
+            write_note(spark, noted, "\n".join(sorted({*before, *names})))
+        names = sorted({*before, *names})
+    valid = accepted(rows, schema, RAW_ORDER.names)
+    return tag_pii(conform(mask_columns(valid, names), T.StructType([*schema.fields, *RAW_ORDER.fields])), names)
 
 
 def load_seed(spark: SparkSession, name: str, path: str) -> tuple[DataFrame, DataFrame]:
@@ -110,35 +114,68 @@ def run_bronze(
     afterwards, with the number of its rows.
     """
     root = root.rstrip("/")
+    return process_files(spark, root, table, now, raw_listing(spark, root, table), mask, round_files)
+
+
+def process_files(
+    spark: SparkSession, root: str, table: str, now: Column, listing: DataFrame,
+    mask: str | Sequence[str] | None = "auto", round_files: int = ROUND_FILES, only_listed: bool = False,
+) -> dict[str, int]:
+    """Register the files of `listing` that are new, and process what is eligible; see `run_bronze`.
+
+    With `only_listed`, no other entries are taken, and listed ones also where an attempt was cut short.
+
+    A batch of files is inflated, parsed and checked once. The result is staged; detection of personal data, both
+    outputs and the counts per file are taken from there.
+    """
     log = ledger.read_log(spark, log_path(root))
-    fresh = ledger.register_files(log, raw_listing(spark, root, table), now)
+    fresh = ledger.register_files(log, listing, now)
     ledger.append(fresh.withColumn("compute_target", F.lit(None).cast("string")), log_path(root))
     done = {"files": 0, "valid": 0, "rejected": 0}
 
     def work(started: DataFrame) -> DataFrame:
         entries = started.select("object_key", "file_format", "created_at").collect()  # at most `round_files`
         tally = {"files": len(entries), "valid": 0, "rejected": 0}
+        counts = []
         for fmt in sorted({e.file_format for e in entries}):
-            counts = Observation()
             paths = sorted(e.object_key for e in entries if e.file_format == fmt)
-            valid, rejected = bronze_rows(spark, root, paths, table, fmt, mask, counts)
-            store_rows(valid, started, f"{root}/bronze/{table}")
-            found = counts.get
-            if found["rejected"]:
-                store_rejected(rejected, f"{root}/rejected/{table}")
-            tally["valid"] += found["valid"]
-            tally["rejected"] += found["rejected"]
-        pending, counted = bronze_entries(spark, root, table, started, now)
-        ledger.append(pending, log_path(root))
+            raw = raw_rows(spark, root, paths, table, fmt)
+            with staged(checked(raw, ENTITIES[table].bronze, RAW_ORDER.names), "checked") as rows:
+                found = file_counts(rows, ENTITIES[table].bronze).collect()  # a row per file
+                if any(f.valid for f in found):
+                    store_rows(masked_rows(spark, root, rows, table, mask), started, f"{root}/bronze/{table}")
+                if any(f.rejected for f in found):
+                    store_rejected(rejected(rows, RAW_ORDER.names), f"{root}/rejected/{table}")
+            counts += [(f["_raw_key"], f.valid, f.checksum) for f in found]
+            tally["valid"] += sum(f.valid for f in found)
+            tally["rejected"] += sum(f.rejected for f in found)
+        counted = spark.createDataFrame(counts, "object_key string, _valid bigint, _checksum string")
+        written = bronze_entries(spark, root, table, started, counted)
+        ledger.append(ledger.next_layer(ledger.read_log(spark, log_path(root)), written.filter("record_count > 0"), now), log_path(root))
         for name, n in tally.items():
             done[name] += n
-        return counted
+        return written.select("object_key", "record_count")
 
-    while run_entries(spark, root, layer_schema("bronze"), table, now, work, apart=True, most=round_files):
+    wanted = listing if only_listed else None
+    while run_entries(spark, root, layer_schema("bronze"), table, now, work, apart=True, most=round_files, keys=wanted):
         pass
     return done
 
 
+def file_counts(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per raw file of staged `checked` rows: valid and rejected ones, and a fingerprint of the valid ones.
+
+    The fingerprint sums row hashes, so it does not depend on their order.
+    """
+    digest = F.when(F.col("_valid"), F.xxhash64(*schema.names))
+    return rows.groupBy("_raw_key").agg(
+        F.count_if("_valid").alias("valid"), F.count_if(~F.col("_valid")).alias("rejected"),
+        F.concat_ws(
+            "-", F.hex(F.sum(F.shiftrightunsigned(digest, 32))), F.hex(F.sum(digest.bitwiseAND(F.lit(0xFFFFFFFF))))
+        ).alias("checksum"),
+    )
+
+
 def store_rows(valid: DataFrame, entries: DataFrame, path: str) -> None:
     """Write bronze rows below the day on which their raw file was registered, a folder for each raw file."""
     days = entries.select(F.col("object_key").alias("_raw_key"), F.col("created_at").alias("_registered"))
@@ -164,41 +201,25 @@ def file_folder(raw_key: Column) -> Column:
 
 
 def bronze_entries(
-    spark: SparkSession, root: str, table: str, started: DataFrame, now: Column
-) -> tuple[DataFrame, DataFrame]:
-    """Pending silver entries for the raw files just processed, and their record counts by raw key.
+    spark: SparkSession, root: str, table: str, started: DataFrame, counted: DataFrame
+) -> DataFrame:
+    """The entries just processed with their number of rows and what was written for them.
 
-    Counting rows per file reads Parquet footers only, of the days of these entries. A
-    file without valid rows has nothing to hand on.
+    `counted` holds `object_key, _valid, _checksum`. Sizes come from the listing of the days of these entries; no file
+    is opened. A file without rows has written nothing.
     """
-    path = f"{root}/bronze/{table}"
-    own = started.select(
-        F.col("object_key").alias("raw_key"),
-        "created_at",
-        F.concat(
-            F.lit(f"bronze/{table}/"), F.date_format("created_at", "'year='yyyy/'month='MM/'day='dd"), F.lit("/file="),
-            file_folder(F.col("object_key")),
-        ).alias("bronze_key"),
-    )
-    counted = own.withColumn("record_count", F.lit(0).cast("bigint"))
-    if path_exists(spark, path):
-        days = [r[0] for r in own.select(F.date_format("created_at", "yyyy-MM-dd")).distinct().collect()]
-        layout = columns("year string, month string, day string, file string")
-        schema = T.StructType([*ENTITIES[table].bronze.fields, *layout.fields])
-        stored = spark.read.schema(schema).parquet(path)
-        on_day = F.concat_ws("-", "year", "month", "day").isin(days)
-        files = stored.filter(on_day).groupBy("year", "month", "day", "file").agg(F.count("*").alias("n"))
-        key = F.format_string(f"bronze/{table}/year=%s/month=%s/day=%s/file=%s", "year", "month", "day", "file")
-        counted = own.join(files.select(key.alias("bronze_key"), "n"), "bronze_key", "left")
-        counted = counted.withColumn("record_count", F.coalesce("n", F.lit(0)))
-    rows = counted.filter("record_count > 0").select(
-        F.col("bronze_key").alias("object_key"), "record_count", F.lit(None).cast("bigint").alias("file_size"),
-        F.lit(None).cast("string").alias("checksum"),
-    )
-    log = ledger.read_log(spark, log_path(root))
-    pending = ledger.register_files(log, rows, now, layer="silver")
-    pending = pending.withColumns({"file_format": F.lit("parquet"), "compute_target": F.lit("emr")})
-    return pending, counted.select(F.col("raw_key").alias("object_key"), "record_count")
+    day = F.date_format("created_at", "'year='yyyy/'month='MM/'day='dd")
+    folder = F.concat(F.lit(f"bronze/{table}/"), day, F.lit("/file="), file_folder(F.col("object_key")))
+    own = started.withColumn("new_object_key", folder).join(counted, "object_key", "left")
+    own = own.withColumn("record_count", F.coalesce("_valid", F.lit(0).cast("bigint")))
+    days = [r[0] for r in own.filter("record_count > 0").select(day).distinct().collect()]
+    sizes = spark.createDataFrame([], "_folder string, new_file_size bigint")
+    if days:
+        paths = [f"{root}/bronze/{table}/{d}" for d in sorted(days)]
+        key = F.regexp_replace(key_of_path(F.col("object_path"), root), "/[^/]*$", "")
+        sizes = list_files(spark, paths).groupBy(key.alias("_folder")).agg(F.sum("file_size").alias("new_file_size"))
+    own = own.join(sizes, F.col("_folder") == F.col("new_object_key"), "left")
+    return own.withColumn("new_checksum", F.col("_checksum")).drop("_folder", "_valid", "_checksum")
 
 
 def convert_csv(

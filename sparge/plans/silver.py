@@ -6,17 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sparge.contracts import ENTITIES, RAW_ORDER, REVIEW_FLAT, columns
+from sparge.contracts import ENTITIES, EVENT_TIME, RAW_ORDER, REVIEW_FLAT, columns
 from sparge.functions.keys import layer_schema
 from sparge.operators import ledger
-from sparge.operators.cdc import CONTROL_TS, active, fold_changes, merge_upsert
+from sparge.operators.cdc import CONTROL_TS, active, fold_changes, put_rows, with_created
 from sparge.operators.flat import affected_months, build_review_flat
 from sparge.plans.control import log_path, run_entries
-from sparge.session import empty_frame, path_exists, staged
-from sparge.sinks.files import append_partitioned, replace_partitions
+from sparge.session import empty_frame, path_exists, read_note, staged, write_note
+from sparge.sinks import key_index, swap
+from sparge.sinks.files import replace_partitions
 from sparge.sources.files import read_batch, read_partitions, read_table
 
 PARTITION = "partitioned_at"
+MERGES = "merges"
 MONTHS = columns("day string, review_year int, review_month int")
 
 
@@ -29,28 +31,67 @@ def apply_changes(
     order: Sequence[str] = (),
     ts: str = CONTROL_TS,
     monotonic: bool = False,
+    by_ts: bool = True,
+    token: tuple[str, int] | None = None,
 ) -> list[str]:
     """Merge a batch into the partitioned table at `path`; returns the partitions rewritten.
 
     A row moves to the partition of its new `updated_at`, so the partitions of both
-    its old and its new version are rewritten; all others stay as they are. The
-    search for old versions reads only the key column of the table. Partition names
+    its old and its new version are rewritten; all others stay as they are. Old
+    versions are found in the key index, without a look at the table. Partition names
     are collected, one per processing day touched.
+
+    With `monotonic`, a change that is older than the stored one, in the order of
+    `fold_changes`, is ignored. `token` names a stream and its batch: a batch that was
+    merged is not merged again. The merge counts as a whole from the moment it is
+    announced (see `sinks.swap`), and a crashed one is completed first.
     """
-    with staged(fold_changes(batch, key, order, ts), "changes") as changes:
-        if not path_exists(spark, path):
-            created = merge_upsert(empty_frame(spark, schema), changes, key)
-            append_partitioned(created, path, PARTITION)
-            return _days(changes)
-        table = spark.read.schema(schema).parquet(path)
-        old = _days(table.join(changes.select(key), key, "left_semi"))
-        touched = sorted({*old, *_days(changes)})
-        rows = table.filter(F.col(PARTITION).isin(touched))
-        merged = merge_upsert(rows, changes, key, monotonic)
-        replace_partitions(spark, merged, path, [(day,) for day in touched], PARTITION)
+    path = path.rstrip("/")
+    repair(spark, path, key)
+    if token and _applied(spark, path, token[0]) >= token[1]:
+        return []
+    with staged(fold_changes(batch, key, order, ts, by_ts, versions=True), "changes") as changes:
+        version = changes.schema["_version"].dataType
+        if not key_index.exists(spark, path):
+            table = spark.read.schema(schema).parquet(path) if path_exists(spark, path) else empty_frame(spark, schema)
+            key_index.start(spark, path, key, key_index.version_of_rows(table, version))
+        incoming = changes.join(key_index.lookup(spark, path, key, changes), key, "left")
+        if monotonic:
+            incoming = incoming.filter(F.col("_known_version").isNull() | (F.col("_version") >= F.col("_known_version")))
+        with staged(with_created(incoming), "incoming") as applied:
+            new_day = F.coalesce(PARTITION, F.lit(swap.NULL_PARTITION))
+            days = applied.select(F.explode(F.array("_known_day", new_day)).alias("day")).filter("day IS NOT NULL")
+            touched = sorted(row.day for row in days.distinct().collect())
+            if not touched:  # nothing but older changes
+                if token:
+                    write_note(spark, f"{path}/_applied/{token[0]}", str(token[1]))
+                return []
+            table = spark.read.schema(schema).parquet(path).filter(swap.within(PARTITION, touched))
+            merged = put_rows(table, applied.select(*schema.names), key)
+            number = _applied(spark, path, MERGES) + 1
+            marks = {MERGES: str(number)} | ({token[0]: str(token[1])} if token else {})
+            step = swap.prepare(spark, swap.new_swap(PARTITION, touched, **marks), path, merged)
+            key_index.entries(applied, key, number).write.parquet(f"{step.folder(path)}/keys")
+            swap.announce(spark, step, path)
+        repair(spark, path, key)
         return touched
 
 
+def repair(spark: SparkSession, path: str, key: str) -> None:
+    """Complete announced merges; without any, there is nothing to do."""
+    for step in swap.unfinished(spark, path):
+        swap.complete(spark, step, path)
+        key_index.append(spark, path, key, spark.read.parquet(f"{step.folder(path)}/keys"))
+        for name, number in step.extra.items():
+            write_note(spark, f"{path}/_applied/{name}", number)
+    swap.tidy(spark, path)
+
+
+def _applied(spark: SparkSession, path: str, stream: str) -> int:
+    """The last batch of a stream that was merged, or -1; and the number of the last merge of all."""
+    return int(read_note(spark, f"{path}/_applied/{stream}") or -1)
+
+
 def day_counts(spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str]) -> DataFrame:
     """(day, record_count) of the given partitions, also those without rows; only footers are read."""
     named = spark.createDataFrame([(d,) for d in days], "day string")
@@ -81,8 +122,9 @@ def refresh_flat(spark: SparkSession, root: str, days: Sequence[str], active_onl
 def run_silver(spark: SparkSession, root: str, table: str, now: Column) -> list[str]:
     """Apply the pending bronze files of one entity; returns the silver days rewritten.
 
-    Changes of one batch are ordered by the time of their raw file, its key, and their
-    place in it; sizes of files do not matter.
+    Changes are ordered by the time their envelope names, else by the time of their raw
+    file, then by its key and their place in it, within a batch and against what is
+    stored: a file that arrives late, or once more, undoes nothing newer.
 
     For reviews, these days become pending for the flat table.
     """
@@ -91,8 +133,10 @@ def run_silver(spark: SparkSession, root: str, table: str, now: Column) -> list[
 
     def work(started: DataFrame) -> None:
         batch = read_batch(spark, root, started, T.StructType([*contract.bronze.fields, *RAW_ORDER.fields]))
+        # Bronze files of before have no time of their own rows.
+        batch = batch.withColumn(EVENT_TIME, F.coalesce(EVENT_TIME, "_raw_time"))
         path = f"{root}/silver/{table}"
-        touched.extend(apply_changes(spark, path, contract.silver, batch, contract.key, RAW_ORDER.names))
+        touched.extend(apply_changes(spark, path, contract.silver, batch, contract.key, RAW_ORDER.names, monotonic=True, by_ts=False))
         if table == "review":
             ledger.append(ledger.day_entries(day_counts(spark, path, contract.silver, touched), now), log_path(root))
 

@@ -151,6 +151,45 @@ _MARTS = (
 )
 
 
+def _job_oracles() -> dict[str, str]:
+    """What jobs and streams leave behind; the numbers are those of `job_queries`."""
+    rejected, broken, no = "c_custkey % 5 = 4", "c_custkey % 5 = 3", "CAST(NULL AS BIGINT)"
+    rank = "avg_rating DESC, brewery_id, brewery_name, review_year, review_month"
+    return {
+        "ledger_partial_failure": f"""SELECT CAST(c_custkey % 5 AS INTEGER) AS file_no,
+            CASE WHEN {broken} THEN 'error' ELSE 'success' END AS status, CAST(1 AS INTEGER) AS attempt_count,
+            CASE WHEN {broken} THEN {no} WHEN {rejected} THEN 0 ELSE count(*) END AS record_count,
+            CASE WHEN {broken} OR {rejected} THEN {no} ELSE count(*) END AS pending_rows,
+            CASE WHEN {rejected} THEN count(*) ELSE {no} END AS rejected_rows
+            FROM customer GROUP BY c_custkey % 5""",
+        "ledger_by_key": f"""WITH {_CURRENT}, k AS (SELECT {_file_key('c_custkey')} AS object_key FROM customer ORDER BY c_custkey LIMIT 5)
+            SELECT object_key, control_id, status, attempt_count, updated_at FROM current SEMI JOIN k USING (object_key)""",
+        "stream_route": f"SELECT event_id, table_name, operation, drop_reason FROM ({_ENVELOPE})",
+        "stream_raw_to_bronze": f"""WITH p AS (SELECT profile_id, profile_name, state,
+                CASE WHEN profile_id > 10 THEN email ELSE 'unknown' END AS email FROM ({_PROFILE}))
+            SELECT profile_id, profile_name, CASE WHEN profile_id % 50 <> 7 THEN masked END AS email,
+                CASE WHEN profile_id % 50 <> 7 THEN state END AS state,
+                CAST(CASE WHEN profile_id % 50 <> 7 THEN 0 ELSE 1 END AS INTEGER) AS rejected,
+                CAST((SELECT count(*) FROM customer WHERE c_custkey % 50 <> 7) AS BIGINT) AS handed_on
+            FROM (SELECT * EXCLUDE (email), {_mask("email").removesuffix("email")} masked FROM p)""",
+        "stream_apply_cdc": _state(f"({_CHANGES})"),
+        "stream_bootstrap": """SELECT p_partkey AS beer_id, p_name || CASE WHEN p_size > 40 OR p_size < 5 THEN ' (new)' ELSE '' END AS beer_name,
+            p_type AS beer_style, p_size < 5 AS is_deleted FROM part""",
+        "job_file_order": """SELECT c_custkey AS profile_id, CASE WHEN c_custkey % 5 = 0 THEN 'old' ELSE 'new' END AS state,
+            c_custkey % 15 = 0 AS is_deleted FROM customer""",
+        "job_mixed_formats": f"""SELECT profile_id, profile_name, CASE WHEN profile_id % 4 = 0 THEN 'moved' ELSE state END AS state
+            FROM ({_PROFILE})""",
+        "pii_masked_probe": """SELECT layer, field, field = 'email' AS is_tagged,
+            CASE WHEN layer = 'raw' AND field = 'email' THEN (SELECT count(*) FROM customer) ELSE 0 END AS row_count
+            FROM (SELECT unnest(['raw', 'bronze']) AS layer), (SELECT unnest(['profile_name', 'email', 'state']) AS field)""",
+        "gold_ordered": f"""SELECT *, row_number() OVER (ORDER BY {rank}) AS rating_rank
+            FROM ({_mart("brewery_id, brewery_name", MIN_REVIEWS["top_breweries_by_rating"])})""",
+        "costs_add_partition": """SELECT strftime(l_shipdate, '%Y-%m') AS billing_period, count(*) AS line_count,
+            CAST(sum(CASE WHEN l_discount = 0 THEN 0 WHEN l_quantity > 25 THEN 2 ELSE 1 END) AS BIGINT) AS tag_count
+            FROM lineitem GROUP BY ALL""",
+    }
+
+
 def all_oracles() -> dict[str, str]:
     top_beers = _mart("beer_id, beer_name, beer_style", 1)
     top_breweries = _mart("brewery_id, brewery_name", 1)
@@ -158,7 +197,7 @@ def all_oracles() -> dict[str, str]:
     both = "count(*) AS total_reviews, avg(review_overall) AS avg_rating"
     daily_events = f"SELECT *, strftime(control_ts, '%Y%m%d') AS partitioned_at FROM ({_CHANGES})"
     pending = f"WITH {_CURRENT} SELECT * FROM current WHERE {_ELIGIBLE}"
-    return {
+    return _job_oracles() | {
         "scan_parquet": f"""SELECT event_id, user_id, operation, date_trunc('day', control_ts)::TIMESTAMP AS control_ts
             FROM ({_CHANGES})""",
         "scan_dims": """SELECT 'brewery' AS entity, s_suppkey AS id, s_name AS name FROM supplier
@@ -184,7 +223,7 @@ def all_oracles() -> dict[str, str]:
                 AS identity_time_interval,
             p_type AS line_item_product_code, l_returnflag AS line_item_line_item_type,
             l_linestatus AS line_item_usage_type, l_extendedprice AS line_item_unblended_cost,
-            CAST(0 AS INTEGER) AS tag_count
+            CAST(CASE WHEN l_discount = 0 THEN 0 WHEN l_quantity > 25 THEN 2 ELSE 1 END AS INTEGER) AS tag_count
             FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
         "validate_valid": f"""SELECT review_id, brewery_id, beer_id,
             CASE WHEN review_overall <> 5 THEN review_overall END AS review_overall, review_time

@@ -53,6 +53,8 @@ def _zone_free(df: DataFrame) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
+    from sparge.registry import job_queries  # noqa: F401, registers its own
+
     return dict(_REGISTRY)
 
 
@@ -402,7 +404,7 @@ def gold_active_styles(spark, folder):
 def gold_published_styles(spark, folder):
     """Written by month, then written again: replacing leaves one row per key."""
     path = scratch_path(spark, "mart")
-    result = _mart(spark, folder, "top_styles_by_popularity")
+    result = stage(_mart(spark, folder, "top_styles_by_popularity"), "result")
     publish_mart(result, path)
     publish_mart(result, path)
     return files.read_table(spark, path, mart_schema("top_styles_by_popularity"))
@@ -418,18 +420,37 @@ def gold_affected_states(spark, folder):
     )
 
 
+_PUBLISHED: dict[tuple, str] = {}
+
+
+def _published(spark: SparkSession, folder: str, name: str, publish: Callable[[str], None]) -> str:
+    """Path of a table that is written when it is first asked for, and read by every panel of the session after that."""
+    known = (spark.sparkContext.applicationId, folder, name)
+    if known not in _PUBLISHED:
+        path = scratch_path(spark, name)
+        publish(path)
+        _PUBLISHED[known] = path
+    return _PUBLISHED[known]
+
+
+def _stored_mart(spark: SparkSession, folder: str, name: str, least: int | None = None) -> DataFrame:
+    """A mart as `run_mart` leaves it: by year and month, so a panel opens one folder and a picker none of the columns."""
+    path = _published(spark, folder, f"{name}-{least}", lambda p: publish_mart(_mart(spark, folder, name, least), p))
+    return files.read_table(spark, path, mart_schema(name))
+
+
 @query
 def dash_years(spark, folder):
-    return dashboards.years(_mart(spark, folder, "top_breweries_by_rating"))
+    return dashboards.years(_stored_mart(spark, folder, "top_breweries_by_rating"))
 
 
 @query
 def dash_months(spark, folder):
-    return dashboards.months(_mart(spark, folder, "top_breweries_by_rating"))
+    return dashboards.months(_stored_mart(spark, folder, "top_breweries_by_rating"))
 
 
 def _dash(spark: SparkSession, folder: str, name: str, mart: str, least: int | None = None) -> DataFrame:
-    return dashboards.panel(_mart(spark, folder, mart, least), name, YEAR, MONTH)
+    return dashboards.panel(_stored_mart(spark, folder, mart, least), name, YEAR, MONTH)
 
 
 @query
@@ -459,29 +480,34 @@ def dash_top_drinkers(spark, folder):
 
 # --- costs ----------------------------------------------------------------
 
+def _stored_costs(spark: SparkSession, folder: str) -> DataFrame:
+    path = _published(spark, folder, "costs", lambda p: append_partitioned(fx.costs(spark, folder), p, "billing_period"))
+    return files.read_costs(spark, path, COSTS)
+
+
 @query
 def costs_periods(spark, folder):
-    return costs.billing_periods(fx.costs(spark, folder))
+    return costs.billing_periods(_stored_costs(spark, folder))
 
 
 @query
 def costs_by_service(spark, folder):
-    return costs.costs_by_service(fx.costs(spark, folder), BILLING_PERIOD)
+    return costs.costs_by_service(_stored_costs(spark, folder), BILLING_PERIOD)
 
 
 @query
 def costs_detail(spark, folder):
-    return costs.costs_detail(fx.costs(spark, folder), BILLING_PERIOD)
+    return costs.costs_detail(_stored_costs(spark, folder), BILLING_PERIOD)
 
 
 @query
 def costs_daily(spark, folder):
-    return costs.costs_daily(fx.costs(spark, folder), BILLING_PERIOD)
+    return costs.costs_daily(_stored_costs(spark, folder), BILLING_PERIOD)
 
 
 @query
 def costs_cumulative(spark, folder):
-    return costs.costs_cumulative(fx.costs(spark, folder), BILLING_PERIOD)
+    return costs.costs_cumulative(_stored_costs(spark, folder), BILLING_PERIOD)
 
 
 # --- governance -----------------------------------------------------------

@@ -56,6 +56,47 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below `path`; none if it does not exist."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path)) if fs.exists(jvm_path) else []
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file or folder another name, in place of what is there, and make the folder above it."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    fs = paths[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(paths[1], True)
+    fs.mkdirs(paths[1].getParent())
+    if not fs.rename(*paths):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that is there as a whole or not at all."""
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    out = draft.getFileSystem(spark._jsc.hadoopConfiguration()).create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    move(spark, f"{path}.draft", path)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of `write_note`, or None."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jvm_path):
+        return None
+    stream = fs.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, in a form the optimizer knows to be empty, so joins with it disappear."""
     nothing = spark.range(1).filter(F.lit(False))

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from sparge.session import advisory_size, empty_frame, path_exists, remove, staged
+from sparge.session import advisory_size, remove, staged
 
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -99,15 +99,12 @@ def _replace(
     if filled:
         overwrite_partitions(df, path, *columns)
     for values in sorted(touched - filled, key=str):
-        clear_partition(spark, path, df.schema, dict(zip(columns, values)))
+        clear_partition(spark, path, dict(zip(columns, values)))
 
 
-def clear_partition(spark: SparkSession, path: str, schema: T.StructType, values: dict[str, object]) -> None:
-    """Leave one partition without rows; a dynamic overwrite never does that by itself."""
-    folder = "/".join([path.rstrip("/"), *(f"{n}={NULL_PARTITION if v is None else v}" for n, v in values.items())])
-    if path_exists(spark, folder):
-        kept = T.StructType([f for f in schema.fields if f.name not in values])
-        empty_frame(spark, kept).coalesce(1).write.mode("overwrite").parquet(folder)
+def clear_partition(spark: SparkSession, path: str, values: dict[str, object]) -> None:
+    """Remove one partition; a dynamic overwrite never does that by itself."""
+    remove(spark, "/".join([path.rstrip("/"), *(f"{n}={NULL_PARTITION if v is None else v}" for n, v in values.items())]))
 
 
 def publish_mart(df: DataFrame, path: str, mode: str = "replace") -> None:
@@ -120,6 +117,35 @@ def publish_mart(df: DataFrame, path: str, mode: str = "replace") -> None:
         raise ValueError(f"unknown mode: {mode}")
 
 
+def publish_ordered(df: DataFrame, path: str, *order: str | Column) -> None:
+    """Write `df` in global order: by range, sorted within each file, so files follow each other by their number.
+
+    Ranges are sampled, which reads the rows once more; they are staged for that. No task sees more than its range, and
+    nothing is sorted in one place. Order columns have to tell all rows apart.
+    """
+    spark = df.sparkSession
+    with staged(df, "ordered") as rows:
+        ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, schema: T.StructType, rank: str = "rank") -> DataFrame:
+    """Rows of `publish_ordered` with their place in the whole, from 1, told by file and row number alone.
+
+    Only the number of rows of each file is collected, from the footers; no row is compared with another one.
+    """
+    name = F.col("_metadata.file_name")
+    rows = spark.read.schema(schema).parquet(path)
+    counts = sorted(map(tuple, rows.groupBy(name.alias("file")).count().collect()))
+    before, at = [], 0
+    for file, count in counts:
+        before.append((file, at))
+        at += count
+    base = spark.createDataFrame(before, "_file string, _before bigint")
+    placed = rows.withColumns({"_file": name, "_row": F.col("_metadata.row_index")}).join(base, "_file")
+    return placed.select(*schema.names, (F.col("_before") + F.col("_row") + 1).alias(rank))
+
+
 def compact(
     spark: SparkSession,
     path: str,

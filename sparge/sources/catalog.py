@@ -16,6 +16,9 @@ def register_external(
         spark.catalog.recoverPartitions(table)
 
 
-def add_partition(spark: SparkSession, table: str, **values: str) -> None:
-    spec = ", ".join(f"{name} = '{value}'" for name, value in values.items())
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+def add_partition(spark: SparkSession, table: str, location: str | None = None, **values: str) -> None:
+    """Make a partition known, at `location` or, without one, in the table's own folder."""
+    quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    spec = ", ".join(f"{name} = {quoted(value)}" for name, value in values.items())
+    place = f" LOCATION {quoted(location)}" if location else ""
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}){place}")

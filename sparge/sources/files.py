@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from sparge.contracts import EVENT_TIME
 from sparge.session import empty_frame, path_exists
 
 CORRUPT = "_corrupt_record"
@@ -37,7 +38,7 @@ def read_csv_split(spark: SparkSession, path: str | list[str], schema: T.StructT
     cluster and parsed there. That costs a shuffle of the text, which pays while
     there are fewer files than cores. Lines are the unit, so columns must be ones
     that cannot hold a line break. Each file's first line is its header; lines are
-    dealt out in turn, so one that occurs often does not gather anywhere.
+    dealt out by their number, so one that occurs often does not gather anywhere.
     """
     if any(isinstance(f.dataType, T.StringType) for f in schema.fields):
         raise ValueError("text columns may hold line breaks; use read_csv_gz")
@@ -51,7 +52,8 @@ def read_csv_split(spark: SparkSession, path: str | list[str], schema: T.StructT
         .schema("value string")
         .csv(path)
     )
-    spread = lines.repartition(spark.sparkContext.defaultParallelism)
+    # Dealt by their number, so without the sort that dealing in turn needs to be repeatable.
+    spread = lines.repartition(spark.sparkContext.defaultParallelism, F.monotonically_increasing_id())
     return spread.select(F.from_csv("value", ddl, {"mode": "FAILFAST"}).alias("row")).select("row.*")
 
 
@@ -80,8 +82,8 @@ def read_json_gz(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 
 
 def read_json_raw(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """JSON fields as text plus `_corrupt_record`, for `operators.validate`."""
-    text = T.StructType([T.StructField(n, T.StringType()) for n in (*schema.names, CORRUPT)])
+    """JSON fields as text, the envelope's time and `_corrupt_record`, for `operators.validate`."""
+    text = T.StructType([T.StructField(n, T.StringType()) for n in (*schema.names, EVENT_TIME, CORRUPT)])
     return (
         spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(text).json(path)
     )
@@ -112,8 +114,8 @@ def read_partitions(
     return read_table(spark, source, schema).filter(F.col(column).isin(sorted(days)))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """`(object_path, file_size, modified_at)` of all files below a folder; no file is opened."""
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """`(object_path, file_size, modified_at)` of all files below a folder or several; no file is opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(
         F.col("path").alias("object_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at")
@@ -121,12 +123,16 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_raw_order(raw: DataFrame, root: str) -> DataFrame:
-    """Adds each raw row's file time, key, block and place, in which order it is newer than others.
+    """Adds each raw row's time, file time, key, block and place, in which order it is newer than others.
 
-    `raw` must be a file scan. Rows of one block are numbered as they are read.
+    `raw` must be a file scan. Rows of one block are numbered as they are read. A row has the time of its envelope, if
+    it names one that is a time, else that of its file: copying an old file again makes no change newer.
     """
+    file_time = F.col("_metadata.file_modification_time")
+    made = F.coalesce(F.try_to_timestamp(EVENT_TIME), file_time) if EVENT_TIME in raw.columns else file_time
     return raw.withColumns(
         {
+            EVENT_TIME: made,
             "_raw_time": F.col("_metadata.file_modification_time"),
             "_raw_key": key_of_path(F.col("_metadata.file_path"), root),
             "_raw_block": F.col("_metadata.file_block_start"),
