@@ -125,6 +125,24 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- shards -----------------------------------------------------------------
 
+def covered(sequence: np.ndarray, length: int, passes: Callable[[np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """What phrases of `length` numbers that pass cover, with a 0 after each run: the rest has no such phrase.
+
+    Without `passes` all phrases without a 0 pass; it gets the phrases as rows.
+    """
+    starts = np.arange(max(0, len(sequence) - length + 1))
+    for at in range(length):
+        starts = starts[sequence[starts + at] > 0]
+    if passes is not None and len(starts):
+        starts = starts[passes(np.stack([sequence[starts + at] for at in range(length)], axis=1))]
+    inside = np.zeros(len(sequence) + 1, bool)
+    for at in range(length):
+        inside[starts + at] = True
+    ends = np.append(False, inside[:-1]) & ~inside  # the place after a run
+    padded = np.append(sequence, np.int32(0))
+    padded[ends] = 0
+    return padded[inside | ends]
+
 def _encode(frequent: Callable[[], Filter], shard_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Shards: runs of words that may be frequent, as numbers from 1 and a 0 after each run; runs of one word have no phrase."""
 
@@ -137,18 +155,18 @@ def _encode(frequent: Callable[[], Filter], shard_words: int) -> Callable[[Itera
 
         def number(lang: str, found: list[bytes]) -> np.ndarray:
             own = numbers.setdefault(lang, {b".": 0})
-            if new := list({w for w in found if w not in own}):
+            ids = list(map(own.get, found))
+            if None in ids:
+                gaps = [i for i, known_id in enumerate(ids) if known_id is None]
+                new = list({found[i] for i in gaps})
                 hashes = np.array([word_hash(lang, w) for w in new], np.uint64)
                 for w, digest, passes in zip(new, hashes.tolist(), known.has(hashes).tolist(), strict=True):
                     if passes:
                         names.append((lang, w.decode("utf-8", "surrogatepass"), digest))
                     own[w] = len(names) if passes else 0
-            ids = np.fromiter(map(own.__getitem__, found), np.int32, len(found))
-            after, before = np.append(ids[1:], 0), np.append(0, ids[:-1])
-            in_run = (ids > 0) & ((after > 0) | (before > 0))
-            ends = (ids == 0) & (before > 0) & (np.append([0, 0], ids[:-2])[: len(ids)] > 0)
-            kept = ids[in_run | ends]
-            return np.append(kept, np.int32(0)) if len(kept) and kept[-1] else kept
+                for i in gaps:
+                    ids[i] = own[found[i]]
+            return covered(np.array(ids, np.int32), 2)
 
         def out() -> pa.RecordBatch:
             lang, word, digest = zip(*names, strict=True)
@@ -312,6 +330,10 @@ def _mine(length: int, more: bool, filters: Callable[[], list[Filter]]) -> Calla
             for row in range(batch.num_rows):
                 sequence = np.frombuffer(batch.column("shard")[row].as_py(), "<i4")
                 hashes = batch.column("hashes")[row].values.to_numpy().view(np.uint64)
+                if length > 1:
+                    sequence = covered(sequence, length, lambda grams, digest=hashes: known[length - 2].has(phrase_hashes(digest[grams - 1])))
+                if not len(sequence):
+                    continue
                 backward = Direction(_reversed(sequence), length + more)
                 found, longer, counts = phrases(sequence, hashes, length, known, backward)
                 if length > 1 and len(found.size):
@@ -362,9 +384,12 @@ def frequent_phrases(
     for length in range(1, longest + 1):
         sides = spark.sparkContext.broadcast(filters)
         local = shards.mapInArrow(_mine(length, length < longest, lambda sides=sides: sides.value), SHARD_PHRASES)
-        summed = local.groupBy("phrase_hash", "lang", "phrase").agg(
-            F.sum("f").alias("f"), (one("only_before") | one("only_after")).alias("extended")
-        )
+        if length > 1:
+            summed = local.groupBy("phrase_hash", "lang", "phrase").agg(
+                F.sum("f").alias("f"), (one("only_before") | one("only_after")).alias("extended")
+            )
+        else:
+            summed = local.groupBy("phrase_hash").agg(F.sum("f").alias("f")).withColumn("phrase", F.lit(None).cast("string"))
         level = write_stage(summed.filter(F.col("f") >= min_count), "phrases")
         if length > 1:
             found.append(level.filter("phrase IS NOT NULL"))
