@@ -13,8 +13,8 @@ from sparge.plans.bronze import file_folder, process_files, raw_listing, run_bro
 from sparge.plans.gold import mart_schema
 from sparge.plans.silver import run_silver
 from sparge.registry.queries import MIN_REVIEWS, _now, query
-from sparge.session import scratch_path, write_note
-from sparge.sinks.files import publish_ordered, read_ordered
+from sparge.session import path_exists, scratch_path, write_note
+from sparge.sinks.files import EmptyInputError, publish_ordered, read_ordered, write_parquet
 from sparge.sinks.swap import read_table_state
 from sparge.sources import catalog, files
 from sparge.sources.streams import read_cdc_stream
@@ -198,6 +198,23 @@ def pii_masked_probe(spark, folder):
     return union_all(parts)
 
 
+@query
+def guard_empty_input(spark, folder):
+    """Events written by kind: a kind without rows is refused and leaves nothing behind."""
+    root = scratch_path(spark, "guarded")
+    events = fx.table(spark, folder, "events")
+    kinds = [r.event_type for r in events.select("event_type").distinct().collect()]
+    rows = []
+    for kind in [*sorted(kinds), "none such"]:
+        try:
+            write_parquet(events.filter(F.col("event_type") == kind), f"{root}/{kind}")
+        except EmptyInputError:
+            rows.append((kind, None, True, path_exists(spark, f"{root}/{kind}")))
+        else:
+            rows.append((kind, spark.read.parquet(f"{root}/{kind}").count(), False, True))
+    return spark.createDataFrame(rows, "event_type string, row_count bigint, is_refused boolean, is_written boolean")
+
+
 # --- marts and costs --------------------------------------------------------------
 
 @query

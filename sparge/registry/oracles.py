@@ -182,6 +182,8 @@ def _job_oracles() -> dict[str, str]:
         "pii_masked_probe": """SELECT layer, field, field = 'email' AS is_tagged,
             CASE WHEN layer = 'raw' AND field = 'email' THEN (SELECT count(*) FROM customer) ELSE 0 END AS row_count
             FROM (SELECT unnest(['raw', 'bronze']) AS layer), (SELECT unnest(['profile_name', 'email', 'state']) AS field)""",
+        "guard_empty_input": """SELECT event_type, count(*) AS row_count, false AS is_refused, true AS is_written FROM events GROUP BY event_type
+            UNION ALL SELECT 'none such', NULL, true, false""",
         "gold_ordered": f"""SELECT *, row_number() OVER (ORDER BY {rank}) AS rating_rank
             FROM ({_mart("brewery_id, brewery_name", MIN_REVIEWS["top_breweries_by_rating"])})""",
         "costs_add_partition": """SELECT strftime(l_shipdate, '%Y-%m') AS billing_period, count(*) AS line_count,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,8 +15,9 @@ from sparge.operators.flat import build_review_flat, orphans
 from sparge.operators.marts import MARTS, build_mart
 from sparge.plans.dashboards import panel
 from sparge.plans.gold import mart_schema, rebuild_months
+from sparge.registry.queries import all_queries
 from sparge.session import scratch_path
-from sparge.sinks.files import append_partitioned, publish_mart
+from sparge.sinks.files import append_partitioned, publish_mart, publish_ordered, read_ordered
 
 
 def plan(df):
@@ -129,3 +132,34 @@ def test_null_ratings_and_null_groups(spark):
     assert rows == {None: (2, 4.0), "x": (1, 5.0)}
     ordered = build_mart(flat, "top_styles_by_popularity", 1, ordered=True).collect()
     assert [r.avg_rating for r in ordered] == [5.0, 4.0]
+
+
+PANELS = ("dash_top_beers", "dash_top_breweries", "dash_state_volume", "dash_styles", "dash_top_drinkers")
+PERIODS = ("costs_by_service", "costs_detail", "costs_daily", "costs_cumulative")
+
+
+@pytest.mark.parametrize("name", [*PANELS, *PERIODS])
+def test_registered_panels_open_one_partition(spark, folder, name):
+    text = plan(all_queries()[name](spark, folder))
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", text)
+    assert filters and ("billing_period" if name in PERIODS else "review_year") in filters[1]
+    assert "lineitem.parquet" not in text
+
+
+@pytest.mark.parametrize("name", ["dash_years", "dash_months", "costs_periods"])
+def test_registered_pickers_read_no_column(spark, folder, name):
+    text = plan(all_queries()[name](spark, folder))
+    assert "ReadSchema: struct<>" in text and "lineitem.parquet" not in text
+
+
+def test_marts_are_published_once(spark, folder):
+    first = all_queries()["dash_years"](spark, folder).inputFiles()
+    assert sorted(first) == sorted(all_queries()["dash_months"](spark, folder).inputFiles())
+
+
+def test_ordered_files_follow_each_other(spark, tmp_path):
+    rows = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("value"), F.lit("x").alias("other"))
+    publish_ordered(rows, f"{tmp_path}/o", F.desc("value"))
+    read = read_ordered(spark, f"{tmp_path}/o", rows.schema)
+    assert all(r["rank"] == 5000 - r.value for r in read.collect())
+    assert spark.read.parquet(f"{tmp_path}/o").select(F.input_file_name()).distinct().count() > 1
