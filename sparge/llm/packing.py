@@ -135,41 +135,43 @@ def _random(vocabulary: int, buckets: int, dimensions: int, seed: int) -> tuple[
     )
 
 
-def point(ids: np.ndarray, vocabulary: int, dimensions: int = DIMENSIONS, bits: int = BITS) -> list[int]:
-    """Grid cell of a document: hashed counts, at unit length, projected; the projections are near normal."""
-    bucket, sign, projection = _random(vocabulary, BUCKETS, dimensions, SEED)
-    vector = np.bincount(bucket[ids], weights=sign[ids], minlength=BUCKETS)
-    norm = np.linalg.norm(vector)
-    place = (vector / norm if norm else vector) @ projection
-    cells = np.floor((np.tanh(place / 2) + 1) / 2 * (1 << bits))
-    return np.clip(cells, 0, (1 << bits) - 1).astype(int).tolist()
-
-
-def hilbert(cell: list[int], bits: int = BITS) -> int:
-    """Position of a grid cell on the Hilbert curve: undo the rotations from the top bit down, then Gray-decode."""
-    x, n = list(cell), len(cell)
-    q = 1 << (bits - 1)
-    while q > 1:
+def hashed_counts(ids: np.ndarray, vocabulary: int, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """A document's token counts, hashed to signed buckets."""
+    bucket, sign, _ = _random(vocabulary, BUCKETS, dimensions, SEED)
+    return np.bincount(bucket[ids], weights=sign[ids], minlength=BUCKETS)
+
+
+def cells(vectors: np.ndarray, vocabulary: int, dimensions: int = DIMENSIONS, bits: int = BITS) -> np.ndarray:
+    """Grid cells of documents (rows): vectors at unit length, projected; the projections are near normal."""
+    projection = _random(vocabulary, BUCKETS, dimensions, SEED)[2]
+    norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
+    # Not a matrix product, whose rounding may depend on how many rows there are.
+    places = np.einsum("ij,jk->ik", vectors / np.where(norms > 0, norms, 1), projection)
+    found = np.floor((np.tanh(places / 2) + 1) / 2 * (1 << bits))
+    return np.clip(found, 0, (1 << bits) - 1).astype(np.int64)
+
+
+def hilbert(cell: np.ndarray | list, bits: int = BITS) -> np.ndarray:
+    """Positions of grid cells (rows) on the Hilbert curve: undo the rotations from the top bit down, then Gray-decode."""
+    x = np.array(cell, np.int64).reshape(-1, np.shape(cell)[-1]).T.copy()
+    n = len(x)
+    for at in range(bits - 1, 0, -1):
+        q = 1 << at
         for i in range(n):
-            if x[i] & q:
-                x[0] ^= q - 1
-            else:
-                t = (x[0] ^ x[i]) & (q - 1)
-                x[0] ^= t
-                x[i] ^= t
-        q >>= 1
+            high = (x[i] & q) > 0
+            swapped = np.where(high, 0, (x[0] ^ x[i]) & (q - 1))
+            x[i] ^= swapped
+            x[0] ^= np.where(high, q - 1, swapped)
     for i in range(1, n):
         x[i] ^= x[i - 1]
-    t, q = 0, 1 << (bits - 1)
-    while q > 1:
-        if x[-1] & q:
-            t ^= q - 1
-        q >>= 1
-    x = [v ^ t for v in x]
-    out = 0
-    for b in range(bits - 1, -1, -1):
-        for v in x:
-            out = out << 1 | (v >> b & 1)
+    turned = np.zeros_like(x[0])
+    for at in range(bits - 1, 0, -1):
+        turned ^= np.where((x[-1] >> at) & 1 > 0, (1 << at) - 1, 0)
+    x ^= turned
+    out = np.zeros_like(turned)
+    for at in range(bits - 1, -1, -1):
+        for i in range(n):
+            out = out << 1 | (x[i] >> at & 1)
     return out
 
 
@@ -179,19 +181,17 @@ def _tokenise(path: str, end: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
         vocabulary = max(enc.tokenizer.get_vocab_size(with_added_tokens=True), end + 1)
         kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
         for batch in batches:
-            rows, sizes, keys, ids = [], [], [], []
-            for text in batch.column("whole_text").to_pylist():
-                found = np.append(enc.encode(text or ""), np.uint32(end))
-                rows.append(row)
-                sizes.append(len(found))
-                keys.append(hilbert(point(found, vocabulary)))
-                ids.append(found.astype(kind).tobytes())
-                row += 1
+            texts = batch.column("whole_text").to_pylist()
+            if not texts:
+                continue
+            ids = [np.append(enc.encode(t or ""), np.uint32(end)) for t in texts]
+            vectors = np.array([hashed_counts(i, vocabulary) for i in ids])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(rows, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(keys, pa.int64()), pa.array(ids, pa.binary())],
+                [batch.column("doc_id"), pa.array(np.arange(row, row + len(ids))), pa.array([len(i) for i in ids], pa.int64()),
+                 pa.array(hilbert(cells(vectors, vocabulary))), pa.array([i.astype(kind).tobytes() for i in ids], pa.binary())],
                 ["doc_id", "row_no", "doc_tokens", "curve_key", "ids"],
             )
+            row += len(ids)
 
     return run
 

@@ -75,7 +75,7 @@ ENCODER = packing.Encoder(PATH, kept_words=50)
 @pytest.mark.parametrize("dimensions,bits", [(2, 3), (3, 2), (4, 2)])
 def test_curve_visits_neighbours(dimensions, bits):
     cells = list(itertools.product(range(1 << bits), repeat=dimensions))
-    place = {packing.hilbert(list(c), bits): c for c in cells}
+    place = dict(zip(packing.hilbert([list(c) for c in cells], bits).tolist(), cells, strict=True))
     assert sorted(place) == list(range(len(cells)))
     for at in range(len(cells) - 1):
         assert sum(abs(a - b) for a, b in zip(place[at], place[at + 1], strict=True)) == 1
