@@ -243,7 +243,8 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
 
     Responses are checked against their digest; the bytes of a revisit are those of the response that it refers to.
     """
-    names = archives.select("archive").repartition("archive")
+    # The number is given, so that tasks are not joined because names are short: each has much to read.
+    names = archives.select("archive").repartition(max(1, archives.count()), "archive")
     found = names.mapInArrow(
         _read_archives(folder),
         "page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, target_uri string",
