@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,26 @@ BLOCK_CHARS = 1 << 20
 KEPT_NGRAMS = 20_000
 
 UNKNOWN = "und"
-_NO_LETTERS = re.compile(r"[\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
+_NO_WORDS = re.compile(r"[\W\d_]+")
+# Beyond ASCII, word characters may also be numerals (as in ½, ① or Ⅷ), which are not letters.
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7F]")
+
+
+@lru_cache(1 << 16)
+def _kept(character: str) -> str:
+    return character if character.isalpha() or not (character.isnumeric() or character.isdigit()) else " "
+
+
+def letters_only(text: str) -> str:
+    """A text in lower case whose letters stand in words with a blank between them: all else is left out."""
+    lowered = text.lower()
+    if not lowered.isascii():
+        lowered = _BEYOND_ASCII.sub(lambda m: _kept(m.group()), lowered)
+    return _NO_WORDS.sub(" ", lowered).strip()
+
+
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
 
 
 class Profiles:
@@ -64,9 +83,12 @@ class Profiles:
 
     def keys(self, text: str) -> np.ndarray:
         """Keys of the n-grams of a text: letters in lower case, everything between words as one blank."""
-        line = " " + _NO_LETTERS.sub(" ", text.lower()).strip() + " "
-        if not line.strip():
+        words = letters_only(text)
+        if not words or not has_letter(words):
             return np.zeros(0, np.int64)
+        return self._line_keys(f" {words} ")
+
+    def _line_keys(self, line: str) -> np.ndarray:
         codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         length = len(codes) - self.n + 1
         keys = np.zeros(max(0, length), np.int64)
@@ -80,10 +102,11 @@ class Profiles:
         block: list[tuple[int, np.ndarray]] = []
         size = 0
         for i, text in enumerate(texts):
-            text = text or ""
-            for at in range(0, max(1, len(text)), BLOCK_CHARS):
-                # Parts of a very long text overlap by nothing: a part is read as if it stood alone.
-                keys = self.keys(text[at : at + BLOCK_CHARS])
+            words = letters_only(text or "")
+            line = f" {words} " if has_letter(words) else ""
+            for at in range(0, len(line), BLOCK_CHARS):
+                # Blocks of a very long text overlap by what an n-gram takes up beyond its first letter.
+                keys = self._line_keys(line[at : at + BLOCK_CHARS + self.n - 1])
                 block.append((i, keys))
                 size += len(keys)
                 if size >= BLOCK_CHARS:
@@ -213,7 +236,7 @@ def identify(docs: DataFrame, text: str = "text") -> DataFrame:
 def _with_letters(column: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [bool(_LETTER.search(t or "")) for t in batch.column(column).to_pylist()]
+            found = [has_letter(t) for t in batch.column(column).to_pylist()]
             yield batch.filter(pa.array(found, pa.bool_()))
 
     return run
