@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sparge.session import scratch_path
+from sparge.session import remove, scratch_dir, scratch_path
 
 # Rows per batch handed to Python; texts may be long, so batches stay small.
 BATCH_ROWS = 256
@@ -17,8 +17,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def settings(spark: SparkSession) -> SparkSession:
-    """Session settings that bound the memory of Python workers."""
+    """Session settings that bound the memory of Python workers, and the disk: operators write down what they need
+    again, so shuffle files can go as soon as the job that made them has ended."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
@@ -29,6 +31,14 @@ def write_stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Remove the files of a `write_stage` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if scratch_dir(spark).rsplit("/", 1)[-1] in folder:  # only what this session staged
+            remove(spark, folder)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -38,34 +48,22 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def content_key(df: DataFrame) -> Column:
-    """A 64-bit hash over all columns: rows that agree in `doc_id` and in it are taken to be the same row, repeated."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` written to the shared folder as (row_no, whole_row): a number tells rows apart, whatever they hold.
+
+    The row is one value, so columns of any type and name travel through joins as they are.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row")
+    return write_stage(docs.select(F.monotonically_increasing_id().alias("row_no"), whole), "numbered")
 
 
-def drop_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of `docs` that `decisions` (doc_id, row_hash, kept) keeps.
+def drop_rows(rows: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The rows of `numbered` ones that `decisions` (row_no, kept) does not drop, as they were.
 
-    A decision is bound to its row by `doc_id` and `content_key`. Repeated rows share a key; of those as many stay
-    as decisions say. The dropped keys are the hashed side of the join, so texts are shuffled at most once and not sorted.
+    What is dropped is the hashed side of the join, so texts are shuffled at most once and not sorted.
     """
-    keys = decisions.groupBy("doc_id", "row_hash").agg(
-        F.count("*").alias("copies"), F.sum(F.col("kept").cast("long")).alias("stay")
-    )
-    keys = write_stage(keys, "decisions")
-    plain = keys.filter(F.col("stay") < F.col("copies")).select(
-        F.col("doc_id").alias("dropped_id"), F.col("row_hash").alias("dropped_hash"), F.col("stay").alias("stay_count")
-    )
-    rows = docs.withColumn("dedup_row_hash", content_key(docs))
-    same = F.col("dropped_id").eqNullSafe(F.col("doc_id")) & (F.col("dropped_hash") == F.col("dedup_row_hash"))
-    left = rows.join(plain.hint("shuffle_hash"), same, "left_anti").drop("dedup_row_hash")
-    partial = plain.filter(F.col("stay_count") > 0)
-    if partial.isEmpty():
-        return left
-    # Whole rows that are repeated, some of which stay: one row per key, written as often as it stays.
-    again = rows.join(partial.hint("shuffle_hash"), same, "inner").dropDuplicates(["doc_id", "dedup_row_hash"])
-    again = again.withColumn("stay_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("stay_count"))))
-    return left.unionByName(again.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    dropped = write_stage(decisions.filter("NOT kept").select("row_no"), "dropped")
+    return rows.join(dropped.hint("shuffle_hash"), "row_no", "left_anti").select("whole_row.*")
 
 
 def running_offsets(df: DataFrame, order: list[str], weight: str, group: str | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sparge.llm.common import content_key, settings, words_of, write_stage
+from sparge.llm.common import settings, words_of, write_stage
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -290,17 +290,15 @@ def contaminations(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text: str = "text",
     index_bytes: int = INDEX_BYTES,
 ) -> DataFrame:
-    """One row per document: doc_id, row_hash, hits (item_id, score, first_word of the passage), by item_id.
+    """One row per document: doc_id, hits (item_id, score, first_word of the passage), by item_id.
 
     Null and empty texts, and items without words, have no hits; equal items all hit. Items of more than `index_bytes`
     are searched in several rounds of the documents, with the statistics of all items in each, so that hits and scores
-    do not depend on the number of rounds. Further columns only take part in `row_hash`; an empty table gives an empty
-    result.
+    do not depend on the number of rounds. Other columns are not read; an empty table gives an empty result.
     """
     spark = settings(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        content_key(docs).alias("row_hash"),
         F.lit(None).cast("array<struct<item_id: long, score: double, first_word: long>>").alias("hits"),
         F.col(text).alias("whole_text"),
     )
@@ -308,14 +306,18 @@ def contaminations(
         search = _add_hits(uuid.uuid4().hex, spark.sparkContext.broadcast(block), threshold, overlap)
         rows = rows.mapInArrow(search, rows.schema)
     by_item = F.expr("array_sort(hits, (a, b) -> int(sign(coalesce(a.item_id, -1) - coalesce(b.item_id, -1))))")
-    return rows.select("doc_id", "row_hash", by_item.alias("hits"))
+    return rows.select("doc_id", by_item.alias("hits"))
 
 
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text: str = "text",
     index_bytes: int = INDEX_BYTES,
 ) -> DataFrame:
-    """`docs` without those that hold an item's question and answer. Nothing is shuffled."""
+    """`docs` without those that hold an item's question and answer. Nothing is shuffled.
+
+    Null and empty texts stay, as do all if there are no items. Repeated rows share their fate. Columns may have any
+    name and type that Arrow has. An empty table stays empty.
+    """
     spark = settings(docs.sparkSession)
     rows = docs
     for block in item_blocks(items, index_bytes):

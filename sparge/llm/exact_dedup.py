@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparge.llm.common import content_key, drop_rows, settings, write_stage
+from sparge.llm.common import drop_rows, numbered, settings, write_stage
 
 BLANK = r"[\x20\x09-\x0D]+"
 CHUNK_CHARS = 65_536
@@ -93,52 +93,42 @@ def _chunks(norm: Column) -> Column:
     return F.when(F.length(norm) <= CHUNK_CHARS, F.array(norm)).otherwise(cut)
 
 
-def fingerprints(docs: DataFrame, fields: tuple = FIELDS, text: str = "text") -> DataFrame:
-    """Per row: doc_id, row_hash, n_points (code points of the original), text_sha256, n_bytes, h0, h1, h2.
+def fingerprints(rows: DataFrame, fields: tuple = FIELDS, text: str = "text") -> DataFrame:
+    """Per row of `numbered` ones: row_no, doc_id, n_points (code points of the original), text_sha256, n_bytes, h0, h1, h2.
 
     Documents of more than one chunk are cut into rows that are dealt out over the cluster, hashed and combined.
     """
-    settings(docs.sparkSession)
-    norm = normalised(F.col(text))
-    base = docs.select(
-        "doc_id",
-        content_key(docs).alias("row_hash"),
-        F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_points"),
-        norm.alias("norm"),
+    settings(rows.sparkSession)
+    whole = F.col("whole_row")[text]
+    base = rows.select(
+        "row_no", "whole_row.doc_id", F.coalesce(F.length(whole), F.lit(0)).cast("long").alias("n_points"), normalised(whole).alias("norm")
     )
-    own = "doc_id " + dict(docs.dtypes)["doc_id"] + ", row_hash long, n_points long, text_sha256 string"
+    own = "row_no long, doc_id " + dict(base.dtypes)["doc_id"] + ", n_points long, text_sha256 string"
     prints = ", n_bytes long, " + ", ".join(f"{h} long" for h in PRINT)
-    digest = F.sha2(F.col("norm"), 256).alias("text_sha256")
-    columns = ["doc_id", "row_hash", "n_points", digest]
+    columns = ["row_no", "doc_id", "n_points", F.sha2(F.col("norm"), 256).alias("text_sha256")]
     short = base.filter(F.length("norm") <= CHUNK_CHARS).select(*columns, F.col("norm").alias("chunk"))
     short = short.mapInArrow(_hash_chunks("chunk", fields), own + prints)
-    huge = base.filter(F.length("norm") > CHUNK_CHARS).withColumn("part_row", F.monotonically_increasing_id())
-    huge = huge.select(*columns, "part_row", F.posexplode(_chunks(F.col("norm"))).alias("chunk_no", "chunk"))
-    huge = huge.repartition("part_row", "chunk_no")
+    huge = base.filter(F.length("norm") > CHUNK_CHARS)
+    huge = huge.select(*columns, F.posexplode(_chunks(F.col("norm"))).alias("chunk_no", "chunk"))
+    huge = huge.repartition("row_no", "chunk_no")
     shifts = ", " + ", ".join(f"shift_{h} long" for h in PRINT)
-    hashed = huge.mapInArrow(
-        _hash_chunks("chunk", fields, shifts=True), own + ", part_row long, chunk_no int" + prints + shifts
-    )
+    hashed = huge.mapInArrow(_hash_chunks("chunk", fields, shifts=True), own + ", chunk_no int" + prints + shifts)
     described = F.struct("chunk_no", "n_bytes", *PRINT, *[f"shift_{h}" for h in PRINT])
-    by_row = hashed.groupBy("doc_id", "row_hash", "n_points", "text_sha256", "part_row").agg(
+    by_row = hashed.groupBy("row_no", "doc_id", "n_points", "text_sha256").agg(
         _combined(F.array_sort(F.collect_list(described)), fields).alias("whole")
     )
-    return short.unionByName(by_row.select("doc_id", "row_hash", "n_points", "text_sha256", "whole.*"))
+    return short.unionByName(by_row.select("row_no", "doc_id", "n_points", "text_sha256", "whole.*"))
 
 
-def _conflicts(docs: DataFrame, prints: DataFrame, text: str) -> DataFrame:
+def _conflicts(rows: DataFrame, prints: DataFrame, text: str) -> DataFrame:
     """Fingerprints that stand for different texts, found by comparing all their documents chunk by chunk.
 
-    Equal chunks of a task are one row before anything is shuffled, so a text with many copies is compared once per
-    task and never gathered.
+    Texts are fetched by row number, which spreads them evenly whatever they hold. Equal chunks of a task are one row
+    before anything is shuffled by fingerprint, so a text with many copies is compared once per task and never gathered.
     """
-    shared = prints.groupBy(*KEY).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = prints.join(shared, KEY).select(
-        F.col("doc_id").alias("member_id"), F.col("row_hash").alias("member_hash"), *KEY
-    ).distinct()
-    rows = docs.select("doc_id", content_key(docs).alias("row_hash"), F.col(text).alias("whole_text"))
-    same = F.col("member_id").eqNullSafe(F.col("doc_id")) & (F.col("member_hash") == F.col("row_hash"))
-    texts = rows.join(members.hint("shuffle_hash"), same)
+    shared = write_stage(prints.groupBy(*KEY).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "shared-prints")
+    members = write_stage(prints.select("row_no", *KEY).join(shared, KEY, "left_semi"), "members")
+    texts = rows.select("row_no", F.col("whole_row")[text].alias("whole_text")).join(members.hint("shuffle_hash"), "row_no")
     chunks = texts.select(*KEY, F.posexplode(_chunks(normalised(F.col("whole_text")))).alias("chunk_no", "chunk"))
     different = chunks.groupBy(*KEY, "chunk_no", "chunk").agg(F.count("*").alias("n"))
     return (
@@ -147,34 +137,44 @@ def _conflicts(docs: DataFrame, prints: DataFrame, text: str) -> DataFrame:
     )
 
 
-def exact_dedup(docs: DataFrame, fields: tuple = FIELDS, text: str = "text") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, row_hash.
-
-    `docs` needs `doc_id` and the text column; further columns, whatever their names, only take part in `row_hash`.
-    Null texts count as empty and empty texts as equal. Of equal texts the row with most code points stays, then the
-    one with the smallest doc_id (null ids last); of repeated rows one. `keep_id` is null only if a group has no id.
-    An empty table gives an empty result.
-    """
-    prints = fingerprints(docs, fields, text).withColumn("row_no", F.monotonically_increasing_id())
-    prints = write_stage(prints, "prints")
-    found = write_stage(_conflicts(docs, prints, text), "conflicts")
+def _decided(rows: DataFrame, fields: tuple, text: str) -> DataFrame:
+    """`exact_dedup` of `numbered` rows, with their `row_no`."""
+    prints = write_stage(fingerprints(rows, fields, text), "prints")
+    found = write_stage(_conflicts(rows, prints, text), "conflicts")
     # A fingerprint of different texts is parted by content; the digest is that of the whole normalised text.
     keyed = prints.join(found, KEY, "left").withColumn(
         "part", F.when(F.col("conflict"), F.col("text_sha256")).otherwise("")
     )
-    best = F.max(F.struct("n_points", (-F.col("doc_id")).alias("least"), (-F.col("row_no")).alias("first"), "doc_id"))
+    nameless = F.col("doc_id").isNull().alias("nameless")
+    best = F.min(F.struct((-F.col("n_points")).alias("shortness"), nameless, "doc_id", "row_no"))
     # Written out, so that the join below can split the rows of a group with very many copies.
     groups = write_stage(keyed.groupBy(*KEY, "part").agg(F.count("*").alias("group_size"), best.alias("best")), "groups")
     return keyed.join(groups, [*KEY, "part"]).select(
+        "row_no",
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",
-        (F.col("row_no") == -F.col("best.first")).alias("kept"),
+        (F.col("row_no") == F.col("best.row_no")).alias("kept"),
         "text_sha256",
-        "row_hash",
     )
 
 
+def exact_dedup(docs: DataFrame, fields: tuple = FIELDS, text: str = "text") -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+
+    `docs` needs `doc_id` and the text column; other columns are not read. Null texts count as empty and empty texts as
+    equal. Of equal texts the row with most code points stays, then the one with the smallest doc_id (null ids last); of
+    repeated rows one. `keep_id` is null only if a group has no id. An empty table gives an empty result.
+    """
+    return _decided(numbered(docs.select("doc_id", text)), fields, text).drop("row_no")
+
+
 def drop_exact_copies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` without the rows that `exact_dedup` does not keep."""
-    return drop_rows(docs, exact_dedup(docs, text=text).select("doc_id", "row_hash", "kept"))
+    """`docs` without the rows that `exact_dedup` does not keep.
+
+    Null and empty texts are copies of each other; of repeated rows one stays, and rows that only resemble each other
+    (other columns, other nulls) are told apart by their place. Columns may have any name and type. An empty table
+    stays empty.
+    """
+    rows = numbered(docs)
+    return drop_rows(rows, _decided(rows, FIELDS, text).select("row_no", "kept"))

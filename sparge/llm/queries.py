@@ -58,12 +58,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(documents(spark, sf_dir)).drop("row_hash")
+    return exact_dedup(documents(spark, sf_dir))
 
 
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+    return near_duplicates(documents(spark, sf_dir))
 
 
 @query

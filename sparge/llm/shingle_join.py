@@ -8,6 +8,7 @@ keeps the groups small; it decides how much is compared, never what is found. Wh
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +16,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sparge.llm.common import content_key, settings, write_stage
+from sparge.llm.common import forget, settings, write_stage
+from sparge.llm.components import components
 
 SEED = 42
 SHINGLE_WORDS = 5
@@ -55,6 +57,20 @@ def _similar(overlap, sizes):
     return 9 * overlap >= 4 * sizes
 
 
+def _signature(hashes: np.ndarray) -> np.ndarray:
+    """Parity of a set in about four bins per member: a sixteenth of the set's own size."""
+    return _parity(hashes, max(64, 1 << (4 * len(hashes) - 1).bit_length()))
+
+
+def _differing(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many bins two signatures differ; the larger one is folded first, neighbouring bins into one."""
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        bits = np.unpackbits(a.view(np.uint8)).reshape(-1, 2)
+        a = np.packbits(bits[:, 0] ^ bits[:, 1]).view(np.uint64)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _parity(hashes: np.ndarray, bits: int) -> np.ndarray:
     """Per bin whether an odd number of hashes is in it. Sets differ in at least as many members as these bits differ."""
     shift = np.uint64(64 - (bits.bit_length() - 1))
@@ -84,6 +100,24 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "hashes"])
 
 
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_set(t) for t in batch.column("whole_text").to_pylist()]
+        columns = [pa.array([len(s) for s in sets], pa.int32()), pa.array([_signature(s).tobytes() for s in sets], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], ["node", "size", "signature"])
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that their signatures do not rule out: sets differ in at least as many members as the bins do."""
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("a_size", "b_size", "a_signature", "b_signature")]
+        keep = [
+            9 * _differing(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) <= m + n
+            for m, n, x, y in zip(*columns, strict=True)
+        ]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _prefixes(common: np.ndarray, ranks: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,8 +188,15 @@ def _meet(small: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
-def forest(nodes: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of similar sets: at most one edge per member, each compared on the whole sets."""
+def forest(nodes: list[int], sets: list[np.ndarray], linked: list[int] | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of similar sets: at most one edge per member, each compared on the whole sets.
+
+    Members with the same value of `linked` are connected already: they are gone through together.
+    """
+    parts: dict[int, list[int]] = {}
+    for i, part in enumerate(linked or range(len(nodes))):
+        parts.setdefault(part, []).append(i)
+    part_of = {i: members for members in parts.values() for i in members}
     sizes = np.array([len(s) for s in sets], np.int64)
     parity = np.array([_parity(s, PARITY_BITS) for s in sets])
     left = np.ones(len(sets), bool)
@@ -163,8 +204,8 @@ def forest(nodes: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
     for start in range(len(sets)):
         if not left[start]:
             continue
-        left[start] = False
-        todo = [start]
+        todo = list(part_of[start])
+        left[todo] = False
         while todo:
             at = todo.pop()
             rest = np.flatnonzero(left)
@@ -172,17 +213,19 @@ def forest(nodes: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
             rest = rest[_similar(np.minimum(sizes[at], sizes[rest]), both)]
             differ = np.bitwise_count(parity[rest] ^ parity[at]).sum(axis=1, dtype=np.int64)
             for other in rest[9 * differ <= sizes[at] + sizes[rest]].tolist():
+                if not left[other]:
+                    continue
                 common = len(np.intersect1d(sets[at], sets[other], assume_unique=True))
                 if _similar(common, sizes[at] + sizes[other]):
-                    left[other] = False
+                    left[part_of[other]] = False
                     edges.append((nodes[at], nodes[other]))
-                    todo.append(other)
+                    todo += part_of[other]
     return edges
 
 
 def _tile_links(table: pa.Table) -> pa.Table:
     sets = [np.array(h, np.int64).view(np.uint64) for h in table.column("hashes").to_pylist()]
-    edges = forest(table.column("node").to_pylist(), sets)
+    edges = forest(table.column("node").to_pylist(), sets, table.column("linked").to_pylist())
     return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
 
 
@@ -197,18 +240,57 @@ def _common(rows: DataFrame, sample_rows: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], (len(most) - np.arange(len(most)))[order]
 
 
+def _likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs (a, b) that signatures leave; whole sets are fetched for these alone."""
+    for end in "ab":
+        named = signatures.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size"), F.col("signature").alias(f"{end}_signature"))
+        pairs = pairs.join(named, end)
+    return pairs.mapInArrow(_possible, "a long, b long")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar."""
+    first, second = (sets.select(F.col("node").alias(n), F.col("hashes").alias(f"{n}_set")) for n in "ab")
+    compared = pairs.join(first, "a").join(second, "b")
+    overlap = F.size(F.array_intersect("a_set", "b_set"))
+    return compared.filter(_similar(overlap, F.size("a_set") + F.size("b_set"))).select("a", "b")
+
+
+def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The pairs whose ends are not linked yet."""
+    for end in "ab":
+        pairs = pairs.join(linked.select(F.col("node").alias(end), F.col("linked").alias(f"{end}_linked")), end)
+    return pairs.filter("a_linked <> b_linked").select("a", "b")
+
+
+def _merged(linked: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, linked) after further edges between nodes."""
+    between = edges
+    for end in "ab":
+        named = linked.select(F.col("node").alias(end), F.col("linked").alias(f"{end}_linked"))
+        between = between.join(named, end)
+    roots = components(between.select(F.col("a_linked").alias("a"), F.col("b_linked").alias("b")))
+    roots = roots.select(F.col("node").alias("linked"), "root")
+    return linked.join(roots, "linked", "left").select("node", F.coalesce("root", "linked").alias("linked"))
+
+
 def similar_edges(
-    docs: DataFrame, text: str = "text", small: int = SMALL, tile: int = TILE, sample_rows: int = SAMPLE_ROWS
+    rows: DataFrame, text: str = "text", small: int = SMALL, tile: int = TILE, sample_rows: int = SAMPLE_ROWS,
+    linked: DataFrame | None = None,
 ) -> DataFrame:
-    """Edges (a, b) of row keys (`content_key`) that connect all rows that pairs of similarity >= 0.8 connect.
+    """Edges (a, b) of row numbers that, with the given links, connect all rows that pairs of similarity >= 0.8 connect.
+
+    `rows` are `numbered` ones; `linked` (node, linked) gives rows that are connected already the same value. Texts
+    without words have no edges. Shingles are compared by 64-bit hashes.
 
-    Texts without words have no edges. Of groups of up to `small` texts that share a shingle all possible pairs are
-    compared; larger ones tile against tile, each pair of tiles being a task's work of its own that returns a spanning
-    forest. Shingles are compared by 64-bit hashes.
+    Texts that meet under a shingle are first compared with the one of smallest number there, which connects most groups
+    of copies as a star. Pairs that are still apart follow: all possible ones of groups of up to `small` texts; larger
+    groups, if they are still of several parts, tile against tile, each pair of tiles being a task's work of its own
+    that returns a spanning forest.
     """
-    settings(docs.sparkSession)
-    rows = docs.select(content_key(docs).alias("node"), F.col(text).alias("whole_text"))
-    found = rows.mapInArrow(_prefixes(*_common(rows, sample_rows)), "shingle long, node long, size int, parity long")
+    settings(rows.sparkSession)
+    texts = rows.select(F.col("row_no").alias("node"), F.col("whole_row")[text].alias("whole_text"))
+    found = texts.mapInArrow(_prefixes(*_common(texts, sample_rows)), "shingle long, node long, size int, parity long")
     dealt = found.repartition("shingle").sortWithinPartitions("shingle")
     met = write_stage(dealt.mapInArrow(_meet(small), "crowded long, a long, b long"), "shingles-met")
     pairs = write_stage(met.filter("crowded IS NULL").select("a", "b").distinct(), "shingle-pairs")
@@ -216,21 +298,44 @@ def similar_edges(
         F.col("crowded").alias("shingle"), F.col("a").alias("node"), F.col("b").alias("size")
     ).distinct()
     crowded = write_stage(crowded, "shingle-groups")
+    forget(met)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded.select("node")).distinct()
     wanted = write_stage(wanted, "shingle-nodes")
-    sets = rows.join(wanted, "node", "left_semi").mapInArrow(_sets, "node long, hashes array<long>")
-    sets = write_stage(sets.dropDuplicates(["node"]), "shingle-sets")
-
-    a, b = sets.select(F.col("node").alias("a"), F.col("hashes").alias("a_set")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("b_set"))
-    compared = pairs.join(a, "a").join(b, "b")
-    overlap = F.size(F.array_intersect("a_set", "b_set"))
-    edges = compared.filter(_similar(overlap, F.size("a_set") + F.size("b_set"))).select("a", "b")
-
-    tiles = crowded.groupBy("shingle").agg(
+    signatures = texts.join(wanted.hint("shuffle_hash"), "node", "left_semi").mapInArrow(_signatures, "node long, size int, signature binary")
+    signatures = write_stage(signatures, "signatures")
+    if linked is None:
+        linked = wanted.select("node", F.col("node").alias("linked"))
+    linked = write_stage(linked.join(wanted, "node", "left_semi"), "linked")
+
+    # A star around the smallest of each large group; what signatures rule out is gone before any set is fetched.
+    centres = write_stage(crowded.groupBy("shingle").agg(F.min("node").alias("a")), "shingle-centres")
+    stars = crowded.join(centres, "shingle").filter("a < node").select("a", F.col("node").alias("b")).distinct()
+    stars = write_stage(_likely(_apart(stars, linked), signatures), "stars")
+    likely = write_stage(_likely(_apart(pairs, linked), signatures), "likely")
+    forget(signatures)
+    ends = [df.select(F.col(end).alias("node")) for df in (stars, likely) for end in "ab"]
+    needed = write_stage(functools.reduce(DataFrame.union, ends, crowded.select("node")).distinct(), "needed")
+    sets = texts.join(needed.hint("shuffle_hash"), "node", "left_semi").mapInArrow(_sets, "node long, hashes array<long>")
+    sets = write_stage(sets, "shingle-sets")
+
+    # In small groups first each text and its smallest partner; then the pairs that are still apart.
+    stars = stars.unionByName(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct()
+    star_edges = write_stage(_verified(stars, sets), "star-edges")
+    linked = write_stage(_merged(linked, star_edges), "linked")
+    rest_edges = write_stage(_verified(_apart(likely, linked), sets), "rest-edges")
+    linked = write_stage(_merged(linked, rest_edges), "linked")
+
+    # Larger groups of which everything is connected by now need no further look.
+    parted = crowded.join(linked, "node")
+    several = parted.groupBy("shingle").agg(F.min("linked").alias("low"), F.max("linked").alias("high"))
+    several = write_stage(several.filter("low < high").select("shingle"), "shingle-parted")
+    left = write_stage(crowded.join(several, "shingle", "left_semi"), "shingle-left")
+    tiles = left.groupBy("shingle").agg(
         F.ceil(F.greatest(F.count("*") / F.lit(tile / 2), F.sum("size") * 8 / F.lit(TILE_BYTES / 2))).cast("int").alias("tiles")
     )
     own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    tiled = crowded.join(tiles, "shingle").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
+    tiled = left.join(tiles, "shingle").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
     tiled = tiled.select("shingle", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "node")
-    linked = tiled.join(sets, "node").groupBy("shingle", "first", "second").applyInArrow(_tile_links, "a long, b long")
-    return edges.unionByName(linked)
+    met_again = tiled.join(linked, "node").join(sets, "node")
+    tile_edges = met_again.groupBy("shingle", "first", "second").applyInArrow(_tile_links, "a long, b long")
+    return star_edges.unionByName(rest_edges).unionByName(tile_edges)

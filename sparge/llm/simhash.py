@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sparge.llm.common import content_key, drop_rows, settings, write_stage
+from sparge.llm.common import drop_rows, numbered, settings, write_stage
 from sparge.llm.components import components
 from sparge.llm.shingle_join import shingle_hashes, similar_edges
 
@@ -54,12 +54,12 @@ def _hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*arrays, pa.array(prints, pa.int64())], [*names, "print"])
 
 
-def simhashes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Per row: doc_id, row_hash, print (the fingerprint's bits as a long)."""
-    settings(docs.sparkSession)
-    rows = docs.select("doc_id", content_key(docs).alias("row_hash"), F.col(text).alias("whole_text"))
-    kind = dict(docs.dtypes)["doc_id"]
-    return rows.mapInArrow(_hash_texts, f"doc_id {kind}, row_hash long, print long")
+def simhashes(rows: DataFrame, text: str = "text") -> DataFrame:
+    """Per row of `numbered` ones: row_no, doc_id, print (the fingerprint's bits as a long)."""
+    settings(rows.sparkSession)
+    taken = rows.select("row_no", "whole_row.doc_id", F.col("whole_row")[text].alias("whole_text"))
+    kind = dict(taken.dtypes)["doc_id"]
+    return taken.mapInArrow(_hash_texts, f"row_no long, doc_id {kind}, print long")
 
 
 def _forest(prints: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
@@ -197,45 +197,59 @@ def near_edges(prints: DataFrame, max_distance: int = MAX_DISTANCE, tile: int =
     return edges.unionByName(pairs)
 
 
-def near_duplicates(
-    docs: DataFrame, max_distance: int = MAX_DISTANCE, text: str = "text", similar: bool = False
-) -> DataFrame:
-    """One row per document: doc_id, root, fingerprint (hex), component_id, row_hash.
+def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, text: str = "text") -> DataFrame:
+    """One row per document: doc_id, fingerprint (hex), component_id.
 
     Null and empty texts and texts without words have the fingerprint 0 and are linked to each other. `component_id`
     is the smallest doc_id reachable over links of at most `max_distance` bits; null only if no member has an id.
-    With `similar`, texts whose 5-word shingles have a similarity of 0.8 or more are linked too.
-    Copies share a fingerprint and are one node, however many there are. Further columns only take part in `row_hash`;
-    an empty table gives an empty result.
+    Copies share a fingerprint and are one node, however many there are. Other columns are not read; an empty table
+    gives an empty result.
     """
-    rows = write_stage(simhashes(docs, text), "simhash")
-    nodes = write_stage(rows.groupBy("print").agg(F.min("doc_id").alias("least_id")), "prints")
+    rows = docs.select(F.lit(0).cast("long").alias("row_no"), F.struct("doc_id", text).alias("whole_row"))
+    return _classes(rows, max_distance, text, similar=False).select("doc_id", "fingerprint", "component_id")
+
+
+def _classes(rows: DataFrame, max_distance: int, text: str, similar: bool) -> DataFrame:
+    """Of `numbered` rows: row_no, doc_id, root, fingerprint, component_id. With `similar`, texts whose 5-word shingles
+    have a similarity of 0.8 or more are linked too."""
+    prints = write_stage(simhashes(rows, text), "simhash")
+    nodes = write_stage(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")), "prints")
     edges = near_edges(nodes.select("print"), max_distance)
     if similar:
-        prints = rows.groupBy("row_hash").agg(F.min("print").alias("print"))
-        pairs = write_stage(similar_edges(docs, text).distinct(), "similar")
+        edges = write_stage(edges, "near-edges")
+        of_row = prints.select(F.col("row_no").alias("node"), F.col("print").alias("known"))
+        pairs = write_stage(similar_edges(rows, text, linked=_named(of_row, components(edges))).distinct(), "similar")
         for end in ("a", "b"):
-            named = prints.select(F.col("row_hash").alias(end), F.col("print").alias(f"{end}_print"))
+            named = prints.select(F.col("row_no").alias(end), F.col("print").alias(f"{end}_print"))
             pairs = pairs.join(named, end)
         edges = edges.unionByName(pairs.select(F.col("a_print").alias("a"), F.col("b_print").alias("b")))
     roots = components(edges)
     named = nodes.join(roots.select(F.col("node").alias("print"), "root"), "print", "left")
     named = named.withColumn("root", F.coalesce("root", "print"))
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = named.join(names, "root").select("print", "root", "component_id")
-    return rows.join(classes, "print").select(
-        "doc_id", "root", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id", "row_hash"
+    classes = write_stage(named.join(names, "root").select("print", "root", "component_id"), "classes")
+    return prints.join(classes, "print").select(
+        "row_no", "doc_id", "root", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
+def _named(of_row: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, linked) per row: the root of its fingerprint."""
+    joined = of_row.join(roots.select(F.col("node").alias("known"), "root"), "known", "left")
+    return joined.select("node", F.coalesce("root", "known").alias("linked"))
+
+
 def drop_near_copies(docs: DataFrame, max_distance: int = MAX_DISTANCE, text: str = "text") -> DataFrame:
     """`docs` with one document of each component: the one with the smallest doc_id (null ids last).
 
-    Links are fingerprints of at most `max_distance` differing bits, and shingle similarities of 0.8 or more.
+    Links are fingerprints of at most `max_distance` differing bits, and shingle similarities of 0.8 or more. Texts
+    without words are linked to each other. Of repeated rows one stays. Columns may have any name and type. An empty
+    table stays empty.
     """
-    found = near_duplicates(docs, max_distance, text, similar=True).withColumn("row_no", F.monotonically_increasing_id())
-    found = write_stage(found, "near")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_no")).alias("first")
-    best = found.groupBy("root").agg(first).select(F.col("first.row_no").alias("row_no"), F.lit(True).alias("stays"))
-    kept = found.join(best, "row_no", "left")
-    return drop_rows(docs, kept.select("doc_id", "row_hash", F.coalesce("stays", F.lit(False)).alias("kept")))
+    settings(docs.sparkSession)
+    rows = numbered(docs)
+    found = write_stage(_classes(rows, max_distance, text, similar=True), "near")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_no")).alias("first")
+    best = write_stage(found.groupBy("root").agg(first).select(F.col("first.row_no").alias("stays_no")), "best")
+    kept = found.join(best, F.col("row_no") == F.col("stays_no"), "left")
+    return drop_rows(rows, kept.select("row_no", F.col("stays_no").isNotNull().alias("kept")))

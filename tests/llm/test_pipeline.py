@@ -6,6 +6,7 @@ import corpus_pipeline
 from sparge.llm.common import words_of
 
 from test_packing import check
+from test_shingle_join import slow_similar
 from test_simhash import slow_classes, slow_print
 
 
@@ -17,11 +18,17 @@ def slow_pipeline(docs, items):
         norm = t.translate({c: None for c in (32, *range(9, 14))})
         best[norm] = min(best.get(norm, (0, 0, "")), (-len(t), d, t))
     rows = [(d, t) for _, d, t in best.values()]
-    prints = {d: slow_print(t) for d, t in rows}
-    roots = slow_classes(set(prints.values()), 3)
+    # Links are fingerprints of at most 3 differing bits, and shingle similarities of 0.8 or more.
+    prints = [slow_print(t) for _, t in rows]
+    near = slow_classes(set(prints), 3)
+    root = slow_similar([t for _, t in rows])
+    known = {}
+    for i, p in enumerate(prints):
+        other = root[known.setdefault(near[p], i)]
+        root = [min(root[i], other) if r in (root[i], other) else r for r in root] if root[i] != other else root
     first = {}
-    for d, t in rows:
-        first[roots[prints[d]]] = min(first.get(roots[prints[d]], (d, t)), (d, t))
+    for (d, t), r in zip(rows, root, strict=True):
+        first[r] = min(first.get(r, (d, t)), (d, t))
     padded = [b" " + b" ".join(words_of(t)) + b" " for _, t in items]
     return {d: t for d, t in first.values() if not any(i in b" " + b" ".join(words_of(t)) + b" " for i in padded)}
 
@@ -49,3 +56,22 @@ def test_rejected_texts(spark, folder):
     both = docs.unionByName(odd, allowMissingColumns=True)
     left = {r.doc_id for r in corpus_pipeline.language_id(spark, both, folder).select("doc_id").collect()}
     assert left == {r.doc_id for r in docs.select("doc_id").collect()} | {-4}
+
+
+def test_odd_rows(spark, folder):
+    """Rows that only their nulls or extra columns tell apart, clashing names, maps and the smallest id, through each stage."""
+    text = "one two three four five six seven"
+    rows = [
+        (0, "x  y", "k", {"a": "1"}, 1, 1, True), (1, "x y", None, None, 2, 2, False), (1, None, "x y", None, 3, 3, None),
+        (-(2**63), text, "k", {"b": None}, 4, 4, True), (None, text, "k", {}, 5, 5, True), (7, text + " eight", None, None, 6, 6, True),
+        (7, text + " eight", None, None, 6, 6, True), (8, "", None, None, 7, 7, None),
+    ]
+    shape = "doc_id long, text string, lang string, dropped_id map<string,string>, row_no int, dedup_row_hash int, kept boolean"
+    docs = spark.createDataFrame(rows, shape)
+    left = {name: stage(spark, docs, folder) for name, stage in corpus_pipeline.STAGES[:-1]}
+    ids = {name: sorted(((r.doc_id, r.text) for r in df.collect()), key=str) for name, df in left.items()}
+    assert all(df.columns == docs.columns for df in left.values())
+    assert (1, None) in ids["exact dedup"] and (1, "x y") not in ids["exact dedup"] and (0, "x  y") in ids["exact dedup"]
+    assert ids["exact dedup"] == sorted([(0, "x  y"), (1, None), (-(2**63), text), (7, text + " eight")], key=str)
+    assert (None, text) not in ids["SimHash near-dedup"] and (-(2**63), text) in ids["SimHash near-dedup"]
+    assert len(ids["benchmark decontamination"]) == len(rows) and len(ids["language ID"]) == 6

@@ -7,7 +7,7 @@ import random
 import corpus_pipeline
 import pytest
 
-from sparge.llm.common import content_key
+from sparge.llm.common import numbered
 from sparge.llm.components import components
 from sparge.llm.shingle_join import similar_edges
 from sparge.llm.simhash import drop_near_copies
@@ -47,8 +47,9 @@ def test_against_all_pairs(spark, small, tile):
     line = [f"common{i}" for i in range(12)]
     texts = [None, "", " ", "a b", "A  b"] + [t for n in range(40) for t in copies(dice, line if n % 2 else ())]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    at = {r.k: r.doc_id for r in docs.select("doc_id", content_key(docs).alias("k")).collect()}
-    edges = similar_edges(docs, small=small, tile=tile, sample_rows=100)
+    rows = numbered(docs)
+    at = {r.row_no: r.whole_row.doc_id for r in rows.collect()}
+    edges = similar_edges(rows, small=small, tile=tile, sample_rows=100)
     found = {at[r.node]: at[r.root] for r in components(edges).collect()}
     want = slow_similar(texts)
     groups = {}
