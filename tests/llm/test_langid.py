@@ -66,3 +66,21 @@ def test_tables_without_labels_are_kept(spark):
     learned = langid.train(docs.withColumn("lang", docs.text.substr(1, 1)))
     assert kept == sorted(r.doc_id for r in langid.keep_known(docs, learned).collect())
     assert langid.keep_known(docs.limit(0), {}).count() == 0
+
+
+def test_numerals_are_no_letters(spark):
+    texts = {1: "½ ²³", 2: "① Ⅷ ٣", 3: "½ a", 4: "the cat and the hat"}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, langid.train(docs), "text").select("doc_id", "lang_pred", langid.F.col("lang_score").alias("score")).collect()}
+    assert found[1] == found[2] == ("und", 0.0) and found[3][0] == found[4][0] == "en"
+    assert sorted(r.doc_id for r in langid.keep_known(docs, langid.train(docs)).collect()) == [3, 4]
+    profiles = langid.Profiles(dimensions=32)
+    assert np.allclose(profiles.bundle(["a½b ① c"]), profiles.bundle(["a b c"]))
+
+
+def test_blocks_of_a_long_text_change_nothing(monkeypatch):
+    texts = ["the quick brown fox, jumps 12 over", "über den zaun ½ und weiter", "日本語のテキスト", "", "a"]
+    plain = langid.Profiles(dimensions=32).bundle(texts)
+    for size in (1, 2, 5, 7):
+        monkeypatch.setattr(langid, "BLOCK_CHARS", size)
+        assert np.allclose(langid.Profiles(dimensions=32).bundle(texts), plain)

@@ -78,3 +78,14 @@ def test_edges_and_many_archives(spark):
     assert sorted(got, key=KEY) == sorted(expected(pages), key=KEY)
     none = warc.write_archives(frame.limit(0), folder)
     assert warc.read_archives(none, folder).count() == 0
+
+
+def test_archives_are_read_back_side_by_side(spark):
+    """As many partitions as archives, though their names are short."""
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "x" * 50 + str(i)) for i in range(40)], "page_id long, url string, html string")
+    folder = warc.shared_uri(spark, "warc-many")
+    archives = warc.write_archives(pages.repartition(10), folder, archive_bytes=1)
+    number = archives.count()
+    assert number > 4
+    names = archives.select("archive").repartition(number, "archive")
+    assert names.rdd.getNumPartitions() == number and warc.read_archives(archives, folder).count() == 40
