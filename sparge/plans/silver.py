@@ -15,7 +15,7 @@ from sparge.plans.control import log_path, run_entries
 from sparge.session import empty_frame, path_exists, read_note, staged, write_note
 from sparge.sinks import key_index, swap
 from sparge.sinks.files import replace_partitions
-from sparge.sources.files import read_batch, read_partitions, read_table
+from sparge.sources.files import read_batch, read_partitions
 
 PARTITION = "partitioned_at"
 MERGES = "merges"
@@ -109,10 +109,12 @@ def refresh_flat(spark: SparkSession, root: str, days: Sequence[str], active_onl
     """Rebuild the given days of the flat table; other days stay as they are.
 
     A day that lost all its rows, because they moved to a later one, is emptied. A
-    dimension table that does not exist is an error, not an empty one.
+    dimension table that does not exist is an error, not an empty one. Tables are read as
+    their announced merges will leave them.
     """
-    dims = {n: read_table(spark, f"{root}/silver/{n}", ENTITIES[n].silver) for n in ("beer", "brewery", "profile")}
-    review = read_partitions(spark, f"{root}/silver/review", days, ENTITIES["review"].silver)
+    state = lambda name: swap.read_table_state(spark, f"{root}/silver/{name}", ENTITIES[name].silver)
+    dims = {name: state(name) for name in ("beer", "brewery", "profile")}
+    review = state("review").filter(swap.within(PARTITION, list(days)))
     review = active(review) if active_only else review
     flat = build_review_flat(review, **dims)
     present = [(day,) for day in _days(review)]
