@@ -30,6 +30,8 @@ SAMPLE_ROWS = 10_000
 COMMON_ROWS = 8
 COMMON_SHINGLES = 50_000
 PARITY_BITS = 1024
+# Parts in which the pairs that stars leave are compared, one after the other.
+PARTS = 8
 
 
 def shingle_hashes(text: str | None, words: int) -> list[int]:
@@ -322,8 +324,12 @@ def similar_edges(
     stars = stars.unionByName(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct()
     star_edges = write_stage(_verified(stars, sets), "star-edges")
     linked = write_stage(_merged(linked, star_edges), "linked")
-    rest_edges = write_stage(_verified(_apart(likely, linked), sets), "rest-edges")
-    linked = write_stage(_merged(linked, rest_edges), "linked")
+    rest = write_stage(_apart(likely, linked), "rest")
+    rest_edges = []
+    for part in range(PARTS):  # sets of one part at a time are on the way, and what a part connects is skipped by the next
+        mine = rest.filter(F.pmod(F.xxhash64("a", "b"), F.lit(PARTS)) == part)
+        rest_edges.append(write_stage(_verified(_apart(mine, linked), sets), "rest-edges"))
+        linked = write_stage(_merged(linked, rest_edges[-1]), "linked")
 
     # Larger groups of which everything is connected by now need no further look.
     parted = crowded.join(linked, "node")
@@ -338,4 +344,4 @@ def similar_edges(
     tiled = tiled.select("shingle", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "node")
     met_again = tiled.join(linked, "node").join(sets, "node")
     tile_edges = met_again.groupBy("shingle", "first", "second").applyInArrow(_tile_links, "a long, b long")
-    return star_edges.unionByName(rest_edges).unionByName(tile_edges)
+    return functools.reduce(DataFrame.unionByName, rest_edges, star_edges).unionByName(tile_edges)
