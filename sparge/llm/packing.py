@@ -59,6 +59,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.begins[[i for t, i in vocabulary.items() if t[0] == BLANK]] = True
+        self.line_end = self._whole("\n")
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -69,14 +70,35 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast([" " + " ".join(x) for x in lines], add_special_tokens=False)
         for line, encoding in zip(lines, found, strict=True):
             ids = np.array(encoding.ids, "<u4")
-            starts = np.flatnonzero(self.begins[ids]).tolist()
+            cuts = [*(4 * np.flatnonzero(self.begins[ids])).tolist(), 4 * len(ids)]
+            self.young.update(zip(line, map(ids.tobytes().__getitem__, map(slice, cuts, cuts[1:])), strict=True))
+
+    def _learn_firsts(self, words: list[str]) -> None:
+        """The same for words at the beginning of a line, which have no blank: the token of the line's end divides them."""
+        lines = [words[at : at + LINE_WORDS] for at in range(0, len(words), LINE_WORDS)]
+        found = self.tokenizer.encode_batch_fast(["\n".join(x) for x in lines], add_special_tokens=False)
+        for line, encoding in zip(lines, found, strict=True):
+            ids = np.array(encoding.ids, "<u4")
+            ends = np.flatnonzero(ids == self.line_end[0]).tolist()
             data = ids.tobytes()
-            for w, i, j in zip(line, starts, [*starts[1:], len(ids)], strict=True):
-                self.young[w] = data[4 * i : 4 * j]
+            for w, i, j in zip(line, [-1, *ends], [*ends, len(ids)], strict=True):
+                self.young[(w,)] = data[4 * (i + 1) : 4 * j]
+
+    def _over_lines(self, new: set[str]) -> list[tuple[str, list[str]]]:
+        """Words that run over single line ends, with their lines: line ends are always pre-tokenized apart."""
+        if len(self.line_end) != 1:
+            return []
+        found = [(w, w.split()) for w in new if "\n" in w and w not in self.old]
+        return [(w, lines) for w, lines in found if w == "\n".join(lines)]
 
     def _remember(self, new: set[str]) -> None:
         """Fill the memory for words that the young generation does not have."""
         young, old, unknown, ended = self.young, self.old, set(), []
+        if over := self._over_lines(new):
+            new = {*new.difference(w for w, _ in over), *(lines[0] for _, lines in over if lines[0] not in young)}
+            firsts = {x for _, lines in over for x in lines[1:] if (x,) not in young}
+            if firsts := [x for x in firsts if (ids := old.get((x,))) is None or young.setdefault((x,), ids) is None]:
+                self._learn_firsts(firsts)
         for w in new:
             if (ids := old.get(w)) is not None:
                 young[w] = ids
@@ -94,6 +116,8 @@ class Encoder:
             if tail is None:
                 tail = young[(signs,)] = self._whole(signs).tobytes()
             young[w] = young[bare] + tail
+        for w, lines in over:
+            young[w] = self.line_end.tobytes().join([young[lines[0]], *(young[(x,)] for x in lines[1:])])
 
     def encode(self, text: str) -> np.ndarray:
         if not self.by_word or any(s in text for s in self.specials):
