@@ -8,6 +8,7 @@ answer's 5-word shingles that the passage holds.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import uuid
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sparge.llm.common import settings, words_of, write_stage
+from sparge.llm.common import drop_rows, numbered, settings, words_of, write_stage
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -217,17 +218,14 @@ _HITS = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("
 
 
 def _add_hits(key: str, sent, threshold: float, overlap: float):
-    """Appends the hits of one index to the column `hits`."""
+    """Texts become the hits of one index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(key, sent)
         for batch in batches:
             found = find(index, batch.column("whole_text").to_pylist(), threshold, overlap)
-            old = batch.column("hits").to_pylist()
-            hits = [(o or []) + [{"item_id": i, "score": s, "first_word": w} for i, s, w in f] for o, f in zip(old, found, strict=True)]
-            at = batch.schema.get_field_index("hits")
-            arrays = [pa.array(hits, _HITS) if i == at else c for i, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(arrays, batch.schema.names)
+            hits = pa.array([[{"item_id": i, "score": s, "first_word": w} for i, s, w in f] for f in found], _HITS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), hits], [batch.schema.names[0], "hits"])
 
     return run
 
@@ -260,8 +258,9 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def item_blocks(
     items: DataFrame, index_bytes: int = INDEX_BYTES
-) -> Iterator[tuple[list[tuple[int, str]], Statistics | None]]:
-    """The items in groups whose texts have about `index_bytes` each, fetched group by group, with the statistics of all.
+) -> tuple[Iterator[tuple[list[tuple[int, str]], Statistics | None]], bool]:
+    """The items in groups whose texts have about `index_bytes` each, fetched group by group, with the statistics of all,
+    and whether there are several groups.
 
     Of the statistics a group gets those of its own words, so what is fetched is bound by its text. A single group
     has none, as they are those of its items.
@@ -269,23 +268,44 @@ def item_blocks(
     rows = items.select("item_id", F.col("text").alias("item_text"))
     total = rows.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0
     groups = -(-total // index_bytes) or 1
-    if groups > 1:
-        rows = rows.withColumn("item_group", F.pmod(F.xxhash64("item_id", "item_text"), F.lit(groups)))
-        found = rows.select("item_group", "item_text").mapInArrow(_item_words, "item_group long, word binary, n_words long")
-        words = write_stage(found, "item-words")
-        count, length, longest = words.agg(F.count("n_words"), F.sum("n_words"), F.max("n_words")).first()
-        holding = write_stage(words.groupBy("word").agg(F.count("*").alias("holding")), "item-holding")
+    return _blocks(rows, groups), groups > 1
+
+
+def _blocks(rows: DataFrame, groups: int) -> Iterator[tuple[list[tuple[int, str]], Statistics | None]]:
+    if groups == 1:
+        yield [(r["item_id"], r["item_text"] or "") for r in rows.collect()], None
+        return
+    rows = write_stage(rows.withColumn("item_group", F.pmod(F.xxhash64("item_id", "item_text"), F.lit(groups))), "items")
+    found = rows.select("item_group", "item_text").mapInArrow(_item_words, "item_group long, word binary, n_words long")
+    words = write_stage(found, "item-words")
+    count, length, longest = words.agg(F.count("n_words"), F.sum("n_words"), F.max("n_words")).first()
+    holding = write_stage(words.groupBy("word").agg(F.count("*").alias("holding")), "item-holding")
     for g in range(groups):
-        mine = rows.filter(F.col("item_group") == g) if groups > 1 else rows
-        block = [(r["item_id"], r["item_text"] or "") for r in mine.collect()]
-        if groups == 1:
-            yield block, None
-            continue
+        block = [(r["item_id"], r["item_text"] or "") for r in rows.filter(F.col("item_group") == g).drop("item_group").collect()]
         own = words.filter(F.col("item_group") == g).select("word").distinct().join(holding, "word")
         by_word = {bytes(r["word"]): r["holding"] for r in own.collect()}
         yield block, Statistics(count, length or 0, longest or 1, by_word)
 
 
+_HIT_TYPE = "array<struct<item_id: long, score: double, first_word: long>>"
+
+
+def _hits_by_group(texts: DataFrame, blocks: Iterator, threshold: float, overlap: float) -> DataFrame:
+    """(row_no, hits) of the texts (row_no, whole_text) that have any, one group of items after the other.
+
+    Each group is a job of its own whose hits are written down, so a task has one index at a time, whatever the number
+    of groups, and only one group's items are sent at once.
+    """
+    found = []
+    for block in blocks:
+        sent = texts.sparkSession.sparkContext.broadcast(block)
+        hits = texts.mapInArrow(_add_hits(uuid.uuid4().hex, sent, threshold, overlap), f"row_no long, hits {_HIT_TYPE}")
+        found.append(write_stage(hits.filter(F.size("hits") > 0), "item-hits"))
+        sent.destroy()
+    hits = functools.reduce(DataFrame.unionByName, found)
+    return hits.groupBy("row_no").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+
+
 def contaminations(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text: str = "text",
     index_bytes: int = INDEX_BYTES,
@@ -297,32 +317,39 @@ def contaminations(
     do not depend on the number of rounds. Other columns are not read; an empty table gives an empty result.
     """
     spark = settings(docs.sparkSession)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.lit(None).cast("array<struct<item_id: long, score: double, first_word: long>>").alias("hits"),
-        F.col(text).alias("whole_text"),
-    )
-    for block in item_blocks(items, index_bytes):
-        search = _add_hits(uuid.uuid4().hex, spark.sparkContext.broadcast(block), threshold, overlap)
-        rows = rows.mapInArrow(search, rows.schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("whole_text"))
+    blocks, several = item_blocks(items, index_bytes)
+    if several:
+        rows = numbered(rows)
+        texts = rows.select("row_no", F.col("whole_row")["whole_text"].alias("whole_text"))
+        found = rows.join(_hits_by_group(texts, blocks, threshold, overlap), "row_no", "left")
+        found = found.select(F.col("whole_row")["doc_id"].alias("doc_id"), F.coalesce("hits", F.array().cast(_HIT_TYPE)).alias("hits"))
+    else:
+        sent = spark.sparkContext.broadcast(next(blocks))
+        found = rows.mapInArrow(_add_hits(uuid.uuid4().hex, sent, threshold, overlap), f"doc_id long, hits {_HIT_TYPE}")
     by_item = F.expr("array_sort(hits, (a, b) -> int(sign(coalesce(a.item_id, -1) - coalesce(b.item_id, -1))))")
-    return rows.select("doc_id", by_item.alias("hits"))
+    return found.select("doc_id", by_item.alias("hits"))
 
 
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text: str = "text",
     index_bytes: int = INDEX_BYTES,
 ) -> DataFrame:
-    """`docs` without those that hold an item's question and answer. Nothing is shuffled.
+    """`docs` without those that hold an item's question and answer.
 
-    Null and empty texts stay, as do all if there are no items. Repeated rows share their fate. Columns may have any
-    name and type that Arrow has. An empty table stays empty.
+    Null and empty texts stay, as do all if there are no items. Repeated rows share their fate: all stay or all go.
+    Equal items, and items without words, change nothing. Columns may have any name and type that Arrow has. An empty
+    table stays empty. With one group of items nothing is shuffled; with several the rows are written down once, and
+    those to drop are found by their number.
     """
     spark = settings(docs.sparkSession)
-    rows = docs
-    for block in item_blocks(items, index_bytes):
-        sent = spark.sparkContext.broadcast(block)
-        rows = rows.mapInArrow(
-            _without_hits(docs.columns.index(text), uuid.uuid4().hex, sent, threshold, overlap), docs.schema
-        )
-    return rows
+    blocks, several = item_blocks(items, index_bytes)
+    if several:
+        rows = numbered(docs)
+        texts = rows.select("row_no", F.col("whole_row")[text].alias("whole_text"))
+        found = _hits_by_group(texts, blocks, threshold, overlap)
+        return drop_rows(rows, found.select("row_no", F.lit(False).alias("kept")))
+    sent = spark.sparkContext.broadcast(next(blocks))
+    return docs.mapInArrow(
+        _without_hits(docs.columns.index(text), uuid.uuid4().hex, sent, threshold, overlap), docs.schema
+    )

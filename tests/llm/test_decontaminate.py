@@ -82,6 +82,9 @@ def test_edges_and_rounds(spark):
         assert found == {1: [], 2: [], 3: [1, 2], 0: [1, 2], 6: [], 7: [None]}
         left = dc.drop_contaminated(docs, items, index_bytes=size)
         assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 6]
+        for df in (left, dc.contaminations(docs, items, index_bytes=size)):  # one Python worker at a time, in every stage
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("MapInArrow") <= 1
     assert dc.contaminations(docs.limit(0), items).count() == 0
     assert all(r.hits == [] for r in dc.contaminations(docs, items.limit(0)).collect())
 
@@ -98,5 +101,6 @@ def test_rounds_change_no_score(spark, folder):
         sorted((r.doc_id, [tuple(h) for h in r.hits]) for r in dc.contaminations(docs, items, index_bytes=size).collect())
         for size in (dc.INDEX_BYTES, 1500)
     ]
-    assert len(list(dc.item_blocks(items, 1500))) > 2
+    blocks, several = dc.item_blocks(items, 1500)
+    assert several and len(list(blocks)) > 2
     assert found[0] == found[1] and any(hits for _, hits in found[0])
