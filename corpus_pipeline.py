@@ -28,12 +28,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. Null and empty texts stay; repeated rows share their fate."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 2048 tokens, by checksum."""
+    """Pieces of documents in sequences of 2048 tokens, by checksum.
+
+    Null and empty texts are one piece of the end id alone; repeated rows are packed each; other columns are not read.
+    """
     return packing.piece_digests(packing.pack(docs))
 
 
