@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from sparge.contracts import REVIEW_FLAT
 from sparge.functions.time import review_month, review_year
+from sparge.session import may_broadcast
 
 # Which dimension supplies which column of the flat table, and by which key of the fact.
 DIMENSION_COLUMNS = {
@@ -16,6 +17,9 @@ DIMENSION_COLUMNS = {
     "profile": ("profile_id", ("profile_name", "email", "state")),
 }
 
+# Bytes that a column adds to a row, as the optimizer assumes; 8 where it is not text.
+_WIDTH = {T.StringType(): 20}
+
 
 def build_review_flat(
     review: DataFrame,
@@ -29,15 +33,21 @@ def build_review_flat(
     Silver dimensions hold one row per key, so a left join never changes the number
     of reviews; with `columns`, dimensions that supply none of them are not joined.
     No join is hinted: Spark broadcasts a dimension when its size allows, and AQE
-    splits a hot key's partition in the sort-merge join otherwise.
+    splits a hot key's partition in the sort-merge join otherwise. Joins that shuffle
+    the reviews come first, those that add little before those that add more: what a
+    shuffle carries is then no wider than it has to be.
     """
     wanted = list(columns or REVIEW_FLAT.names)
-    flat = review
+    parts = []
     for name, dim in {"beer": beer, "brewery": brewery, "profile": profile}.items():
         key, supplied = DIMENSION_COLUMNS[name]
         used = [c for c in supplied if c in wanted]
         if used:
-            flat = flat.drop(*used).join(dim.select(key, *used), key, "left")
+            part = dim.select(key, *used)
+            parts.append((may_broadcast(part), sum(_WIDTH.get(REVIEW_FLAT[c].dataType, 8) for c in used), key, used, part))
+    flat = review
+    for _, _, key, used, part in sorted(parts, key=lambda p: p[:2]):
+        flat = flat.drop(*used).join(part, key, "left")
     return flat.select(*wanted)
 
 

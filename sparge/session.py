@@ -45,6 +45,17 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(jvm_path).getLength() if fs.exists(jvm_path) else 0
 
 
+def may_broadcast(df: DataFrame) -> bool:
+    """Whether Spark takes `df` for small enough to send it to every task of a join."""
+    limit = _bytes(df.sparkSession, df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    """The bytes of a setting such as `64MB`; 0 if it is switched off by a negative one."""
+    return 0 if size.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

@@ -11,7 +11,7 @@ from sparge import fixtures as fx
 from sparge.contracts import COSTS, REVIEW_FLAT
 from sparge.operators import costs
 from sparge.operators.cdc import fold_changes, merge_upsert
-from sparge.operators.flat import build_review_flat, orphans
+from sparge.operators.flat import DIMENSION_COLUMNS, build_review_flat, orphans
 from sparge.operators.marts import MARTS, build_mart
 from sparge.plans.dashboards import panel
 from sparge.plans.gold import mart_schema, rebuild_months
@@ -52,6 +52,29 @@ def test_large_dimensions_are_not_broadcast(spark, folder, no_broadcast):
     assert "Broadcast" not in text and text.count("SortMergeJoin") >= 4
 
 
+@pytest.mark.parametrize("limit,large", [("-1", ()), ("1m", ("profile",)), ("1m", ("beer", "profile"))])
+def test_shuffled_dimensions_come_before_broadcast_ones(spark, limit, large):
+    """From the fact outwards: what shuffles the reviews, lesser columns first, and then what is broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    try:
+        dims = {}
+        for dim, (key, supplied) in DIMENSION_COLUMNS.items():
+            rows = spark.range(3_000_000 if dim in large else 3).withColumnRenamed("id", key)
+            dims[dim] = rows.select(key, *[F.concat(F.lit(c), key).cast(REVIEW_FLAT[c].dataType).alias(c) for c in supplied])
+        keys = [key for key, _ in DIMENSION_COLUMNS.values()]
+        review = spark.range(5).select(*[F.col("id").alias(k) for k in keys], F.lit("kept").alias("partitioned_at"))
+        wanted = [c for c in REVIEW_FLAT.names if c in keys or any(c in s for _, s in DIMENSION_COLUMNS.values())]
+        flat = build_review_flat(review, **dims, columns=[*wanted, "partitioned_at"])
+        joins = re.findall(r"(SortMerge|BroadcastHash)Join \[(\w+?)_id#", plan(flat))
+        order = [dim for _, dim in reversed(joins)]
+        assert order == {0: ["brewery", "beer", "profile"], 1: ["profile", "brewery", "beer"], 2: ["beer", "profile", "brewery"]}[len(large)]
+        assert flat.count() == 5 and flat.filter("profile_name IS NULL").count() == (0 if large else 2)
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_merge_does_not_shuffle_the_table_for_a_small_batch(spark, folder):
     path = scratch_path(spark, "events")
     state = fold_changes(fx.changes(spark, folder), "user_id", ["event_id"]).drop("_inserted_at", "_first_at")
