@@ -10,8 +10,11 @@ from contextlib import contextmanager, suppress
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-# Input per post-shuffle partition; pruning and map-side reduction make the shuffled part far smaller.
-TARGET_PARTITION_BYTES = 512 * 1024 * 1024
+# Stored input per post-shuffle partition, and what AQE may join to one task. Shuffled rows are small and compressed:
+# joined to their dimensions and hashed for an aggregate, they take some thirty times as much memory.
+TARGET_PARTITION_BYTES = 32 * 1024 * 1024
+TASK_SHUFFLE_BYTES = 16 * 1024 * 1024
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -20,7 +23,8 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     Months, days and `timestamp_seconds` depend on the session zone, so it is
     fixed to UTC. With `input_bytes`, the number of shuffle partitions AQE
     starts from is raised to fit the input; AQE coalesces what turns out small.
-    It is never lowered below what the session already has.
+    It is never lowered below what the session already has. Nor is the size raised
+    up to which AQE coalesces, which bounds the memory of a task.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -29,6 +33,8 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     # The default type has no statistics that a filter on a timestamp could use.
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    if _bytes(spark, spark.conf.get(ADVISORY)) > TASK_SHUFFLE_BYTES:
+        spark.conf.set(ADVISORY, f"{TASK_SHUFFLE_BYTES}b")
     if input_bytes:
         wanted = -(-input_bytes // TARGET_PARTITION_BYTES)
         initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -117,14 +123,13 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
 @contextmanager
 def advisory_size(spark: SparkSession, megabytes: int | None) -> Iterator[None]:
     """Partition size that rebalancing aims at, for the writes inside the block."""
-    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(name)
+    before = spark.conf.get(ADVISORY)
     if megabytes:
-        spark.conf.set(name, f"{megabytes}m")
+        spark.conf.set(ADVISORY, f"{megabytes}m")
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(ADVISORY, before)
 
 
 _cleaned: set[str] = set()

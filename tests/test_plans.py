@@ -16,7 +16,7 @@ from sparge.operators.marts import MARTS, build_mart
 from sparge.plans.dashboards import panel
 from sparge.plans.gold import mart_schema, rebuild_months
 from sparge.registry.queries import all_queries
-from sparge.session import scratch_path
+from sparge.session import ADVISORY, configure, scratch_path
 from sparge.sinks.files import append_partitioned, publish_mart, publish_ordered, read_ordered
 
 
@@ -186,3 +186,19 @@ def test_ordered_files_follow_each_other(spark, tmp_path):
     read = read_ordered(spark, f"{tmp_path}/o", rows.schema)
     assert all(r["rank"] == 5000 - r.value for r in read.collect())
     assert spark.read.parquet(f"{tmp_path}/o").select(F.input_file_name()).distinct().count() > 1
+
+
+def test_tasks_stay_small_however_large_the_input(spark):
+    """What AQE may join to one task has a bound, and the partitions it starts from grow with the input."""
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before, partitions = spark.conf.get(ADVISORY), spark.conf.get(initial, None)
+    try:
+        for given, kept in (("64MB", "16777216b"), ("1g", "16777216b"), ("8m", "8m")):
+            spark.conf.set(ADVISORY, given)
+            assert configure(spark).conf.get(ADVISORY) == kept
+        for gigabytes in (6, 60):
+            assert int(configure(spark, gigabytes << 30).conf.get(initial)) == gigabytes * 32
+        assert int(configure(spark, 1 << 30).conf.get(initial)) == 60 * 32
+    finally:
+        spark.conf.set(ADVISORY, before)
+        spark.conf.set(initial, partitions) if partitions else spark.conf.unset(initial)
