@@ -8,13 +8,12 @@ keeps the groups small; it decides how much is compared, never what is found. Wh
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sparge.llm.common import forget, settings, write_stage
 from sparge.llm.components import components
@@ -30,8 +29,6 @@ SAMPLE_ROWS = 10_000
 COMMON_ROWS = 8
 COMMON_SHINGLES = 50_000
 PARITY_BITS = 1024
-# Parts in which the pairs that stars leave are compared, one after the other.
-PARTS = 8
 
 
 def shingle_hashes(text: str | None, words: int) -> list[int]:
@@ -117,7 +114,7 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             9 * _differing(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) <= m + n
             for m, n, x, y in zip(*columns, strict=True)
         ]
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        yield batch.select(["a", "b", "a_linked", "b_linked"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _prefixes(common: np.ndarray, ranks: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -243,26 +240,79 @@ def _common(rows: DataFrame, sample_rows: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs (a, b) that signatures leave; whole sets are fetched for these alone."""
+    """The pairs (a, b) that signatures leave; whole texts are sent for these alone."""
     for end in "ab":
         named = signatures.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size"), F.col("signature").alias(f"{end}_signature"))
         pairs = pairs.join(named, end)
-    return pairs.mapInArrow(_possible, "a long, b long")
+    return pairs.mapInArrow(_possible, "a long, b long, a_linked long, b_linked long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
-    first, second = (sets.select(F.col("node").alias(n), F.col("hashes").alias(f"{n}_set")) for n in "ab")
-    compared = pairs.join(first, "a").join(second, "b")
-    overlap = F.size(F.array_intersect("a_set", "b_set"))
-    return compared.filter(_similar(overlap, F.size("a_set") + F.size("b_set"))).select("a", "b")
+def _dealt(likely: DataFrame, sizes: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) by group, and the nodes that each group's texts belong to: (root, first, second) is a group.
+
+    Pairs that hang together share a root, so that a text is sent once for all of its pairs. A root with more texts than
+    a tile holds is cut into tiles; a group has the pairs between two of them, and only the texts of these pairs.
+    """
+    groups = components(likely.select("a", "b"))
+    tiles = groups.join(sizes, "node").groupBy("root").agg(_tiles(tile))
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("own")
+    placed = write_stage(groups.join(tiles, "root").select("node", "root", own), "placed")
+    pairs = likely.join(placed.select(F.col("node").alias("a"), "root", F.col("own").alias("a_own")), "a")
+    pairs = pairs.join(placed.select(F.col("node").alias("b"), F.col("own").alias("b_own")), "b")
+    first, second = F.least("a_own", "b_own").alias("first"), F.greatest("a_own", "b_own").alias("second")
+    pairs = write_stage(pairs.select("root", first, second, "a", "b", "a_linked", "b_linked"), "placed-pairs")
+    ends = [pairs.select("root", "first", "second", F.col(end).alias("node")) for end in "ab"]
+    return pairs, write_stage(ends[0].unionByName(ends[1]).distinct(), "sends")
+
+
+def _tiles(tile: int) -> Column:
+    """How many tiles texts are cut into, by their number and the bytes of their sets."""
+    wanted = F.greatest(F.count("*") / F.lit(tile / 2), F.sum("size") * 8 / F.lit(TILE_BYTES / 2))
+    return F.ceil(wanted).cast("int").alias("tiles")
+
+
+def _compared(likely: DataFrame, texts: DataFrame, sizes: DataFrame, tile: int) -> DataFrame:
+    """A spanning forest per group of the pairs (a, b) whose whole sets are similar."""
+    pairs, sends = _dealt(likely, sizes, tile)
+    keys = ["root", "first", "second"]
+    sent = texts.join(sends.hint("shuffle_hash"), "node").select(*keys, F.col("node").alias("a"), "whole_text")
+    rows = pairs.unionByName(sent, allowMissingColumns=True)
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "b", "a")  # the texts of a group (b is null), then its pairs
+    return rows.mapInArrow(_group_edges, "a long, b long")
+
+
+def _group_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over groups of texts and pairs: edges of similar sets. Pairs that others have connected by then are skipped."""
+    key, sets, root = None, {}, {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    for batch in batches:
+        names = ("root", "first", "second", "a", "b", "a_linked", "b_linked", "whole_text")
+        edges = []
+        for *now, a, b, a_linked, b_linked, text in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
+            if now != key:
+                key, sets, root = now, {}, {}
+            if b is None:
+                sets[a] = shingle_set(text)
+                continue
+            x, y = find(a_linked), find(b_linked)
+            if x != y and _similar(len(np.intersect1d(sets[a], sets[b], assume_unique=True)), len(sets[a]) + len(sets[b])):
+                root[x] = y
+                edges.append((a, b))
+        columns = [pa.array([e[i] for e in edges], pa.int64()) for i in range(2)]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
 def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
     """The pairs whose ends are not linked yet."""
     for end in "ab":
         pairs = pairs.join(linked.select(F.col("node").alias(end), F.col("linked").alias(f"{end}_linked")), end)
-    return pairs.filter("a_linked <> b_linked").select("a", "b")
+    return pairs.filter("a_linked <> b_linked").select("a", "b", "a_linked", "b_linked")
 
 
 def _merged(linked: DataFrame, edges: DataFrame) -> DataFrame:
@@ -285,10 +335,10 @@ def similar_edges(
     `rows` are `numbered` ones; `linked` (node, linked) gives rows that are connected already the same value. Texts
     without words have no edges. Shingles are compared by 64-bit hashes.
 
-    Texts that meet under a shingle are first compared with the one of smallest number there, which connects most groups
-    of copies as a star. Pairs that are still apart follow: all possible ones of groups of up to `small` texts; larger
-    groups, if they are still of several parts, tile against tile, each pair of tiles being a task's work of its own
-    that returns a spanning forest.
+    Texts that meet under a shingle are compared in pairs: all possible ones of groups of up to `small` texts, and those
+    with the text of smallest number in larger groups, which connects most groups of copies as a star. A text is sent
+    once for all pairs that hang together. Larger groups that are still of several parts follow, tile against tile, each
+    pair of tiles being a task's work of its own that returns a spanning forest.
     """
     settings(rows.sparkSession)
     texts = rows.select(F.col("row_no").alias("node"), F.col("whole_row")[text].alias("whole_text"))
@@ -309,39 +359,26 @@ def similar_edges(
         linked = wanted.select("node", F.col("node").alias("linked"))
     linked = write_stage(linked.join(wanted, "node", "left_semi"), "linked")
 
-    # A star around the smallest of each large group; what signatures rule out is gone before any set is fetched.
+    # With the pairs of small groups a star around the smallest of each large one; signatures rule out most before texts are sent.
     centres = write_stage(crowded.groupBy("shingle").agg(F.min("node").alias("a")), "shingle-centres")
-    stars = crowded.join(centres, "shingle").filter("a < node").select("a", F.col("node").alias("b")).distinct()
-    stars = write_stage(_likely(_apart(stars, linked), signatures), "stars")
-    likely = write_stage(_likely(_apart(pairs, linked), signatures), "likely")
+    stars = crowded.join(centres, "shingle").filter("a < node").select("a", F.col("node").alias("b"))
+    likely = write_stage(_likely(_apart(stars.unionByName(pairs).distinct(), linked), signatures), "likely")
+    sizes = write_stage(signatures.select("node", "size"), "sizes")
     forget(signatures)
-    ends = [df.select(F.col(end).alias("node")) for df in (stars, likely) for end in "ab"]
-    needed = write_stage(functools.reduce(DataFrame.union, ends, crowded.select("node")).distinct(), "needed")
-    sets = texts.join(needed.hint("shuffle_hash"), "node", "left_semi").mapInArrow(_sets, "node long, hashes array<long>")
-    sets = write_stage(sets, "shingle-sets")
-
-    # In small groups first each text and its smallest partner; then the pairs that are still apart.
-    stars = stars.unionByName(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct()
-    star_edges = write_stage(_verified(stars, sets), "star-edges")
-    linked = write_stage(_merged(linked, star_edges), "linked")
-    rest = write_stage(_apart(likely, linked), "rest")
-    rest_edges = []
-    for part in range(PARTS):  # sets of one part at a time are on the way, and what a part connects is skipped by the next
-        mine = rest.filter(F.pmod(F.xxhash64("a", "b"), F.lit(PARTS)) == part)
-        rest_edges.append(write_stage(_verified(_apart(mine, linked), sets), "rest-edges"))
-        linked = write_stage(_merged(linked, rest_edges[-1]), "linked")
+    edges = write_stage(_compared(likely, texts, sizes, tile), "compared")
+    linked = write_stage(_merged(linked, edges), "linked")
 
     # Larger groups of which everything is connected by now need no further look.
     parted = crowded.join(linked, "node")
     several = parted.groupBy("shingle").agg(F.min("linked").alias("low"), F.max("linked").alias("high"))
     several = write_stage(several.filter("low < high").select("shingle"), "shingle-parted")
     left = write_stage(crowded.join(several, "shingle", "left_semi"), "shingle-left")
-    tiles = left.groupBy("shingle").agg(
-        F.ceil(F.greatest(F.count("*") / F.lit(tile / 2), F.sum("size") * 8 / F.lit(TILE_BYTES / 2))).cast("int").alias("tiles")
-    )
+    tiles = left.groupBy("shingle").agg(_tiles(tile))
     own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     tiled = left.join(tiles, "shingle").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
     tiled = tiled.select("shingle", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "node")
+    sets = texts.join(left.select("node").distinct().hint("shuffle_hash"), "node", "left_semi").mapInArrow(_sets, "node long, hashes array<long>")
+    sets = write_stage(sets, "shingle-sets")
     met_again = tiled.join(linked, "node").join(sets, "node")
     tile_edges = met_again.groupBy("shingle", "first", "second").applyInArrow(_tile_links, "a long, b long")
-    return functools.reduce(DataFrame.unionByName, rest_edges, star_edges).unionByName(tile_edges)
+    return edges.unionByName(tile_edges)

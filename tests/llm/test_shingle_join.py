@@ -6,10 +6,11 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from sparge.llm.common import numbered
 from sparge.llm.components import components
-from sparge.llm.shingle_join import similar_edges
+from sparge.llm.shingle_join import _dealt, similar_edges
 from sparge.llm.simhash import drop_near_copies
 
 from test_simhash import slow_print
@@ -58,6 +59,19 @@ def test_against_all_pairs(spark, small, tile):
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want)) < len(texts) - 50
 
 
+@pytest.mark.parametrize("tile,most", [(1024, 30), (16, 30 * 4)])
+def test_texts_are_sent_once_for_pairs_that_hang_together(spark, tile, most):
+    """Not once per pair; a root of more texts than a tile is cut, and no group has more than two tiles of texts."""
+    pairs = [(a, b, a, b) for a in range(30) for b in range(a + 1, 30)] + [(40, 41, 40, 41)]
+    likely = spark.createDataFrame(pairs, "a long, b long, a_linked long, b_linked long")
+    sizes = spark.range(50).select(F.col("id").alias("node"), F.lit(10).alias("size"))
+    dealt, sends = _dealt(likely, sizes, tile)
+    assert sorted((r.a, r.b) for r in dealt.collect()) == [p[:2] for p in pairs]
+    assert sends.filter("root = 0").count() <= most and sends.filter("root = 40").count() == 2
+    ends = dealt.select("root", "first", "second", F.explode(F.array("a", "b")).alias("node")).distinct()
+    assert ends.exceptAll(sends).isEmpty() and sends.exceptAll(ends).isEmpty()
+
+
 def test_copies_that_fingerprints_miss(spark):
     """Texts of similarity >= 0.8 whose fingerprints differ in more than 3 bits: one stays."""
     dice = random.Random(3)
