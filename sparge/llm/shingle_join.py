@@ -63,11 +63,16 @@ def _signature(hashes: np.ndarray) -> np.ndarray:
 
 def _differing(a: np.ndarray, b: np.ndarray) -> int:
     """In how many bins two signatures differ; the larger one is folded first, neighbouring bins into one."""
-    while len(a) != len(b):
-        a, b = (a, b) if len(a) > len(b) else (b, a)
-        bits = np.unpackbits(a.view(np.uint8)).reshape(-1, 2)
-        a = np.packbits(bits[:, 0] ^ bits[:, 1]).view(np.uint64)
-    return int(np.bitwise_count(a ^ b).sum())
+    length = min(len(a), len(b))
+    return int(np.bitwise_count(_folded(a, length) ^ _folded(b, length)).sum())
+
+
+def _folded(signature: np.ndarray, length: int) -> np.ndarray:
+    """A signature of `length` words, which a smaller set would have."""
+    while len(signature) > length:
+        bits = np.unpackbits(signature.view(np.uint8)).reshape(-1, 2)
+        signature = np.packbits(bits[:, 0] ^ bits[:, 1]).view(np.uint64)
+    return signature
 
 
 def _parity(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -228,6 +233,37 @@ def _tile_links(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
 
 
+def possible_forest(nodes: np.ndarray, sizes: np.ndarray, linked: np.ndarray, signatures: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that sizes and signatures do not rule out and that are not linked yet."""
+    order = np.argsort(sizes, kind="stable")
+    nodes, sizes, linked, signatures = nodes[order], sizes[order], linked[order], [signatures[i] for i in order.tolist()]
+    # By size a member's partners follow it up to 5/4 of its size; their signatures are as long, or folded once.
+    upto = np.searchsorted(4 * sizes, 5 * sizes, side="right").tolist()
+    lengths = np.array([len(x) for x in signatures])
+    tree = np.arange(len(nodes))
+    edges = []
+    for length in np.unique(lengths).tolist():
+        near = np.flatnonzero((lengths == length) | (lengths == 2 * length))
+        bits = np.stack([_folded(signatures[i], length) for i in near.tolist()])
+        for at in np.flatnonzero(lengths == length).tolist():
+            rest = slice(*np.searchsorted(near, (at + 1, upto[at])))
+            others = near[rest]
+            apart = (linked[others] != linked[at]) & (tree[others] != tree[at])
+            others = others[apart]
+            differ = np.bitwise_count(bits[rest][apart] ^ signatures[at]).sum(axis=1, dtype=np.int64)
+            for other in others[9 * differ <= sizes[at] + sizes[others]].tolist():
+                if tree[other] != tree[at]:
+                    tree[tree == tree[other]] = tree[at]
+                    edges.append((int(nodes[at]), int(nodes[other])))
+    return edges
+
+
+def _tile_possible(table: pa.Table) -> pa.Table:
+    signatures = [np.frombuffer(x, np.uint64) for x in table.column("signature").to_pylist()]
+    edges = possible_forest(*[table.column(c).to_numpy() for c in ("node", "size", "linked")], signatures)
+    return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
+
+
 def _common(rows: DataFrame, sample_rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, in order, of shingles that many sampled texts have, and their ranks by frequency."""
     every = max(1, rows.count() // sample_rows)
@@ -265,12 +301,20 @@ def _dealt(likely: DataFrame, sizes: DataFrame, tile: int) -> tuple[DataFrame, D
     return pairs, write_stage(ends[0].unionByName(ends[1]).distinct(), "sends")
 
 
-def _tiles(tile: int) -> Column:
-    """How many tiles texts are cut into, by their number and the bytes of their sets."""
-    wanted = F.greatest(F.count("*") / F.lit(tile / 2), F.sum("size") * 8 / F.lit(TILE_BYTES / 2))
+def _tiles(tile: int, each: int = 8) -> Column:
+    """How many tiles texts are cut into, by their number and the bytes (`each` for a member) of their sets or signatures."""
+    wanted = F.greatest(F.count("*") / F.lit(tile / 2), F.sum("size") * each / F.lit(TILE_BYTES / 2))
     return F.ceil(wanted).cast("int").alias("tiles")
 
 
+def _tiled(groups: DataFrame, group: str, tile: int, each: int) -> DataFrame:
+    """Members of groups (`group`, node, size) for each pair of tiles: `group`, first, second, node, size."""
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    tiled = groups.join(groups.groupBy(group).agg(_tiles(tile, each)), group).withColumn("own", own)
+    tiled = tiled.withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
+    return tiled.select(group, F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "node", "size")
+
+
 def _compared(likely: DataFrame, texts: DataFrame, sizes: DataFrame, tile: int) -> DataFrame:
     """A spanning forest per group of the pairs (a, b) whose whole sets are similar."""
     pairs, sends = _dealt(likely, sizes, tile)
@@ -338,7 +382,8 @@ def similar_edges(
     Texts that meet under a shingle are compared in pairs: all possible ones of groups of up to `small` texts, and those
     with the text of smallest number in larger groups, which connects most groups of copies as a star. A text is sent
     once for all pairs that hang together. Larger groups that are still of several parts follow, tile against tile, each
-    pair of tiles being a task's work of its own that returns a spanning forest.
+    pair of tiles being a task's work of its own that returns a spanning forest: first of what signatures leave, then,
+    for what hangs together by that, of what is similar by whole sets.
     """
     settings(rows.sparkSession)
     texts = rows.select(F.col("row_no").alias("node"), F.col("whole_row")[text].alias("whole_text"))
@@ -364,7 +409,6 @@ def similar_edges(
     stars = crowded.join(centres, "shingle").filter("a < node").select("a", F.col("node").alias("b"))
     likely = write_stage(_likely(_apart(stars.unionByName(pairs).distinct(), linked), signatures), "likely")
     sizes = write_stage(signatures.select("node", "size"), "sizes")
-    forget(signatures)
     edges = write_stage(_compared(likely, texts, sizes, tile), "compared")
     linked = write_stage(_merged(linked, edges), "linked")
 
@@ -373,12 +417,14 @@ def similar_edges(
     several = parted.groupBy("shingle").agg(F.min("linked").alias("low"), F.max("linked").alias("high"))
     several = write_stage(several.filter("low < high").select("shingle"), "shingle-parted")
     left = write_stage(crowded.join(several, "shingle", "left_semi"), "shingle-left")
-    tiles = left.groupBy("shingle").agg(_tiles(tile))
-    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    tiled = left.join(tiles, "shingle").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
-    tiled = tiled.select("shingle", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "node")
-    sets = texts.join(left.select("node").distinct().hint("shuffle_hash"), "node", "left_semi").mapInArrow(_sets, "node long, hashes array<long>")
-    sets = write_stage(sets, "shingle-sets")
-    met_again = tiled.join(linked, "node").join(sets, "node")
-    tile_edges = met_again.groupBy("shingle", "first", "second").applyInArrow(_tile_links, "a long, b long")
+    # Signatures go to all tiles. What they leave hangs together by few pairs, whatever the number of shingles it meets
+    # under: a set is sent to the tiles of its root alone.
+    signed = _tiled(left, "shingle", tile, 1).join(linked, "node").join(signatures.select("node", "signature"), "node")
+    possible = signed.groupBy("shingle", "first", "second").applyInArrow(_tile_possible, "a long, b long")
+    roots = components(write_stage(possible.distinct(), "shingle-possible"))
+    roots = write_stage(roots.join(sizes, "node").select("root", "node", F.col("size").cast("long").alias("size")), "shingle-roots")
+    forget(signatures)
+    sets = texts.join(roots.select("node").hint("shuffle_hash"), "node", "left_semi").mapInArrow(_sets, "node long, hashes array<long>")
+    met_again = _tiled(roots, "root", tile, 8).join(linked, "node").join(write_stage(sets, "shingle-sets"), "node")
+    tile_edges = met_again.groupBy("root", "first", "second").applyInArrow(_tile_links, "a long, b long")
     return edges.unionByName(tile_edges)

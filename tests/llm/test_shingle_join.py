@@ -8,7 +8,8 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from sparge.llm.common import numbered
+from sparge.llm import shingle_join
+from sparge.llm.common import numbered, write_stage
 from sparge.llm.components import components
 from sparge.llm.shingle_join import _dealt, similar_edges
 from sparge.llm.simhash import drop_near_copies
@@ -72,6 +73,43 @@ def test_texts_are_sent_once_for_pairs_that_hang_together(spark, tile, most):
     assert ends.exceptAll(sends).isEmpty() and sends.exceptAll(ends).isEmpty()
 
 
+def test_forest_of_possible_pairs_connects_all_similar_ones():
+    """Signatures never rule out a similar pair, of whatever sizes; links that are known are left out."""
+    dice = random.Random(8)
+    sets = []
+    for _ in range(40):
+        base = [dice.getrandbits(64) for _ in range(dice.choice([1, 4, 16, 60, 128, 500]))]
+        sets += [shingle_join.np.unique(shingle_join.np.array(base[: dice.randint(-(-4 * len(base) // 5), len(base))], "u8")) for _ in range(4)]
+    dice.shuffle(sets)
+    numbers = shingle_join.np.arange(len(sets))
+    sizes = shingle_join.np.array([len(s) for s in sets])
+    linked = numbers // 2
+    edges = shingle_join.possible_forest(numbers, sizes, linked, [shingle_join._signature(s) for s in sets])
+    root = list(range(len(sets)))
+    for a, b in edges:
+        assert linked[a] != linked[b] and root[a] != root[b]
+        root = [root[a] if r == root[b] else r for r in root]
+    pairs = [(i, j) for i, a in enumerate(map(set, map(tuple, sets))) for j, b in enumerate(map(set, map(tuple, sets[:i])))
+             if linked[i] != linked[j] and 5 * len(a & b) >= 4 * len(a | b)]
+    assert len(pairs) > 100 and all(root[i] == root[j] for i, j in pairs)
+    assert len(set(root)) > 30
+
+
+def test_sets_are_sent_once_for_all_shingles(spark, monkeypatch):
+    """Texts that share many crowded shingles without being similar: whole sets of next to none of them are sent."""
+    dice = random.Random(9)
+    shared = [f"s{i}" for i in range(40)]
+    texts = [" ".join([*shared, *(f"w{dice.randrange(10**6)}" for _ in range(60))]) for _ in range(60)]
+    texts.append(" ".join([*texts[7].split()[:-2], "x", "y"]))
+    rows = numbered(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    written = {}
+    monkeypatch.setattr(shingle_join, "write_stage", lambda df, label: written.setdefault(label, []).append(w := write_stage(df, label)) or w)
+    edges = similar_edges(rows, small=3, tile=16, sample_rows=1).collect()
+    assert len(edges) == 1
+    assert written["shingle-groups"][-1].count() > 5 * len(texts)
+    assert written["shingle-sets"][-1].count() <= 4
+
+
 def test_copies_that_fingerprints_miss(spark):
     """Texts of similarity >= 0.8 whose fingerprints differ in more than 3 bits: one stays."""
     dice = random.Random(3)
