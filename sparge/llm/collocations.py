@@ -13,7 +13,6 @@ passes by chance costs time and is dropped by its count: results do not depend o
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,9 +26,10 @@ from sparge.llm.common import settings, write_stage
 MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
-# Words of one shard, and distinct words that a task counts before it hands them on.
+# Words of one shard, about, by so many characters to a word; and characters whose words a task counts before it hands them on.
 SHARD_WORDS = 1 << 19
-COUNTED_WORDS = 1 << 18
+WORD_CHARS = 5
+COUNTED_CHARS = 1 << 23
 # Bits of a filter: 16 per frequent phrase, at most 16 MB. Two bits are set per phrase.
 FILTER_BITS = 1 << 27
 FILTER_BITS_EACH = 16
@@ -41,13 +41,38 @@ _MARKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _BYTES = bytes(46 if b in _MARKS else b + 32 if 65 <= b <= 90 else 32 if b == 9 else b for b in range(256))
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words as UTF-8, and a full stop where a piece may end."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(_BYTES).replace(b".", b" . ").split()
+def split_words(texts: list[str]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """All words as UTF-8, in order; and the places, among the words, before which a piece or a text ends."""
+    line = np.frombuffer(".".join(texts).encode("utf-8", "surrogatepass").translate(_BYTES), np.uint8)
+    stop = line == 46
+    inside = ~(stop | (line == 32))
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(line[inside])])
+    ends = np.searchsorted(np.flatnonzero(stop), starts)
+    return words, np.flatnonzero(np.diff(ends)) + 1
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass") + b"\0" + word, SEED)
+def text_blocks(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[dict[str, list[str]]]:
+    """Texts by language, about so many characters at a time."""
+    texts: dict[str, list[str]] = {}
+    held = 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("whole_text").to_pylist(), strict=True):
+            if text:
+                texts.setdefault(lang, []).append(text)
+                held += len(text) + 1
+            if held >= chars:
+                yield texts
+                texts, held = {}, 0
+    if texts:
+        yield texts
+
+
+def word_hashes(lang: str, words: pa.BinaryArray) -> np.ndarray:
+    digest, prefix = xxhash.xxh64_intdigest, lang.encode("utf-8", "surrogatepass") + b"\0"
+    return np.fromiter((digest(prefix + w, SEED) for w in words.to_pylist()), np.uint64, len(words))
 
 
 def phrase_hashes(words: np.ndarray) -> np.ndarray:
@@ -101,26 +126,14 @@ def build_filter(hashes: DataFrame, count: int, most_bits: int = FILTER_BITS) ->
 # --- words ------------------------------------------------------------------
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, Counter] = {}
-
-    def out() -> pa.RecordBatch:
-        rows = [(lang, w.decode("utf-8", "surrogatepass"), n, word_hash(lang, w)) for lang, c in counts.items() for w, n in c.items()]
-        counts.clear()
-        lang, word, n, digest = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64()), pa.array(np.array(digest, np.uint64).view(np.int64))],
-            ["lang", "phrase", "f", "phrase_hash"],
-        )
-
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("whole_text").to_pylist(), strict=True):
-            found = counts.setdefault(lang, Counter())
-            found.update(tokens(text))
-            found.pop(b".", None)
-        if sum(map(len, counts.values())) > COUNTED_WORDS:
-            yield out()
-    if any(counts.values()):
-        yield out()
+    for texts in text_blocks(batches, COUNTED_CHARS):
+        parts = []
+        for lang, found in texts.items():
+            words, counts = split_words(found)[0].value_counts().flatten()
+            hashes = pa.array(word_hashes(lang, words).view(np.int64))
+            parts.append((pa.repeat(pa.scalar(lang, pa.string()), len(words)), words.cast(pa.string()), counts, hashes))
+        columns = list(map(pa.concat_arrays, zip(*parts, strict=True)))
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f", "phrase_hash"])
 
 
 # --- shards -----------------------------------------------------------------
@@ -143,54 +156,29 @@ def covered(sequence: np.ndarray, length: int, passes: Callable[[np.ndarray], np
     padded[ends] = 0
     return padded[inside | ends]
 
+
 def _encode(frequent: Callable[[], Filter], shard_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Shards: runs of words that may be frequent, as numbers from 1 and a 0 after each run; runs of one word have no phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent()
-        numbers: dict[str, dict[bytes, int]] = {}
-        names: list[tuple[str, str, int]] = []
-        parts: list[np.ndarray] = []
-        held = 0
-
-        def number(lang: str, found: list[bytes]) -> np.ndarray:
-            own = numbers.setdefault(lang, {b".": 0})
-            ids = list(map(own.get, found))
-            if None in ids:
-                gaps = [i for i, known_id in enumerate(ids) if known_id is None]
-                new = list({found[i] for i in gaps})
-                hashes = np.array([word_hash(lang, w) for w in new], np.uint64)
-                for w, digest, passes in zip(new, hashes.tolist(), known.has(hashes).tolist(), strict=True):
-                    if passes:
-                        names.append((lang, w.decode("utf-8", "surrogatepass"), digest))
-                    own[w] = len(names) if passes else 0
-                for i in gaps:
-                    ids[i] = own[found[i]]
-            return covered(np.array(ids, np.int32), 2)
-
-        def out() -> pa.RecordBatch:
-            lang, word, digest = zip(*names, strict=True)
-            columns = [
-                pa.array([np.concatenate(parts).astype("<i4").tobytes()], pa.binary()),
-                pa.array([lang], pa.list_(pa.string())), pa.array([word], pa.list_(pa.string())),
-                pa.array([np.array(digest, np.uint64).view(np.int64)], pa.list_(pa.int64())),
-            ]
-            numbers.clear(), names.clear(), parts.clear()
-            return pa.RecordBatch.from_arrays(columns, ["shard", "langs", "words", "hashes"])
-
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("whole_text").to_pylist(), strict=True):
-                found = tokens(text)
-                if found:
-                    parts.append(number(lang, found))
-                    held += len(found)
-                if held >= shard_words:
-                    held = 0
-                    if names:
-                        yield out()
-                    numbers.clear(), parts.clear()
-        if names:
-            yield out()
+        for texts in text_blocks(batches, shard_words * WORD_CHARS):
+            langs, words, hashes, numbers, named = [], [], [], [], 0
+            for lang, found in texts.items():
+                split, ends = split_words(found)
+                coded = split.dictionary_encode()
+                digests = word_hashes(lang, coded.dictionary)
+                passes = known.has(digests)
+                number = np.where(passes, named + np.cumsum(passes), 0).astype(np.int32)
+                numbers += [np.insert(number[coded.indices.to_numpy()], ends, 0), np.zeros(1, np.int32)]
+                words.append(coded.dictionary.filter(pa.array(passes)).cast(pa.string()))
+                langs.append(pa.repeat(pa.scalar(lang, pa.string()), len(words[-1])))
+                hashes.append(pa.array(digests[passes].view(np.int64)))
+                named += len(words[-1])
+            if named:
+                shard = pa.array([covered(np.concatenate(numbers), 2).astype("<i4").tobytes()], pa.binary())
+                lists = [pa.ListArray.from_arrays(pa.array([0, named], pa.int32()), pa.concat_arrays(c)) for c in (langs, words, hashes)]
+                yield pa.RecordBatch.from_arrays([shard, *lists], ["shard", "langs", "words", "hashes"])
 
     return run
 
@@ -322,7 +310,8 @@ def _mine(length: int, more: bool, filters: Callable[[], list[Filter]]) -> Calla
         kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
         columns = (digest.view(np.int64), lang, phrase, f, before, after)
         names = ["phrase_hash", "lang", "phrase", "f", "only_before", "only_after"]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        arrays = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = filters()
@@ -350,8 +339,8 @@ def _mine(length: int, more: bool, filters: Callable[[], list[Filter]]) -> Calla
                         )
                 for at in range(0, len(longer) if more else 0, 1 << 16):
                     part = slice(at, at + (1 << 16))
-                    nothing = [None] * len(longer[part])
-                    yield rows(longer[part], nothing, nothing, counts[part], nothing, nothing)
+                    nothing = [pa.nulls(len(longer[part]), k) for k in (pa.string(), pa.int64())]
+                    yield rows(longer[part], nothing[0], nothing[0], counts[part], nothing[1], nothing[1])
 
     return run
 

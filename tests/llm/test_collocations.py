@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparge.llm import collocations as cl
@@ -102,3 +103,29 @@ def test_empty(spark):
     empty = spark.createDataFrame([], SHAPE)
     assert cl.collocations(empty).count() == 0
     assert cl.collocations(spark.createDataFrame([(1, "of the. of the", "en", "", 0)], SHAPE)).count() == 0
+
+
+def test_words_of_many_texts_are_split_at_once():
+    """As by the contract's patterns, with the places where pieces and texts end; no word goes through Python alone."""
+    dice = random.Random(4)
+    texts = ["", " ", ".", "A b", "\u00c9t\u00e9\tX.y", "a\x1cb\u00a0c d"]
+    texts += ["".join(dice.choice("aB\u00dfz7-\u4e2d \t\n\x0b\r.,;:!?\x1f\u2028") for _ in range(dice.randrange(60))) for _ in range(300)]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    want, ends = [], set()
+    for text in texts:
+        for piece in re.split("[.,;:!?\\x0A-\\x0D]", text.translate(lower)):
+            ends.add(len(want))
+            want += re.findall("[^\\x20\\x09]+", piece)
+    words, found = cl.split_words(texts)
+    assert [w.decode() for w in words.to_pylist()] == want
+    assert found.tolist() == sorted(ends - {0, len(want)})
+    empty, none = cl.split_words(["", ". ."])
+    assert len(empty) == 0 and len(none) == 0
+
+
+def test_blocks_hold_all_texts_and_little_more_than_asked():
+    rows = [("en" if n % 3 else "de", "x" * n if n % 7 else None) for n in range(200)]
+    batches = [pa.record_batch([pa.array([r[i] for r in rows[at : at + 16]], pa.string()) for i in range(2)], ["lang", "whole_text"]) for at in range(0, 200, 16)]
+    blocks = list(cl.text_blocks(iter(batches), 500))
+    assert sorted((lang, t) for b in blocks for lang, found in b.items() for t in found) == sorted(r for r in rows if r[1])
+    assert all(500 <= sum(len(t) + 1 for found in b.values() for t in found) < 700 for b in blocks[:-1])
