@@ -9,17 +9,23 @@ Lengths are mined one after the other. A phrase can only be frequent if its word
 after each length a Bloom filter of the frequent ones, of bounded size, goes to all tasks. Phrases of the next length
 are first counted by hash alone; only those whose hash is frequent are then written out and counted exactly. What
 passes by chance costs time and is dropped by its count: results do not depend on the filter.
+
+A task reads one shard at a time and mines it in blocks of rows, so what its Python takes is bounded by a shard, whatever
+number of shards it is given and whatever share of their words is frequent.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from sparge.llm.common import settings, write_stage
 
@@ -30,6 +36,9 @@ TOP = 2000
 SHARD_WORDS = 1 << 19
 WORD_CHARS = 5
 COUNTED_CHARS = 1 << 23
+# Rows of an index, or phrases, that are worked on at once; and words that are Python objects at once.
+BLOCK_ROWS = 1 << 17
+HASHED_WORDS = 1 << 14
 # Bits of a filter: 16 per frequent phrase, at most 16 MB. Two bits are set per phrase.
 FILTER_BITS = 1 << 27
 FILTER_BITS_EACH = 16
@@ -72,7 +81,8 @@ def text_blocks(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[dict[
 
 def word_hashes(lang: str, words: pa.BinaryArray) -> np.ndarray:
     digest, prefix = xxhash.xxh64_intdigest, lang.encode("utf-8", "surrogatepass") + b"\0"
-    return np.fromiter((digest(prefix + w, SEED) for w in words.to_pylist()), np.uint64, len(words))
+    parts = (words.slice(at, HASHED_WORDS).to_pylist() for at in range(0, len(words), HASHED_WORDS))
+    return np.fromiter((digest(prefix + w, SEED) for part in parts for w in part), np.uint64, len(words))
 
 
 def phrase_hashes(words: np.ndarray) -> np.ndarray:
@@ -138,19 +148,40 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- shards -----------------------------------------------------------------
 
+# Numbers; languages, and the last number of each; words, with blanks between them, and their hashes.
+SHARD = pa.schema({"shard": pa.binary(), "langs": pa.list_(pa.string()), "ends": pa.list_(pa.int32()), "words": pa.binary(), "hashes": pa.binary()})
+SHARD_ROW = "shard binary, langs array<string>, ends array<int>, words binary, hashes binary"
+
+
+@contextmanager
+def one_at_a_time(spark: SparkSession) -> Iterator[None]:
+    """Within the block rows are read, and handed to Python, one by one: a shard is some megabytes."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def covered(sequence: np.ndarray, length: int, passes: Callable[[np.ndarray], np.ndarray] | None = None) -> np.ndarray:
     """What phrases of `length` numbers that pass cover, with a 0 after each run: the rest has no such phrase.
 
     Without `passes` all phrases without a 0 pass; it gets the phrases as rows.
     """
-    starts = np.arange(max(0, len(sequence) - length + 1))
-    for at in range(length):
-        starts = starts[sequence[starts + at] > 0]
-    if passes is not None and len(starts):
-        starts = starts[passes(np.stack([sequence[starts + at] for at in range(length)], axis=1))]
     inside = np.zeros(len(sequence) + 1, bool)
-    for at in range(length):
-        inside[starts + at] = True
+    places = max(0, len(sequence) - length + 1)
+    for first in range(0, places, BLOCK_ROWS):
+        starts = np.arange(first, min(places, first + BLOCK_ROWS))
+        for at in range(length):
+            starts = starts[sequence[starts + at] > 0]
+        if passes is not None and len(starts):
+            starts = starts[passes(np.stack([sequence[starts + at] for at in range(length)], axis=1))]
+        for at in range(length):
+            inside[starts + at] = True
     ends = np.append(False, inside[:-1]) & ~inside  # the place after a run
     padded = np.append(sequence, np.int32(0))
     padded[ends] = 0
@@ -171,14 +202,15 @@ def _encode(frequent: Callable[[], Filter], shard_words: int) -> Callable[[Itera
                 passes = known.has(digests)
                 number = np.where(passes, named + np.cumsum(passes), 0).astype(np.int32)
                 numbers += [np.insert(number[coded.indices.to_numpy()], ends, 0), np.zeros(1, np.int32)]
-                words.append(coded.dictionary.filter(pa.array(passes)).cast(pa.string()))
-                langs.append(pa.repeat(pa.scalar(lang, pa.string()), len(words[-1])))
-                hashes.append(pa.array(digests[passes].view(np.int64)))
-                named += len(words[-1])
+                words += coded.dictionary.filter(pa.array(passes)).to_pylist()
+                hashes.append(digests[passes])
+                named = len(words)
+                langs.append((lang, named))
             if named:
-                shard = pa.array([covered(np.concatenate(numbers), 2).astype("<i4").tobytes()], pa.binary())
-                lists = [pa.ListArray.from_arrays(pa.array([0, named], pa.int32()), pa.concat_arrays(c)) for c in (langs, words, hashes)]
-                yield pa.RecordBatch.from_arrays([shard, *lists], ["shard", "langs", "words", "hashes"])
+                # No word holds a blank. Few large values: lists of so many words cost the JVM far more than they hold.
+                values = covered(np.concatenate(numbers), 2).astype("<i4"), np.concatenate(hashes).astype("<u8")
+                columns = [[values[0].tobytes()], [[x for x, _ in langs]], [[x for _, x in langs]], [b" ".join(words)], [values[1].tobytes()]]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns, SHARD.types)), schema=SHARD)
 
     return run
 
@@ -212,11 +244,12 @@ class Direction:
 
     def __init__(self, sequence: np.ndarray, depth: int):
         order = suffix_order(sequence, depth)
-        self.before = sequence[order - 1]  # of the first suffix: the last number, which is 0
-        row_of = np.empty(len(order), np.int64)
-        row_of[order] = np.arange(len(order))
-        self.to_row = row_of[order - 1]  # the row of the suffix that begins one place earlier
-        self.changes = np.cumsum(np.append(False, self.before[1:] != self.before[:-1]))
+        row_of = np.empty(len(order), np.int32)
+        row_of[order] = np.arange(len(order), dtype=np.int32)
+        order -= 1
+        self.before = sequence[order]  # of the first suffix: the last number, which is 0
+        self.to_row = row_of[order]  # the row of the suffix that begins one place earlier
+        self.changes = np.cumsum(np.append(False, self.before[1:] != self.before[:-1]), dtype=np.int32)
 
     def only(self, low: np.ndarray, size: np.ndarray) -> np.ndarray:
         """The number that stands before all rows of an interval, else 0."""
@@ -242,22 +275,23 @@ def _reversed(sequence: np.ndarray) -> np.ndarray:
 
 
 def phrases(
-    sequence: np.ndarray, hashes: np.ndarray, length: int, filters: list[Filter], backward: Direction, chunk_rows: int = 1 << 20
+    sequence: np.ndarray, hashes: np.ndarray, length: int, filters: list[Filter], backward: Direction, chunk_rows: int = BLOCK_ROWS
 ) -> tuple[Phrases, np.ndarray, np.ndarray]:
     """Phrases of `length` numbers that `filters` pass; and, of those one longer, hashes and counts.
 
     `filters` are those of lengths 2 to `length`. A phrase one longer counts if both phrases within it pass.
     """
-    totals = np.bincount(sequence, minlength=len(hashes) + 1)
-    starts = np.cumsum(totals) - totals
+    totals = np.bincount(sequence, minlength=len(hashes) + 1).astype(np.int32)
+    starts = np.cumsum(totals, dtype=np.int32) - totals
     words = np.flatnonzero(totals[1:]).astype(np.int32) + 1
     found = Phrases(words[:, None], totals[words], starts[words], starts[words].copy())
     passes = lambda kind, grams: filters[kind - 2].has(phrase_hashes(hashes[grams - 1]))
     for reached in range(2, length + 1):
-        parts = [_extended(backward, found.where(s)) for s in _blocks(found.size, chunk_rows)]
+        parts = []
+        for block in _blocks(found.size, chunk_rows):
+            longer = _extended(backward, found.where(block))
+            parts.append(longer.where(passes(reached, longer.grams)))
         found = Phrases(*map(np.concatenate, zip(*[(f.grams, f.size, f.low, f.back) for f in parts], strict=True))) if parts else found
-        if found.grams.shape[1] == reached:
-            found = found.where(passes(reached, found.grams))
     if found.grams.shape[1] < length:
         found = Phrases(np.zeros((0, length), np.int32), *[found.size[:0]] * 3)
     more, counts = [np.zeros(0, np.uint64)], [found.size[:0]]
@@ -274,7 +308,7 @@ def _blocks(size: np.ndarray, rows: int) -> list[slice]:
     """Consecutive phrases with about so many rows together."""
     if not len(size):
         return []
-    block = (np.cumsum(size) - 1) // rows
+    block = (np.cumsum(size, dtype=np.int64) - 1) // rows
     cuts = np.flatnonzero(np.diff(block)) + 1
     return [slice(a, b) for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(size)], strict=True)]
 
@@ -285,7 +319,7 @@ def _extended(backward: Direction, found: Phrases) -> Phrases:
     The extended phrase's rows in the forward index lie within those of the phrase, after those that go on with a
     smaller number; in the reverse index they are where the steps to the earlier suffixes lead.
     """
-    size, ends = found.size, np.cumsum(found.size)
+    size, ends = found.size, np.cumsum(found.size, dtype=np.int64)
     owner = np.repeat(np.arange(len(size)), size)
     rows = np.arange(len(owner)) + np.repeat(found.back - (ends - size), size)
     key = owner * (int(backward.before.max(initial=0)) + 1) + backward.before[rows]
@@ -297,7 +331,7 @@ def _extended(backward: Direction, found: Phrases) -> Phrases:
     begin = found.low[owner_of] + first - (ends - size)[owner_of]
     back_of = np.minimum.reduceat(backward.to_row[rows], first) if len(first) else first
     longer = np.concatenate([found.grams[owner_of], next_of.astype(np.int32)[:, None]], axis=1)
-    return Phrases(longer, counts, begin, back_of).where(next_of > 0)
+    return Phrases(longer, counts.astype(np.int32), begin.astype(np.int32), back_of).where(next_of > 0)
 
 
 SHARD_PHRASES = "phrase_hash long, lang string, phrase string, f long, only_before long, only_after long"
@@ -306,19 +340,18 @@ SHARD_PHRASES = "phrase_hash long, lang string, phrase string, f long, only_befo
 def _mine(length: int, more: bool, filters: Callable[[], list[Filter]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Per shard: phrases of `length` words (none of one word), and with `more` the hashes of those one word longer."""
 
-    def rows(digest: np.ndarray, lang: list, phrase: list, f: np.ndarray, before: list, after: list) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-        columns = (digest.view(np.int64), lang, phrase, f, before, after)
-        names = ["phrase_hash", "lang", "phrase", "f", "only_before", "only_after"]
-        arrays = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names)
+    def rows(*columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(list(columns), ["phrase_hash", "lang", "phrase", "f", "only_before", "only_after"])
+
+    def counted(hashes: np.ndarray, f: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        return pa.array(hashes.view(np.int64)), pa.array(f.astype(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = filters()
         for batch in batches:
             for row in range(batch.num_rows):
                 sequence = np.frombuffer(batch.column("shard")[row].as_py(), "<i4")
-                hashes = batch.column("hashes")[row].values.to_numpy().view(np.uint64)
+                hashes = np.frombuffer(batch.column("hashes")[row].as_py(), "<u8")
                 if length > 1:
                     sequence = covered(sequence, length, lambda grams, digest=hashes: known[length - 2].has(phrase_hashes(digest[grams - 1])))
                 if not len(sequence):
@@ -326,21 +359,25 @@ def _mine(length: int, more: bool, filters: Callable[[], list[Filter]]) -> Calla
                 backward = Direction(_reversed(sequence), length + more)
                 found, longer, counts = phrases(sequence, hashes, length, known, backward)
                 if length > 1 and len(found.size):
-                    words, langs = batch.column("words")[row].as_py(), batch.column("langs")[row].as_py()
+                    words = pa.array(batch.column("words")[row].as_py().decode().split(" "), pa.string())
+                    langs, ends = batch.column("langs")[row].values, batch.column("ends")[row].values.to_numpy()
                     forward = Direction(sequence, length + more)
-                    signed = hashes.view(np.int64).tolist()
                     for at in range(0, len(found.size), 1 << 14):
                         part = found.where(slice(at, at + (1 << 14)))
                         sides = (forward.only(part.low, part.size), backward.only(part.back, part.size))
+                        digest, f = counted(phrase_hashes(hashes[part.grams - 1]), part.size)
                         yield rows(
-                            phrase_hashes(hashes[part.grams - 1]), [langs[i - 1] for i in part.grams[:, 0].tolist()],
-                            [" ".join([words[i - 1] for i in g]) for g in part.grams.tolist()], part.size,
-                            *[[signed[i - 1] if i else None for i in side.tolist()] for side in sides],
+                            digest, langs.take(pa.array(np.searchsorted(ends, part.grams[:, 0]))),
+                            pc.binary_join_element_wise(*[words.take(pa.array(part.grams[:, at] - 1)) for at in range(length)], " "), f,
+                            *[pa.array(hashes.view(np.int64)[side - 1], mask=side == 0) for side in sides],
                         )
+                    del words, forward
+                del found, backward
                 for at in range(0, len(longer) if more else 0, 1 << 16):
                     part = slice(at, at + (1 << 16))
-                    nothing = [pa.nulls(len(longer[part]), k) for k in (pa.string(), pa.int64())]
-                    yield rows(longer[part], nothing[0], nothing[0], counts[part], nothing[1], nothing[1])
+                    digest, f = counted(longer[part], counts[part])
+                    nothing = [pa.nulls(len(digest), k) for k in (pa.string(), pa.int64())]
+                    yield rows(digest, nothing[0], nothing[0], f, nothing[1], nothing[1])
 
     return run
 
@@ -361,32 +398,34 @@ def frequent_phrases(
     counted = write_stage(counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.first("phrase_hash").alias("phrase_hash")), "words")
     totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
     found = [counted.filter(F.col("f") >= min_count).withColumn("extended", F.lit(False))]
-    filters: list[Filter] = []
+    filters: list[Broadcast] = []
 
-    def sent(made: DataFrame) -> Filter:
-        return build_filter(made.select("phrase_hash"), made.count(), filter_bits)
+    def sent(hashes: DataFrame, count: int) -> Broadcast:
+        return spark.sparkContext.broadcast(build_filter(hashes.select("phrase_hash"), count, filter_bits))
 
-    words = spark.sparkContext.broadcast(sent(found[0]))
-    shape = "shard binary, langs array<string>, words array<string>, hashes array<long>"
-    shards = write_stage(rows.mapInArrow(_encode(lambda: words.value, shard_words), shape), "shards")
+    words = sent(found[0], found[0].count())
+    shards = write_stage(rows.mapInArrow(_encode(lambda: words.value, shard_words), SHARD_ROW), "shards")
+    words.unpersist()
     one = lambda side: (F.count(side) == F.count(F.lit(1))) & F.min(side).eqNullSafe(F.max(side))
     for length in range(1, longest + 1):
-        sides = spark.sparkContext.broadcast(filters)
-        local = shards.mapInArrow(_mine(length, length < longest, lambda sides=sides: sides.value), SHARD_PHRASES)
+        local = shards.mapInArrow(_mine(length, length < longest, lambda sides=tuple(filters): [f.value for f in sides]), SHARD_PHRASES)
         if length > 1:
             summed = local.groupBy("phrase_hash", "lang", "phrase").agg(
                 F.sum("f").alias("f"), (one("only_before") | one("only_after")).alias("extended")
             )
         else:
             summed = local.groupBy("phrase_hash").agg(F.sum("f").alias("f")).withColumn("phrase", F.lit(None).cast("string"))
-        level = write_stage(summed.filter(F.col("f") >= min_count), "phrases")
+        with one_at_a_time(spark):
+            level = write_stage(summed.filter(F.col("f") >= min_count), "phrases")
         if length > 1:
             found.append(level.filter("phrase IS NOT NULL"))
         longer = level.filter("phrase IS NULL")
         count = longer.count()
         if not count:
             break
-        filters = [*filters, build_filter(longer.select("phrase_hash"), count, filter_bits)]
+        filters.append(sent(longer, count))
+    for each in filters:
+        each.unpersist()
     tagged = [f.select("lang", "phrase", F.lit(i).alias("words"), "f", "extended") for i, f in enumerate(found, 1)]
     whole = tagged[0]
     for part in tagged[1:]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -11,6 +12,7 @@ import pyarrow as pa
 import pytest
 
 from sparge.llm import collocations as cl
+from sparge.llm.common import BATCH_ROWS
 
 SHAPE = "doc_id long, text string, lang string, phrase string, f int"
 
@@ -129,3 +131,49 @@ def test_blocks_hold_all_texts_and_little_more_than_asked():
     blocks = list(cl.text_blocks(iter(batches), 500))
     assert sorted((lang, t) for b in blocks for lang, found in b.items() for t in found) == sorted(r for r in rows if r[1])
     assert all(500 <= sum(len(t) + 1 for found in b.values() for t in found) < 700 for b in blocks[:-1])
+
+
+def _full_shard(words: int) -> tuple[pa.RecordBatch, cl.Filter]:
+    """A shard whose words all pass, of two languages, and the filter that they pass."""
+    dice = random.Random(8)
+    texts = [" ".join(f"w{int(dice.paretovariate(0.6)) % 30000}" for _ in range(40)) for _ in range(words // 40)]
+    rows = pa.record_batch([pa.array(["de" if n % 3 else "en" for n in range(len(texts))]), pa.array(texts)], ["lang", "whole_text"])
+    everything = cl.Filter(64, np.full(1, ~np.uint64(0)))
+    (shard,) = cl._encode(lambda: everything, words * 2)(iter([rows]))
+    return shard, everything
+
+
+@pytest.mark.parametrize(("length", "word_bytes"), [(1, 130), (2, 130), (3, 130), (5, 190)])
+def test_memory_of_a_shard_whose_words_are_all_frequent(length, word_bytes):
+    shard, everything = _full_shard(200_000)
+    before, most_arrow = pa.total_allocated_bytes(), 0
+    tracemalloc.start()
+    for batch in cl._mine(length, length < 5, lambda: [everything] * 4)(iter([shard])):
+        most_arrow = max(most_arrow, pa.total_allocated_bytes() - before)
+    most = tracemalloc.get_traced_memory()[1] + most_arrow
+    tracemalloc.stop()
+    assert most < word_bytes * 200_000
+
+
+def test_shards_reach_tasks_one_by_one(spark, monkeypatch):
+    """Whatever the session's batches are, which stay as they were."""
+    names = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
+    mine = cl._mine
+
+    def watched(*args):
+        def run(batches):
+            def single():
+                for batch in batches:
+                    assert batch.num_rows == 1, batch.num_rows
+                    yield batch
+
+            yield from mine(*args)(single())
+
+        return run
+
+    monkeypatch.setattr(cl, "_mine", watched)
+    before = [spark.conf.get(n) for n in names[1:]]
+    docs = spark.createDataFrame(_documents(5), SHAPE).coalesce(1)
+    found = {tuple(r) for r in cl.collocations(docs, min_count=12, shard_words=50).collect()}
+    assert found == brute_force(_documents(5), 12, 2000)
+    assert [spark.conf.get(n) for n in names] == [str(BATCH_ROWS), *before]
